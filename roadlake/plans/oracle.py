@@ -245,4 +245,17 @@ SELECT coalesce(r.dt, w.dt, i.dt) AS dt, r.rwis_obs IS NOT NULL AS has_rwis,
 FROM daily_rwis r FULL OUTER JOIN daily_wzdx w ON w.dt = r.dt
      FULL OUTER JOIN daily_incidents i ON i.dt = coalesce(r.dt, w.dt)
 WHERE NOT (r.rwis_obs IS NOT NULL AND w.work_zones IS NOT NULL AND i.incidents IS NOT NULL)"""
+    q["pipeline_county_performance"] = q["county_performance"]
+    q["pipeline_daily_coverage"] = q["daily_coverage"]
+    q["csv_export_roundtrip"] = q["county_performance"]
+    q["quality_metrics"] = _with(RWIS_CTE) + """
+SELECT CAST((SELECT count(*) FROM rwis_norm)
+            + (SELECT count(DISTINCT event_id // 256) FROM events) AS BIGINT) AS raw_lines,
+       CAST((SELECT count(DISTINCT event_id // 256) FROM events) AS BIGINT) AS malformed_lines,
+       CAST((SELECT count(*) FROM rwis_norm WHERE ts IS NULL OR ts = 0) AS BIGINT) AS null_ts_rows,
+       CAST(count(*) AS BIGINT) AS "rows",
+       CAST(count(*) FILTER (WHERE dt IS NULL) AS BIGINT) AS null_day_rows,
+       CAST(count(DISTINCT dt) AS BIGINT) AS distinct_days,
+       min(dt) AS first_day, max(dt) AS last_day
+FROM rwis_clean"""
     return q

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from roadlake import schemas
 from roadlake.operators import clean, curate, normalize
 from roadlake.plans import analytics, feeds
 from roadlake.plans.feeds import GEOFENCE, RUN_MS, RUN_TS, table
@@ -81,6 +82,68 @@ def inc_daily(spark, d):
     return curate.inc_daily_summary(curate.inc_current_events(incident_clean(spark, d)))
 
 
+# ------------------------------------------------------- zone-level chains
+def _zones(spark):
+    from roadlake.plans.pipeline import Zones
+    return Zones(run_folder(spark, "zones"))
+
+
+def _land_feed(spark, d, zones, feed):
+    recs = {"rwis": rwis_landing, "incidents": incident_landing,
+            "wzdx": wzdx_landing}[feed](spark, d)
+    write_landing(recs, zones.landing(feed), arrival_ms=RUN_MS)
+
+
+def pipeline_county_performance(spark, d):
+    """Incidents through the zones: landing files -> clean table (catalog)
+    -> current + daily tables -> Q3 over the curated table read back."""
+    from roadlake.plans import pipeline
+    z = _zones(spark)
+    _land_feed(spark, d, z, "incidents")
+    pipeline.run_feed(spark, "incidents", z, run_ts=RUN_TS)
+    return analytics.county_performance(pipeline.read_curated(spark, z, "inc_daily_summary"))
+
+
+def pipeline_daily_coverage(spark, d):
+    """All three feeds through the zones, curated tables registered in the
+    catalog, Q1 run as SQL over the catalog tables."""
+    from roadlake.plans import pipeline
+    z = _zones(spark)
+    for feed in ("rwis", "wzdx", "incidents"):
+        _land_feed(spark, d, z, feed)
+        pipeline.landing_to_clean(spark, feed, z, run_ts=RUN_TS)
+        pipeline.clean_to_curated(spark, feed, z, register=True)
+    return spark.sql(analytics.DAILY_COVERAGE_SQL)
+
+
+def quality_metrics(spark, d):
+    """Landing -> clean metrics of the RWIS feed with one malformed
+    delivery per poll (alternately junk text and an empty object)."""
+    from roadlake.operators import quality
+    events = table(spark, d, "events")
+    recs = rwis_landing(spark, d)
+    junk = feeds.rwis_snapshots(events).select(
+        F.when(F.col("snapshot") % 2 == 0, F.concat(F.lit("garbage-"), F.col("snapshot")))
+        .otherwise(F.lit("{}")).alias("value"))
+    path = run_folder(spark, "landing-rwis-q")
+    write_landing(recs, path, arrival_ms=RUN_MS)
+    junk.write.mode("append").option("compression", "gzip").text(path + "/junk")
+    lines = read_landing_lines(spark, path)
+    parsed = clean.parse_landing(lines, schemas.RWIS_LANDING)
+    m1 = quality.landing_metrics(parsed)
+    m2 = quality.table_metrics(clean.clean_rwis(lines, run_ts=RUN_TS))
+    return m1.crossJoin(m2)
+
+
+def csv_export_roundtrip(spark, d):
+    """Q3 exported as CSV and read back with its schema."""
+    from roadlake.sinks import write_csv
+    q3 = analytics.county_performance(inc_daily(spark, d))
+    path = run_folder(spark, "export-q3")
+    write_csv(q3, path)
+    return spark.read.schema(q3.schema).option("header", True).csv(path)
+
+
 # ---------------------------------------------------------------- registry
 def _daily_coverage_sql(spark, d):
     views = {"rwis_hourly_summary": rwis_hourly(spark, d),
@@ -113,6 +176,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "county_performance": lambda s, d: analytics.county_performance(inc_daily(s, d)),
     "coverage_gaps": lambda s, d: analytics.coverage_gaps(
         rwis_hourly(s, d), wz_daily(s, d), inc_daily(s, d)),
+    "pipeline_county_performance": pipeline_county_performance,
+    "pipeline_daily_coverage": pipeline_daily_coverage,
+    "quality_metrics": quality_metrics,
+    "csv_export_roundtrip": csv_export_roundtrip,
 }
 
 
