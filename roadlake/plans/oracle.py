@@ -245,6 +245,9 @@ SELECT coalesce(r.dt, w.dt, i.dt) AS dt, r.rwis_obs IS NOT NULL AS has_rwis,
 FROM daily_rwis r FULL OUTER JOIN daily_wzdx w ON w.dt = r.dt
      FULL OUTER JOIN daily_incidents i ON i.dt = coalesce(r.dt, w.dt)
 WHERE NOT (r.rwis_obs IS NOT NULL AND w.work_zones IS NOT NULL AND i.incidents IS NOT NULL)"""
+    q["stream_clean_hourly"] = q["rwis_hourly_summary"]
+    q["stream_curate_hourly"] = q["rwis_hourly_summary"]
+    q["stream_latest_per_station"] = q["rwis_latest_per_station"]
     q["pipeline_county_performance"] = q["county_performance"]
     q["pipeline_daily_coverage"] = q["daily_coverage"]
     q["csv_export_roundtrip"] = q["county_performance"]

@@ -144,6 +144,56 @@ def csv_export_roundtrip(spark, d):
     return spark.read.schema(q3.schema).option("header", True).csv(path)
 
 
+# ---------------------------------------------------------------- streaming
+def _rwis_stream(spark, d):
+    from roadlake import streaming
+    lines_path = run_folder(spark, "landing-rwis-s")
+    write_landing(rwis_landing(spark, d), lines_path, arrival_ms=RUN_MS)
+    return streaming.clean_stream(spark, "rwis", lines_path, run_ts=RUN_TS)
+
+
+def stream_clean_hourly(spark, d):
+    """Incremental landing -> clean stream (file sink, availableNow), then
+    the hourly summary over the streamed clean table."""
+    from roadlake import streaming
+    from roadlake.sources import read_table
+    base = run_folder(spark, "stream-clean")
+    q = streaming.start_clean(_rwis_stream(spark, d), base + "/table", base + "/_chk")
+    q.awaitTermination()
+    return curate.rwis_hourly_summary(read_table(spark, base + "/table", schemas.RWIS_CLEAN))
+
+
+def stream_latest_per_station(spark, d):
+    """Latest reading per station kept as streaming state (max_by), the
+    complete result of each micro-batch replacing the output table."""
+    from roadlake import streaming
+    base = run_folder(spark, "stream-latest")
+    latest = streaming.latest_state(_rwis_stream(spark, d), ["station_id"], "event_time")
+    q = (latest.writeStream.outputMode("complete")
+         .foreachBatch(lambda b, _id: b.write.mode("overwrite").parquet(base + "/table"))
+         .option("checkpointLocation", base + "/_chk").trigger(availableNow=True).start())
+    q.awaitTermination()
+    out = spark.read.schema(schemas.RWIS_CLEAN).parquet(base + "/table")
+    return out.withColumn("snapshot_dt", F.col("dt")).select(*schemas.RWIS_LATEST_COLS)
+
+
+def stream_curate_hourly(spark, d):
+    """Clean stream whose micro-batches rebuild the hourly summary of the
+    days they touch (foreachBatch, exact and idempotent)."""
+    from roadlake import streaming
+    base = run_folder(spark, "stream-curate")
+    q1 = streaming.start_clean(_rwis_stream(spark, d), base + "/clean", base + "/_chk1")
+    q1.awaitTermination()
+    clean_stream = (spark.readStream.schema(schemas.RWIS_CLEAN)
+                    .parquet(base + "/clean"))
+    q2 = streaming.start_curate(spark, clean_stream, base + "/clean", schemas.RWIS_CLEAN,
+                                {base + "/hourly": curate.rwis_hourly_summary},
+                                base + "/_chk2")
+    q2.awaitTermination()
+    from roadlake.sources import read_table
+    return read_table(spark, base + "/hourly", schemas.RWIS_HOURLY)
+
+
 # ---------------------------------------------------------------- registry
 def _daily_coverage_sql(spark, d):
     views = {"rwis_hourly_summary": rwis_hourly(spark, d),
@@ -180,6 +230,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline_daily_coverage": pipeline_daily_coverage,
     "quality_metrics": quality_metrics,
     "csv_export_roundtrip": csv_export_roundtrip,
+    "stream_clean_hourly": stream_clean_hourly,
+    "stream_latest_per_station": stream_latest_per_station,
+    "stream_curate_hourly": stream_curate_hourly,
 }
 
 
