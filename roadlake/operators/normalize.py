@@ -117,7 +117,8 @@ def rwis_raw_records(docs: DataFrame, value_col: str = "value") -> DataFrame:
     geom = F.coalesce(F.to_json(F.col("geom")), F.lit("{}"))
     geom = F.when(geom.startswith("{"), geom).otherwise(F.lit("{}"))
     body = F.regexp_replace(F.regexp_replace(attrs, r"\}$", ""), r"^\{", "")
-    body = F.regexp_replace(body, r'(^|,)"_geom":(\{[^{}]*\}|[^,]*)', "")
+    body = F.regexp_replace(F.regexp_replace(
+        body, r'(^|,)"_geom":(\{[^{}]*\}|[^,]*)', ""), "^,", "")
     sep = F.when(F.length(body) > 0, F.lit(",")).otherwise(F.lit(""))
     return items.select(F.concat(F.lit("{"), body, sep, F.lit('"_geom":'), geom,
                                  F.lit("}")).alias("value"))

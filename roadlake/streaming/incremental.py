@@ -53,9 +53,13 @@ def start_clean(df: DataFrame, table_path: str, checkpoint: str,
     return w.start(table_path)
 
 
-def hourly_windows(clean_rows: DataFrame, watermark: str = "1 hour") -> DataFrame:
-    """Streaming hourly station summary over tumbling event-time windows."""
-    g = (clean_rows.withWatermark("event_time", watermark)
+def hourly_windows(clean_rows: DataFrame, watermark: str | None = "1 hour") -> DataFrame:
+    """Streaming hourly station summary over tumbling event-time windows.
+    ``watermark=None`` keeps a watermark defined upstream (e.g. by
+    :func:`dedupe`)."""
+    if watermark is not None:
+        clean_rows = clean_rows.withWatermark("event_time", watermark)
+    g = (clean_rows
          .groupBy(F.window("event_time", "1 hour").alias("w"), "station_id")
          .agg(F.avg("air_temp_f").alias("avg_air_temp_f"),
               F.avg("pavement_temp_f").alias("avg_pavement_temp_f"),
