@@ -72,6 +72,14 @@ def _case(c: Column, mapping: dict) -> Column:
     return out
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Spread the source rows over all task slots before the per-row JSON
+    building (a driver table may be a single file of one row group, which
+    scans as one task); the explicit count keeps AQE from re-merging them."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(int(n), 1))
+
+
 def _station_lat(u: Column) -> Column:
     return F.lit(38.5) + (u % 30).cast("double") * F.lit(0.05)
 
@@ -121,7 +129,7 @@ def rwis_snapshots(events: DataFrame) -> DataFrame:
     geom = _object(_num("x", lon), _num("y", lat))
     item = F.when(bare, attrs).otherwise(
         _object(_raw("attributes", attrs), _raw("geometry", geom)))
-    blocks = (events.select(F.floor(i / RWIS_BLOCK).alias("snapshot"),
+    blocks = (_spread(events).select(F.floor(i / RWIS_BLOCK).alias("snapshot"),
                             bare.alias("bare"), item.alias("item"))
               .groupBy("snapshot", "bare")
               .agg(F.array_join(F.collect_list("item"), ",").alias("items")))
@@ -140,7 +148,7 @@ def _el(tag: str, text: Column) -> Column:
 def incident_snapshots(events: DataFrame, nation: DataFrame) -> DataFrame:
     """CHART XML documents of incident versions (4 consecutive events = 4
     versions of one incident): ``snapshot``, ``value``."""
-    e = events.join(nation.select(F.col("n_nationkey").cast("long").alias("nk"),
+    e = _spread(events).join(nation.select(F.col("n_nationkey").cast("long").alias("nk"),
                                   F.col("n_name")),
                     (F.col("user_id") % 25) == F.col("nk"))
     i, u, t = F.col("event_id"), F.col("user_id"), F.col("event_type")
@@ -236,7 +244,7 @@ def wzdx_snapshots(orders: DataFrame) -> DataFrame:
                       _str("id", F.when(m5 == 4, rid)),
                       _raw("properties", props), _raw("geometry", geom))
     snap = F.floor(k / WZDX_BLOCK)
-    blocks = (orders.select(snap.alias("snapshot"), feature.alias("f"))
+    blocks = (_spread(orders).select(snap.alias("snapshot"), feature.alias("f"))
               .groupBy("snapshot")
               .agg(F.array_join(F.collect_list("f"), ",").alias("fs")))
     doc = F.concat(F.lit('{"type":"FeatureCollection","features":['), F.col("fs"),
