@@ -14,8 +14,12 @@ def arcgis_item_array(value: Column) -> Column:
     JSON array gives its elements as attributes without geometry; anything
     else (other objects, bad JSON) gives no items."""
     doc = F.try_parse_json(value)
-    feats = F.try_variant_get(doc, "$.features", "array<variant>")
-    bare = F.try_variant_get(doc, "$", "array<variant>")
+
+    def objects(arr):                       # items that are not objects are skipped
+        return F.filter(arr, lambda x: F.to_json(x).startswith("{"))
+
+    feats = objects(F.try_variant_get(doc, "$.features", "array<variant>"))
+    bare = objects(F.try_variant_get(doc, "$", "array<variant>"))
     from_feats = F.transform(feats, lambda f: F.struct(
         F.try_variant_get(f, "$.attributes", "variant").alias("attrs"),
         F.try_variant_get(f, "$.geometry", "variant").alias("geom")))

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 
 def geojson_features(value: Column) -> Column:
-    """``features`` of a FeatureCollection as ``array<variant>``; null when
-    the document is not valid JSON or has no ``features`` list."""
-    return F.try_variant_get(F.try_parse_json(value), "$.features",
-                             "array<variant>")
+    """``features`` of a FeatureCollection as ``array<variant>`` (items that
+    are not objects skipped); null when the document is not valid JSON or
+    has no ``features`` list."""
+    feats = F.try_variant_get(F.try_parse_json(value), "$.features", "array<variant>")
+    return F.filter(feats, lambda x: F.to_json(x).startswith("{"))
 
 
 def geojson_problem(value: Column) -> Column:

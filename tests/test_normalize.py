@@ -234,3 +234,49 @@ def test_bool_words(spark):
     df = spark.createDataFrame([(w,) for w in words], "w string")
     got = [r[0] for r in df.select(to_bool(F.col("w"))).collect()]
     assert got == [True, True, True, True, False, False, False, None, None, None]
+
+
+def test_non_object_items_skipped_and_counts(spark):
+    from pyspark.sql import functions as F
+    from roadlake.sources import arcgis_item_count, incident_count
+    d = docs(spark, {"features": [5, {"attributes": {"station_id": 4}}, "x"]})
+    assert [r["station_id"] for r in normalize.normalize_rwis(d, run_ts=RUN).collect()] == [4]
+    assert d.select(arcgis_item_count(F.col("value"))).collect()[0][0] == 1
+    assert docs(spark, XML).select(incident_count(F.col("value"))).collect()[0][0] == 3
+    assert len(wz(spark, 7, {"id": "a", "properties": {}})) == 1
+
+
+def test_ingest_and_run_feed(spark, tmp_dir):
+    """Snapshot files -> landing -> clean -> curated, through the zone jobs."""
+    import os
+    from roadlake.plans import analytics, pipeline
+    raw = tmp_dir + "/raw"
+    for feed, payload in [
+        ("rwis", featureset(dict(SAMPLE), dict(SAMPLE, station_id=3))),
+        ("wzdx", {"features": [{"id": "z", "properties": {
+            "direction": "north", "start_date": "2025-11-17T00:00:00Z",
+            "end_date": "2025-11-17T02:00:00Z"}}]}),
+        ("incidents", "<Incidents><Incident><id>9</id><county>C</county>"
+                      "<startDateTime>2025-11-17T08:00:00</startDateTime>"
+                      "<closed>false</closed></Incident></Incidents>")]:
+        os.makedirs(f"{raw}/{feed}")
+        with open(f"{raw}/{feed}/snap1.txt", "w") as f:
+            f.write(payload if isinstance(payload, str) else json.dumps(payload))
+    z = pipeline.Zones(tmp_dir + "/zones")
+    rep = pipeline.RunReport()
+    for feed in ("rwis", "wzdx", "incidents"):
+        stamp = {} if feed == "rwis" else {"ingest_col": None}   # poll time = run time
+        pipeline.ingest_snapshots(spark, feed, f"{raw}/{feed}", z,
+                                  run_ts="2025-11-17T10:00:00Z", **stamp)
+        pipeline.run_feed(spark, feed, z, run_ts="2025-11-17T10:00:00Z", report=rep)
+    assert rep.metrics["rwis_validated"]["out_rows"] == 2
+    hourly = pipeline.read_curated(spark, z, "rwis_hourly_summary")
+    wz_daily = pipeline.read_curated(spark, z, "wzdx_daily_summary")
+    inc = pipeline.read_curated(spark, z, "inc_daily_summary")
+    q1 = analytics.daily_coverage(hourly, wz_daily, inc).collect()
+    assert [(r["dt"], r["rwis_stations"], r["work_zones"], r["incidents"]) for r in q1] == \
+        [("2025-11-17", 2, 1, 1)]
+    # re-running the clean job replaces its days: no duplicates
+    pipeline.run_feed(spark, "rwis", z, run_ts="2025-11-17T10:00:00Z")
+    assert pipeline.read_curated(spark, z, "rwis_hourly_summary") \
+        .agg({"obs_count": "sum"}).collect()[0][0] == 2
