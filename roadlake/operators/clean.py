@@ -57,8 +57,13 @@ def ensure_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*cols, *rest)
 
 
-def _valid(lines: DataFrame, schema, keep_malformed: bool, max_rows) -> DataFrame:
+def _valid(lines: DataFrame, schema, keep_malformed: bool, max_rows,
+           observation=None) -> DataFrame:
     p = parse_landing(lines, schema)
+    if observation is not None:
+        # counted in the same pass as whatever action consumes the result
+        p = p.observe(observation, F.count(F.lit(1)).alias("lines"),
+                      F.count_if(F.col("_malformed")).alias("malformed_lines"))
     if not keep_malformed:
         p = p.where(~F.col("_malformed"))
     p = ensure_columns(p.drop("_malformed", "_line"), schema)
@@ -76,13 +81,15 @@ def quarantine(lines: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def clean_rwis(lines: DataFrame, run_ts=None, keep_malformed: bool = False,
-               max_rows: int | None = None) -> DataFrame:
+               max_rows: int | None = None, observation=None) -> DataFrame:
     """RWIS landing lines -> ``rwis_validated`` rows.
 
     ``event_time`` = epoch ms truncated to the second, or the run time when
     missing; ``dt`` its day; precipitation and surface clamped to their
-    allow-lists."""
-    d = _valid(lines, RWIS_LANDING, keep_malformed, max_rows)
+    allow-lists.  ``observation`` (a ``pyspark.sql.Observation``) receives
+    the line and malformed-line counts of the pass that consumes the
+    result."""
+    d = _valid(lines, RWIS_LANDING, keep_malformed, max_rows, observation)
     et = F.coalesce(seconds_time(F.col("ts")), now_ts(run_ts))
     return d.select(
         "station_id", et.alias("event_time"), day_key(et).alias("dt"),
@@ -94,12 +101,12 @@ def clean_rwis(lines: DataFrame, run_ts=None, keep_malformed: bool = False,
 
 
 def clean_incidents(lines: DataFrame, keep_malformed: bool = False,
-                    max_rows: int | None = None) -> DataFrame:
+                    max_rows: int | None = None, observation=None) -> DataFrame:
     """Incident landing lines -> ``incident_validated`` rows.
 
     ``event_time`` prefers the start time, then the creation time, then the
     ingest stamp (second precision); unparseable texts are skipped."""
-    d = _valid(lines, INCIDENT_LANDING, keep_malformed, max_rows)
+    d = _valid(lines, INCIDENT_LANDING, keep_malformed, max_rows, observation)
     et = F.coalesce(parse_time(F.col("start_time")), parse_time(F.col("create_time")),
                     seconds_time(F.col("ingest_ts")))
     return d.select(
@@ -110,10 +117,10 @@ def clean_incidents(lines: DataFrame, keep_malformed: bool = False,
 
 
 def clean_wzdx(lines: DataFrame, run_ts=None, keep_malformed: bool = False,
-               max_rows: int | None = None) -> DataFrame:
+               max_rows: int | None = None, observation=None) -> DataFrame:
     """Work-zone landing lines -> ``wzdx_validated`` rows (``dt`` is the
     ingest day)."""
-    d = _valid(lines, WZDX_LANDING, keep_malformed, max_rows)
+    d = _valid(lines, WZDX_LANDING, keep_malformed, max_rows, observation)
     it = F.coalesce(seconds_time(F.col("ingest_ts")), now_ts(run_ts))
     return d.select(
         "road_event_id", it.alias("ingest_time"), day_key(it).alias("dt"),

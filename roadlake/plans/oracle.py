@@ -36,17 +36,23 @@ rwis_fields AS (
          CASE WHEN i % 9 = 0 AND bare THEN NULL ELSE lat0 END AS lat,
          lon0 AS lon
   FROM rwis_src),
-rwis_norm AS (
-  SELECT station_id, ts, air_temp_f, pavement_temp_f,
-         coalesce(precip, 'None') AS precip_type, wind_mph,
-         CASE WHEN lower(coalesce(precip, '')) IN ('', 'none', 'no precip', 'no precipitation')
-              THEN 'dry' WHEN pavement_temp_f <= 32.0 THEN 'icy' ELSE 'wet' END AS surface_status
+rwis_kept AS (
+  SELECT *, round(2 * 6371.0::DOUBLE * asin(sqrt(
+          pow(sin(radians(lat - {CLAT}::DOUBLE) / 2), 2)
+          + cos(radians({CLAT}::DOUBLE)) * cos(radians(lat))
+            * pow(sin(radians(lon - ({CLON})::DOUBLE) / 2), 2))), 6) AS distance_km
   FROM rwis_fields
   WHERE lat IS NULL OR lon IS NULL
      OR 2 * 6371.0::DOUBLE * asin(sqrt(
           pow(sin(radians(lat - {CLAT}::DOUBLE) / 2), 2)
           + cos(radians({CLAT}::DOUBLE)) * cos(radians(lat))
             * pow(sin(radians(lon - ({CLON})::DOUBLE) / 2), 2))) <= {RADIUS}::DOUBLE),
+rwis_norm AS (
+  SELECT station_id, ts, air_temp_f, pavement_temp_f,
+         coalesce(precip, 'None') AS precip_type, wind_mph,
+         CASE WHEN lower(coalesce(precip, '')) IN ('', 'none', 'no precip', 'no precipitation')
+              THEN 'dry' WHEN pavement_temp_f <= 32.0 THEN 'icy' ELSE 'wet' END AS surface_status
+  FROM rwis_kept),
 rwis_clean AS (
   SELECT station_id, make_timestamp((ts // 1000) * 1000000) AS event_time,
          strftime(make_timestamp((ts // 1000) * 1000000), '%Y-%m-%d') AS dt,
@@ -196,6 +202,8 @@ def oracle_sql() -> dict[str, str]:
     q["rwis_decode"] = _with(RWIS_CTE) + \
         "SELECT station_id, ts, air_temp_f, pavement_temp_f, precip_type, wind_mph, " \
         "surface_status FROM rwis_norm"
+    q["rwis_geofence_distance"] = _with(RWIS_CTE) + \
+        "SELECT station_id, ts, lat, lon, distance_km FROM rwis_kept"
     q["rwis_clean"] = _with(RWIS_CTE) + "SELECT * FROM rwis_clean"
     q["rwis_hourly_summary"] = _with(RWIS_CTE) + "SELECT * FROM rwis_hourly"
     q["rwis_latest_per_station"] = _with(RWIS_CTE) + """

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from roadlake import schemas
 from roadlake.operators import clean, curate, normalize, quality
@@ -94,22 +94,34 @@ def landing_to_clean(spark: SparkSession, feed: str, zones: Zones, run_ts=None,
     """Clean one feed's whole landing history into its clean table."""
     lines = read_landing_lines(spark, zones.landing(feed))
     schema = LANDING_SCHEMAS[feed]
-    if feed == "rwis":
-        out = clean.clean_rwis(lines, run_ts=run_ts, keep_malformed=keep_malformed)
-    elif feed == "wzdx":
-        out = clean.clean_wzdx(lines, run_ts=run_ts, keep_malformed=keep_malformed)
-    else:
-        out = clean.clean_incidents(lines, keep_malformed=keep_malformed)
-    if not keep_malformed:
-        clean.quarantine(lines, schema).write.mode("overwrite") \
-            .option("compression", "gzip").text(zones.quarantine(feed))
+    line_obs = Observation(f"{feed}_lines")
+
+    def cleaned(observation=None):
+        if feed == "rwis":
+            return clean.clean_rwis(lines, run_ts=run_ts, keep_malformed=keep_malformed,
+                                    observation=observation)
+        if feed == "wzdx":
+            return clean.clean_wzdx(lines, run_ts=run_ts, keep_malformed=keep_malformed,
+                                    observation=observation)
+        return clean.clean_incidents(lines, keep_malformed=keep_malformed,
+                                     observation=observation)
+
     if require_rows:
-        quality.require_rows(out, f"{feed} clean")
+        # probe an un-observed plan: the early-stopping check must not fill
+        # the observation that the full write pass reports
+        quality.require_rows(cleaned(), f"{feed} clean")
+    out = cleaned(line_obs)
     out, obs = quality.observe_clean(out, f"{feed}_clean")
     table = CLEAN_TABLES[feed]
     write_table(out, zones.clean(table), schemas.PARTITIONS[table], write_mode)
+    # the write pass counted the malformed lines; only when there are some
+    # is the landing scanned again to keep them aside
+    if not keep_malformed and line_obs.get.get("malformed_lines", 0) > 0:
+        clean.quarantine(lines, schema).write.mode("overwrite") \
+            .option("compression", "gzip").text(zones.quarantine(feed))
     if report is not None:
         report.add(table, obs)
+        report.add(f"{feed}_landing", line_obs)
     if register:
         register_table(spark, table, zones.clean(table))
     return zones.clean(table)

@@ -48,6 +48,18 @@ def rwis_landing(spark, d) -> DataFrame:
                                     center_lon=lon, radius_km=r)
 
 
+def rwis_geofence_distance(spark, d) -> DataFrame:
+    """Decoded readings kept by the geofence with their coordinates and the
+    great-circle distance to the centre (km, 6 decimals)."""
+    from roadlake.functions import haversine_km
+    docs = feeds.rwis_snapshots(table(spark, d, "events"))
+    lat, lon, r = GEOFENCE
+    recs = normalize.normalize_rwis(docs, run_ts=RUN_TS, center_lat=lat, center_lon=lon,
+                                    radius_km=r, keep_coords=True)
+    return recs.select("station_id", "ts", "lat", "lon", F.round(
+        haversine_km(lat, lon, F.col("lat"), F.col("lon")), 6).alias("distance_km"))
+
+
 def rwis_clean(spark, d) -> DataFrame:
     return clean.clean_rwis(landed(spark, rwis_landing(spark, d), "rwis"), run_ts=RUN_TS)
 
@@ -206,6 +218,7 @@ def _daily_coverage_sql(spark, d):
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rwis_decode": rwis_landing,
+    "rwis_geofence_distance": rwis_geofence_distance,
     "rwis_clean": rwis_clean,
     "rwis_hourly_summary": rwis_hourly,
     "rwis_latest_per_station":

@@ -18,6 +18,19 @@ PIPELINE_CONF = {
 }
 
 
+# Starting points for a large cluster (1000 executors, ~100 TB inputs): many
+# shuffle partitions that AQE coalesces to ~256 MB each, 512 MB scan splits,
+# and broadcasts only below a measured 64 MB.  Applied when no master is
+# given (spark-submit decides the cluster); any key can be overridden.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "16000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+}
+
+
 def build_session(master: str | None = None, app: str = "roadlake",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
@@ -34,6 +47,8 @@ def build_session(master: str | None = None, app: str = "roadlake",
     conf["spark.ui.showConsoleProgress"] = "false"
     if master and master.startswith("local"):
         conf["spark.driver.memory"] = "12g"
+    elif not master:
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

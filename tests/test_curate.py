@@ -159,3 +159,16 @@ def test_stream_windows_and_dedupe(spark, tmp_dir):
     # 13 readings over 2 hours: the first hour (6 readings, duplicate dropped) is
     # closed by the watermark; the second (ends at 02:00) is still open.
     assert [(r["event_hour"], r["obs_count"]) for r in got] == [(datetime(2025, 1, 1, 0), 6)]
+
+
+def test_landing_to_clean_counts_and_quarantine(spark, tmp_dir):
+    from roadlake.plans import pipeline
+    z = pipeline.Zones(tmp_dir)
+    good = json.dumps({"station_id": 1, "ts": 1763359140000})
+    lines(spark, good, good, "garbage", "{}").write.text(z.landing("rwis"))
+    rep = pipeline.RunReport()
+    pipeline.landing_to_clean(spark, "rwis", z, report=rep)
+    assert rep.metrics["rwis_landing"] == {"lines": 4, "malformed_lines": 2}
+    assert rep.metrics["rwis_validated"]["out_rows"] == 2
+    assert sorted(r[0] for r in spark.read.text(z.quarantine("rwis")).collect()) == \
+        ["garbage", "{}"]
