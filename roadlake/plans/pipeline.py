@@ -90,8 +90,13 @@ def ingest_snapshots(spark: SparkSession, feed: str, snapshots_path: str, zones:
 def landing_to_clean(spark: SparkSession, feed: str, zones: Zones, run_ts=None,
                      require_rows: bool = True, write_mode: str = "replace_partitions",
                      keep_malformed: bool = False, register: bool = False,
+                     drop_duplicates: bool = False,
                      report: RunReport | None = None) -> str:
-    """Clean one feed's whole landing history into its clean table."""
+    """Clean one feed's whole landing history into its clean table.
+
+    ``drop_duplicates`` removes exact repeated records (re-deliveries); it is
+    a hash aggregate with map-side combining, so heavily repeated records
+    collapse inside each map task before the shuffle."""
     lines = read_landing_lines(spark, zones.landing(feed))
     schema = LANDING_SCHEMAS[feed]
     line_obs = Observation(f"{feed}_lines")
@@ -111,6 +116,8 @@ def landing_to_clean(spark: SparkSession, feed: str, zones: Zones, run_ts=None,
         # the observation that the full write pass reports
         quality.require_rows(cleaned(), f"{feed} clean")
     out = cleaned(line_obs)
+    if drop_duplicates:
+        out = out.dropDuplicates()
     out, obs = quality.observe_clean(out, f"{feed}_clean")
     table = CLEAN_TABLES[feed]
     write_table(out, zones.clean(table), schemas.PARTITIONS[table], write_mode)

@@ -70,7 +70,9 @@ def write_landing(records: DataFrame, path: str, arrival_ms=None,
         F.to_json(F.struct(*records.columns), {"ignoreNullFields": "false"}).alias("value"),
         F.date_format(at, "yyyy").alias("y"), F.date_format(at, "MM").alias("m"),
         F.date_format(at, "dd").alias("d"), F.date_format(at, "HH").alias("h"))
-    (lines.hint("rebalance", "y", "m", "d", "h").write.mode(MODES[mode])
+    # no rebalance: a poll's records come from one document, so they already
+    # sit together in one task; each task writes one file per arrival hour
+    (lines.write.mode(MODES[mode])
      .partitionBy("y", "m", "d", "h").option("compression", compression).text(path))
 
 
