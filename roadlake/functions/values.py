@@ -50,6 +50,12 @@ def is_text(v: Column) -> Column:
     return vjson(v).startswith('"')
 
 
+def is_object(v: Column) -> Column:
+    """The variant holds a JSON object (a cast to a one-field struct succeeds
+    only for objects; nothing is serialised)."""
+    return F.try_variant_get(v, "$", "struct<_k:int>").isNotNull()
+
+
 def is_number(v: Column) -> Column:
     """The variant holds a JSON number."""
     return vjson(v).rlike("^-?[0-9]")

@@ -136,25 +136,23 @@ def normalize_wzdx(docs: DataFrame, run_ts=None, ingest_col: str | None = None,
     f = F.col("feature")
     c = F.col
     ingest = c(ingest_col).cast("long") if ingest_col else now_ms(run_ts)
-    s1 = feats.select(ingest.alias("ingest_ts"), vfield(f, "id").alias("fid"),
-                      vfield(f, "properties").alias("props"),
-                      vfield(f, "geometry").alias("geom"))
-    s2 = s1.select("ingest_ts", "fid", "props", "geom",
-                   vfield(c("props"), "core_details").alias("core"))
-    p, core = c("props"), c("core")
-    s3 = s2.select(
-        "ingest_ts",
-        vfield(core, "road_event_id").alias("r0"), vfield(core, "id").alias("r1"),
-        vfield(p, "road_event_id").alias("r2"), vfield(p, "id").alias("r3"),
-        c("fid").alias("r4"),
-        vfield(core, "road_names").alias("n0"), vfield(p, "road_names").alias("n1"),
-        vfield(core, "direction").alias("d0"), vfield(p, "direction").alias("d1"),
-        vfield(core, "directionality").alias("d2"),
-        vfield(p, "directionality").alias("d3"),
-        vstring(vfield(p, "start_date")).alias("start_date"),
-        vstring(vfield(p, "end_date")).alias("end_date"),
-        vstring(vfield(c("geom"), "type")).alias("gtype"),
-        vfield(c("geom"), "coordinates").alias("coords"))
+    P, C = "properties", "properties.core_details"
+
+    def leaf(path, kind="variant"):          # read a leaf straight from the feature
+        return F.try_variant_get(f, f"$.{path}", kind)
+
+    s3 = feats.select(
+        ingest.alias("ingest_ts"),
+        leaf(f"{C}.road_event_id").alias("r0"), leaf(f"{C}.id").alias("r1"),
+        leaf(f"{P}.road_event_id").alias("r2"), leaf(f"{P}.id").alias("r3"),
+        leaf("id").alias("r4"),
+        leaf(f"{C}.road_names").alias("n0"), leaf(f"{P}.road_names").alias("n1"),
+        leaf(f"{C}.direction").alias("d0"), leaf(f"{P}.direction").alias("d1"),
+        leaf(f"{C}.directionality").alias("d2"), leaf(f"{P}.directionality").alias("d3"),
+        leaf(f"{P}.start_date", "string").alias("start_date"),
+        leaf(f"{P}.end_date", "string").alias("end_date"),
+        leaf("geometry.type", "string").alias("gtype"),
+        leaf("geometry.coordinates").alias("coords"))
     s4 = s3.select(
         "ingest_ts",
         first_truthy(*[c(f"r{n}") for n in range(5)]).alias("rid"),

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roadlake.functions.values import is_object
+
 
 def arcgis_item_array(value: Column) -> Column:
     """Items of one ArcGIS document as ``array<struct<attrs, geom>>`` (variants).
@@ -16,7 +18,7 @@ def arcgis_item_array(value: Column) -> Column:
     doc = F.try_parse_json(value)
 
     def objects(arr):                       # items that are not objects are skipped
-        return F.filter(arr, lambda x: F.to_json(x).startswith("{"))
+        return F.filter(arr, is_object)
 
     feats = objects(F.try_variant_get(doc, "$.features", "array<variant>"))
     bare = objects(F.try_variant_get(doc, "$", "array<variant>"))

@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roadlake.functions.values import is_object
+
 
 def geojson_features(value: Column) -> Column:
     """``features`` of a FeatureCollection as ``array<variant>`` (items that
     are not objects skipped); null when the document is not valid JSON or
     has no ``features`` list."""
     feats = F.try_variant_get(F.try_parse_json(value), "$.features", "array<variant>")
-    return F.filter(feats, lambda x: F.to_json(x).startswith("{"))
+    return F.filter(feats, is_object)
 
 
 def geojson_problem(value: Column) -> Column:
