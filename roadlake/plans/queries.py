@@ -175,6 +175,19 @@ def stream_clean_hourly(spark, d):
     return curate.rwis_hourly_summary(read_table(spark, base + "/table", schemas.RWIS_CLEAN))
 
 
+def stream_hourly_windows(spark, d):
+    """Tumbling one-hour event-time windows with a one-hour watermark in
+    append mode: exactly the windows the watermark has closed are emitted."""
+    from roadlake import streaming
+    base = run_folder(spark, "stream-windows")
+    win = streaming.hourly_windows(_rwis_stream(spark, d), "1 hour")
+    q = (win.writeStream.format("parquet").outputMode("append")
+         .option("checkpointLocation", base + "/_chk").trigger(availableNow=True)
+         .start(base + "/table"))
+    q.awaitTermination()
+    return spark.read.schema(schemas.RWIS_HOURLY).parquet(base + "/table")
+
+
 def stream_latest_per_station(spark, d):
     """Latest reading per station kept as streaming state (max_by), the
     complete result of each micro-batch replacing the output table."""
@@ -244,6 +257,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quality_metrics": quality_metrics,
     "csv_export_roundtrip": csv_export_roundtrip,
     "stream_clean_hourly": stream_clean_hourly,
+    "stream_hourly_windows": stream_hourly_windows,
     "stream_latest_per_station": stream_latest_per_station,
     "stream_curate_hourly": stream_curate_hourly,
 }
