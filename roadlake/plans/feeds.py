@@ -72,12 +72,14 @@ def _case(c: Column, mapping: dict) -> Column:
     return out
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Spread the source rows over all task slots before the per-row JSON
-    building (a driver table may be a single file of one row group, which
-    scans as one task); the explicit count keeps AQE from re-merging them."""
-    n = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(max(int(n), 1))
+def _by_block(df: DataFrame, block: Column) -> DataFrame:
+    """Hash-partition the source rows on their snapshot block before the
+    per-row JSON building: the building runs on all task slots (a driver
+    table may be one file of one row group, which scans as one task) and the
+    per-block ``groupBy`` reuses this partitioning, so there is one shuffle.
+    The explicit count keeps AQE from re-merging the partitions."""
+    n = max(int(df.sparkSession.sparkContext.defaultParallelism), 1)
+    return df.withColumn("snapshot", block).repartition(n, "snapshot")
 
 
 def _station_lat(u: Column) -> Column:
@@ -129,11 +131,12 @@ def rwis_snapshots(events: DataFrame) -> DataFrame:
     geom = _object(_num("x", lon), _num("y", lat))
     item = F.when(bare, attrs).otherwise(
         _object(_raw("attributes", attrs), _raw("geometry", geom)))
-    blocks = (_spread(events).select(F.floor(i / RWIS_BLOCK).alias("snapshot"),
-                            bare.alias("bare"), item.alias("item"))
-              .groupBy("snapshot", "bare")
+    blocks = (_by_block(events, F.floor(i / RWIS_BLOCK))
+              .select("snapshot", item.alias("item"))
+              .groupBy("snapshot")
               .agg(F.array_join(F.collect_list("item"), ",").alias("items")))
-    doc = F.when(F.col("bare"), F.concat(F.lit("["), F.col("items"), F.lit("]"))) \
+    doc = F.when(F.col("snapshot") % 10 == 9,
+                 F.concat(F.lit("["), F.col("items"), F.lit("]"))) \
         .otherwise(F.concat(F.lit('{"features":['), F.col("items"), F.lit("]}")))
     return blocks.select("snapshot", doc.alias("value"))
 
@@ -148,9 +151,10 @@ def _el(tag: str, text: Column) -> Column:
 def incident_snapshots(events: DataFrame, nation: DataFrame) -> DataFrame:
     """CHART XML documents of incident versions (4 consecutive events = 4
     versions of one incident): ``snapshot``, ``value``."""
-    e = _spread(events).join(nation.select(F.col("n_nationkey").cast("long").alias("nk"),
-                                  F.col("n_name")),
-                    (F.col("user_id") % 25) == F.col("nk"))
+    e = _by_block(events, F.floor(F.col("event_id") / INCIDENT_BLOCK)).join(
+        F.broadcast(nation.select(F.col("n_nationkey").cast("long").alias("nk"),  # 25 rows
+                                  F.col("n_name"))),
+        (F.col("user_id") % 25) == F.col("nk"))
     i, u, t = F.col("event_id"), F.col("user_id"), F.col("event_type")
     ts = F.col("ts").cast("timestamp")
     iso = "yyyy-MM-dd'T'HH:mm:ss"
@@ -186,7 +190,7 @@ def incident_snapshots(events: DataFrame, nation: DataFrame) -> DataFrame:
             F.lit("Alert & notice "), i.cast("string")))),
     )
     elem = F.concat(F.lit("<"), tag, F.lit(">"), body, F.lit("</"), tag, F.lit(">"))
-    blocks = (e.select(F.floor(i / INCIDENT_BLOCK).alias("snapshot"), elem.alias("el"))
+    blocks = (e.select("snapshot", elem.alias("el"))
               .groupBy("snapshot")
               .agg(F.array_join(F.collect_list("el"), "").alias("els")))
     doc = F.concat(F.lit('<?xml version="1.0" encoding="UTF-8"?><Incidents>'),
@@ -243,8 +247,8 @@ def wzdx_snapshots(orders: DataFrame) -> DataFrame:
     feature = _object(_str("type", F.lit("Feature")),
                       _str("id", F.when(m5 == 4, rid)),
                       _raw("properties", props), _raw("geometry", geom))
-    snap = F.floor(k / WZDX_BLOCK)
-    blocks = (_spread(orders).select(snap.alias("snapshot"), feature.alias("f"))
+    blocks = (_by_block(orders, F.floor(k / WZDX_BLOCK))
+              .select("snapshot", feature.alias("f"))
               .groupBy("snapshot")
               .agg(F.array_join(F.collect_list("f"), ",").alias("fs")))
     doc = F.concat(F.lit('{"type":"FeatureCollection","features":['), F.col("fs"),
