@@ -280,3 +280,12 @@ def test_ingest_and_run_feed(spark, tmp_dir):
     pipeline.run_feed(spark, "rwis", z, run_ts="2025-11-17T10:00:00Z")
     assert pipeline.read_curated(spark, z, "rwis_hourly_summary") \
         .agg({"obs_count": "sum"}).collect()[0][0] == 2
+
+
+def test_incident_xml_unknown_and_prefixed_children(spark):
+    x = ("<r><Incident><foo>1</foo></Incident>"
+         "<ns:Incident xmlns:ns='u'><ns:id>7</ns:id></ns:Incident></r>")
+    out = normalize.normalize_incidents(docs(spark, x), run_ts=RUN).collect()
+    # both elements have children, so both are records; neither child is a
+    # known un-prefixed tag, so every field is null (dropped later at curate)
+    assert len(out) == 2 and all(r["event_id"] is None for r in out)
