@@ -96,13 +96,15 @@ def normalize_rwis(docs: DataFrame, run_ts=None, center_lat: float = 0.0,
                    center_lon: float = 0.0, radius_km: float = 0.0,
                    max_records: int | None = None,
                    snapshot_col: str = "snapshot", value_col: str = "value",
-                   keep_coords: bool = False) -> DataFrame:
+                   keep_coords: bool = False, require_coords: bool = False) -> DataFrame:
     """ArcGIS snapshot documents -> RWIS landing records.
 
-    Decode, normalise, geofence, optional per-snapshot cap, then drop the
+    Decode, normalise, geofence (records without coordinates are kept unless
+    ``require_coords``), optional per-snapshot cap, then drop the
     coordinates (``keep_coords`` keeps them as extra columns)."""
     items = arcgis_explode(docs, value_col)
-    recs = geofence(rwis_fields(items, run_ts), center_lat, center_lon, radius_km)
+    recs = geofence(rwis_fields(items, run_ts), center_lat, center_lon, radius_km,
+                    require_coords)
     recs = cap_per_snapshot(recs, max_records, snapshot_col)
     cols = [f.name for f in RWIS_LANDING.fields]
     return recs.select(*cols, *(["lat", "lon"] if keep_coords else []))

@@ -112,6 +112,8 @@ def test_coordinates_and_geofence(spark):
     missing = {"rowid": 2, "LONGITUDE": -77.04}
     r = rwis(spark, missing, center_lat=39.29, center_lon=-76.61, radius_km=1)
     assert len(r) == 1 and r[0]["lat"] is None
+    assert rwis(spark, missing, center_lat=39.29, center_lon=-76.61, radius_km=1,
+                require_coords=True) == []
     # geometry fills the missing coordinate
     r = rwis(spark, missing, geom={"x": -1.0, "y": 38.9})[0]
     assert (r["lat"], r["lon"]) == (38.9, -77.04)
@@ -280,6 +282,10 @@ def test_ingest_and_run_feed(spark, tmp_dir):
     pipeline.run_feed(spark, "rwis", z, run_ts="2025-11-17T10:00:00Z")
     assert pipeline.read_curated(spark, z, "rwis_hourly_summary") \
         .agg({"obs_count": "sum"}).collect()[0][0] == 2
+    assert pipeline.read_curated(spark, z, "rwis_latest_per_station").count() == 2
+    # history mode appends one snapshot of the latest table per run
+    pipeline.clean_to_curated(spark, "rwis", z, history=True)
+    assert pipeline.read_curated(spark, z, "rwis_latest_per_station").count() == 4
 
 
 def test_incident_xml_unknown_and_prefixed_children(spark):
