@@ -58,15 +58,17 @@ def ensure_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def _valid(lines: DataFrame, schema, keep_malformed: bool, max_rows,
-           observation=None) -> DataFrame:
+           observation=None, flag: bool = False) -> DataFrame:
     p = parse_landing(lines, schema)
     if observation is not None:
         # counted in the same pass as whatever action consumes the result
         p = p.observe(observation, F.count(F.lit(1)).alias("lines"),
                       F.count_if(F.col("_malformed")).alias("malformed_lines"))
+    if flag:
+        keep_malformed = True          # flagged rows stay, marked by _malformed
     if not keep_malformed:
         p = p.where(~F.col("_malformed"))
-    p = ensure_columns(p.drop("_malformed", "_line"), schema)
+    p = ensure_columns(p.drop("_line", *([] if flag else ["_malformed"])), schema)
     if max_rows is not None:
         # Optional cap (off by default: a global limit gathers into one task
         # and silently drops history beyond the cap).
@@ -80,16 +82,22 @@ def quarantine(lines: DataFrame, schema: T.StructType) -> DataFrame:
         F.col("_line").alias("value"))
 
 
+def _out(df: DataFrame, cols, flag: bool) -> DataFrame:
+    return df.select(*cols, *(["_malformed"] if flag else []))
+
+
 def clean_rwis(lines: DataFrame, run_ts=None, keep_malformed: bool = False,
-               max_rows: int | None = None, observation=None) -> DataFrame:
+               max_rows: int | None = None, observation=None,
+               flag_malformed: bool = False) -> DataFrame:
     """RWIS landing lines -> ``rwis_validated`` rows.
 
     ``event_time`` = epoch ms truncated to the second, or the run time when
     missing; ``dt`` its day; precipitation and surface clamped to their
     allow-lists.  ``observation`` (a ``pyspark.sql.Observation``) receives
     the line and malformed-line counts of the pass that consumes the
-    result."""
-    d = _valid(lines, RWIS_LANDING, keep_malformed, max_rows, observation)
+    result.  ``flag_malformed`` keeps malformed lines as rows marked by a
+    boolean ``_malformed`` column (for one-pass run metrics)."""
+    d = _valid(lines, RWIS_LANDING, keep_malformed, max_rows, observation, flag_malformed)
     et = F.coalesce(seconds_time(F.col("ts")), now_ts(run_ts))
     return d.select(
         "station_id", et.alias("event_time"), day_key(et).alias("dt"),
@@ -97,7 +105,9 @@ def clean_rwis(lines: DataFrame, run_ts=None, keep_malformed: bool = False,
         clamp_enum(F.col("precip_type"), PRECIP_ALLOWED, PRECIP_DEFAULT).alias("precip_type"),
         "wind_mph",
         clamp_enum(F.col("surface_status"), SURFACE_ALLOWED, SURFACE_DEFAULT).alias("surface_status"),
-    ).select(*RWIS_CLEAN.fieldNames())
+        *(["_malformed", "ts"] if flag_malformed else []),
+    ).transform(lambda x: _out(x, RWIS_CLEAN.fieldNames() + (["ts"] if flag_malformed else []),
+                               flag_malformed))
 
 
 def clean_incidents(lines: DataFrame, keep_malformed: bool = False,

@@ -43,6 +43,26 @@ def landing_metrics(parsed: DataFrame, ts_col: str | None = "ts") -> DataFrame:
     return parsed.agg(*aggs)
 
 
+def clean_run_metrics(flagged: DataFrame, ts_col: str | None = "ts",
+                      day_col: str = "dt") -> DataFrame:
+    """All run metrics in one aggregation over clean rows that still carry
+    their malformed lines (``clean_*(..., flag_malformed=True)``): lines,
+    malformed lines, records with a null/zero epoch, output rows, rows
+    without a day, distinct days, first and last day."""
+    ok = ~F.col("_malformed")
+    okday = F.when(ok, F.col(day_col))
+    aggs = [F.count(F.lit(1)).alias("raw_lines"),
+            F.count_if(F.col("_malformed")).alias("malformed_lines")]
+    if ts_col:
+        aggs.append(F.count_if(ok & (F.col(ts_col).isNull() | (F.col(ts_col) == 0)))
+                    .alias("null_ts_rows"))
+    aggs += [F.count_if(ok).alias("rows"),
+             F.count_if(ok & F.col(day_col).isNull()).alias("null_day_rows"),
+             F.count_distinct(okday).alias("distinct_days"),
+             F.min(okday).alias("first_day"), F.max(okday).alias("last_day")]
+    return flagged.agg(*aggs)
+
+
 def table_metrics(df: DataFrame, day_col: str = "dt") -> DataFrame:
     """One-row metrics of a zone table: rows, rows without a day, number of
     distinct days, first and last day."""

@@ -152,8 +152,7 @@ def incident_snapshots(events: DataFrame, nation: DataFrame) -> DataFrame:
     """CHART XML documents of incident versions (4 consecutive events = 4
     versions of one incident): ``snapshot``, ``value``."""
     e = _by_block(events, F.floor(F.col("event_id") / INCIDENT_BLOCK)).join(
-        F.broadcast(nation.select(F.col("n_nationkey").cast("long").alias("nk"),  # 25 rows
-                                  F.col("n_name"))),
+        nation.select(F.col("n_nationkey").cast("long").alias("nk"), F.col("n_name")),
         (F.col("user_id") % 25) == F.col("nk"))
     i, u, t = F.col("event_id"), F.col("user_id"), F.col("event_type")
     ts = F.col("ts").cast("timestamp")

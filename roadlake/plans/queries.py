@@ -141,10 +141,8 @@ def quality_metrics(spark, d):
     write_landing(recs, path, arrival_ms=RUN_MS)
     junk.write.mode("append").option("compression", "gzip").text(path + "/junk")
     lines = read_landing_lines(spark, path)
-    parsed = clean.parse_landing(lines, schemas.RWIS_LANDING)
-    m1 = quality.landing_metrics(parsed)
-    m2 = quality.table_metrics(clean.clean_rwis(lines, run_ts=RUN_TS))
-    return m1.crossJoin(m2)
+    flagged = clean.clean_rwis(lines, run_ts=RUN_TS, flag_malformed=True)
+    return quality.clean_run_metrics(flagged)
 
 
 def csv_export_roundtrip(spark, d):
