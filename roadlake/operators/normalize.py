@@ -32,7 +32,7 @@ def rwis_fields(items: DataFrame, run_ts=None) -> DataFrame:
     Built as staged projections (pull each field once, choose among the
     spellings, then type) so no expression is repeated inside another."""
     a, g = F.col("attrs"), F.col("geom")
-    keep = [c for c in items.columns if c not in ("attrs", "geom")]
+    keep = [c for c in items.columns if c not in ("attrs", "geom", "bare")]
     pulled = {f"st{n}": vfield(a, k) for n, k in enumerate(RWIS_STATION_KEYS)}
     pulled.update({f"pr{n}": vfield(a, k) for n, k in enumerate(RWIS_PRECIP_KEYS)})
     pulled.update(rt=vfield(a, "ReportTime"),
@@ -111,19 +111,20 @@ def normalize_rwis(docs: DataFrame, run_ts=None, center_lat: float = 0.0,
 
 
 def rwis_raw_records(docs: DataFrame, value_col: str = "value") -> DataFrame:
-    """Raw pass-through mode: the undecorated items as JSON lines (attributes
-    plus ``_geom``), without geofence or cap."""
+    """Raw pass-through mode: the un-normalised items as JSON lines, without
+    geofence or cap.  FeatureSet items are their attributes plus ``_geom``
+    (the feature's geometry, ``{}`` when missing); bare-array items are
+    written as they are."""
     items = arcgis_explode(docs, value_col)
     attrs = F.coalesce(F.to_json(F.col("attrs")), F.lit("{}"))
-    attrs = F.when(F.col("attrs").isNull() | ~attrs.startswith("{"), F.lit("{}")).otherwise(attrs)
+    attrs = F.when(~attrs.startswith("{"), F.lit("{}")).otherwise(attrs)
     geom = F.coalesce(F.to_json(F.col("geom")), F.lit("{}"))
-    geom = F.when(geom.startswith("{"), geom).otherwise(F.lit("{}"))
     body = F.regexp_replace(F.regexp_replace(attrs, r"\}$", ""), r"^\{", "")
     body = F.regexp_replace(F.regexp_replace(
         body, r'(^|,)"_geom":(\{[^{}]*\}|[^,]*)', ""), "^,", "")
     sep = F.when(F.length(body) > 0, F.lit(",")).otherwise(F.lit(""))
-    return items.select(F.concat(F.lit("{"), body, sep, F.lit('"_geom":'), geom,
-                                 F.lit("}")).alias("value"))
+    merged = F.concat(F.lit("{"), body, sep, F.lit('"_geom":'), geom, F.lit("}"))
+    return items.select(F.when(F.col("bare"), attrs).otherwise(merged).alias("value"))
 
 
 # --------------------------------------------------------------------- WZDx

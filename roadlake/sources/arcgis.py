@@ -22,13 +22,20 @@ def arcgis_item_array(value: Column) -> Column:
 
     feats = objects(F.try_variant_get(doc, "$.features", "array<variant>"))
     bare = objects(F.try_variant_get(doc, "$", "array<variant>"))
+    empty = F.parse_json(F.lit("{}"))
     from_feats = F.transform(feats, lambda f: F.struct(
         F.try_variant_get(f, "$.attributes", "variant").alias("attrs"),
-        F.try_variant_get(f, "$.geometry", "variant").alias("geom")))
+        # a feature always carries a geometry object ({} when missing)
+        F.coalesce(F.try_variant_get(f, "$.geometry", "variant"), empty).alias("geom"),
+        F.lit(False).alias("bare")))
     from_bare = F.transform(bare, lambda a: F.struct(
-        a.alias("attrs"), F.lit(None).cast("variant").alias("geom")))
+        a.alias("attrs"),
+        # a bare item has no geometry of its own; its own "_geom" key, if
+        # any, is what the coordinate fallback reads
+        F.try_variant_get(a, "$._geom", "variant").alias("geom"),
+        F.lit(True).alias("bare")))
     return F.coalesce(from_feats, from_bare,
-                      F.array().cast("array<struct<attrs:variant,geom:variant>>"))
+                      F.array().cast("array<struct<attrs:variant,geom:variant,bare:boolean>>"))
 
 
 def arcgis_explode(docs: DataFrame, value_col: str = "value") -> DataFrame:
@@ -38,7 +45,7 @@ def arcgis_explode(docs: DataFrame, value_col: str = "value") -> DataFrame:
     return (docs.select(*keep, F.posexplode(arcgis_item_array(F.col(value_col)))
                         .alias("pos", "item"))
             .select(*keep, "pos", F.col("item.attrs").alias("attrs"),
-                    F.col("item.geom").alias("geom")))
+                    F.col("item.geom").alias("geom"), F.col("item.bare").alias("bare")))
 
 
 def arcgis_item_count(value: Column) -> Column:

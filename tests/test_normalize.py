@@ -295,3 +295,14 @@ def test_incident_xml_unknown_and_prefixed_children(spark):
     # both elements have children, so both are records; neither child is a
     # known un-prefixed tag, so every field is null (dropped later at curate)
     assert len(out) == 2 and all(r["event_id"] is None for r in out)
+
+
+def test_bare_items_geometry_and_raw(spark):
+    bare = [{"station_id": 3, "_geom": {"x": -1.5, "y": 2.5}}, {"station_id": 4}]
+    r = {x["station_id"]: x for x in normalize.normalize_rwis(
+        docs(spark, bare), run_ts=RUN, keep_coords=True).collect()}
+    assert (r[3]["lat"], r[3]["lon"]) == (2.5, -1.5) and r[4]["lat"] is None
+    raw = [json.loads(x[0]) for x in normalize.rwis_raw_records(docs(spark, bare)).collect()]
+    assert raw == bare
+    fs = normalize.rwis_raw_records(docs(spark, {"features": [{"attributes": {"a": 1}}]}))
+    assert json.loads(fs.collect()[0][0]) == {"a": 1, "_geom": {}}
