@@ -121,10 +121,15 @@ def pipeline_daily_coverage(spark, d):
     catalog, Q1 run as SQL over the catalog tables."""
     from roadlake.plans import pipeline
     z = _zones(spark)
-    for feed in ("rwis", "wzdx", "incidents"):
-        _land_feed(spark, d, z, feed)
-        pipeline.landing_to_clean(spark, feed, z, run_ts=RUN_TS)
-        pipeline.clean_to_curated(spark, feed, z, register=True)
+
+    def feed_job(feed):
+        def run(spark, d):
+            _land_feed(spark, d, z, feed)
+            pipeline.landing_to_clean(spark, feed, z, run_ts=RUN_TS)
+            return pipeline.clean_to_curated(spark, feed, z, register=True)
+        return run
+
+    together(spark, d, *(feed_job(f) for f in ("rwis", "wzdx", "incidents")))
     return spark.sql(analytics.DAILY_COVERAGE_SQL)
 
 
@@ -217,11 +222,19 @@ def stream_curate_hourly(spark, d):
     return read_table(spark, base + "/hourly", schemas.RWIS_HOURLY)
 
 
+def together(spark, d, *chains):
+    """Build independent feed chains concurrently: each one's landing delivery
+    is its own Spark job, and jobs submitted from separate driver threads run
+    side by side on the cluster instead of one after another."""
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(len(chains)) as pool:
+        return list(pool.map(lambda f: f(spark, d), chains))
+
+
 # ---------------------------------------------------------------- registry
 def _daily_coverage_sql(spark, d):
-    views = {"rwis_hourly_summary": rwis_hourly(spark, d),
-             "wzdx_daily_summary": wz_daily(spark, d),
-             "inc_daily_summary": inc_daily(spark, d)}
+    h, w, i = together(spark, d, rwis_hourly, wz_daily, inc_daily)
+    views = {"rwis_hourly_summary": h, "wzdx_daily_summary": w, "inc_daily_summary": i}
     for name, df in views.items():
         df.createOrReplaceTempView(name)
     return spark.sql(analytics.DAILY_COVERAGE_SQL)
@@ -243,13 +256,13 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "wzdx_current_events": lambda s, d: curate.wzdx_current_events(wzdx_clean(s, d)),
     "wzdx_daily_summary": wz_daily,
     "daily_coverage": lambda s, d: analytics.daily_coverage(
-        rwis_hourly(s, d), wz_daily(s, d), inc_daily(s, d)),
+        *together(s, d, rwis_hourly, wz_daily, inc_daily)),
     "daily_coverage_sql": _daily_coverage_sql,
     "weather_vs_incidents": lambda s, d: analytics.weather_vs_incidents(
-        rwis_hourly(s, d), inc_daily(s, d)),
+        *together(s, d, rwis_hourly, inc_daily)),
     "county_performance": lambda s, d: analytics.county_performance(inc_daily(s, d)),
     "coverage_gaps": lambda s, d: analytics.coverage_gaps(
-        rwis_hourly(s, d), wz_daily(s, d), inc_daily(s, d)),
+        *together(s, d, rwis_hourly, wz_daily, inc_daily)),
     "pipeline_county_performance": pipeline_county_performance,
     "pipeline_daily_coverage": pipeline_daily_coverage,
     "quality_metrics": quality_metrics,
