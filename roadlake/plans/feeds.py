@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadlake.session import parallelism
 from roadlake.sources.xml import xml_escape
 
 # ---- fixed parameters of the derived feeds and of the runs over them -------
@@ -78,7 +79,7 @@ def _by_block(df: DataFrame, block: Column) -> DataFrame:
     table may be one file of one row group, which scans as one task) and the
     per-block ``groupBy`` reuses this partitioning, so there is one shuffle.
     The explicit count keeps AQE from re-merging the partitions."""
-    n = max(int(df.sparkSession.sparkContext.defaultParallelism), 1)
+    n = parallelism(df.sparkSession)
     return df.withColumn("snapshot", block).repartition(n, "snapshot")
 
 

@@ -71,9 +71,24 @@ def shared_dir(spark: SparkSession) -> str:
     The cluster names it in ``spark.checkpoint.dir``; only when it is unset
     (local tests) is a private temporary folder created and registered.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:                      # remote (Connect) session: no context
+        sc = None
+    if sc is None:
+        d = spark.conf.get("spark.checkpoint.dir", None)
+        return (d or tempfile.mkdtemp(prefix="roadlake-ckpt-")).rstrip("/")
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="roadlake-ckpt-"))
         d = sc.getCheckpointDir()
     return d.rstrip("/")
+
+
+def parallelism(spark: SparkSession) -> int:
+    """Task slots of the session (default parallelism), or the shuffle
+    partition count when the context is not reachable."""
+    try:
+        return max(int(spark.sparkContext.defaultParallelism), 1)
+    except Exception:
+        return max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), 1)
