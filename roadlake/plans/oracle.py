@@ -225,6 +225,9 @@ SELECT 1706745600000 AS ingest_ts, event_id, create_time, start_time, closed, co
     q["wzdx_decode"] = _with(WZ_CTE) + """
 SELECT ingest_ts, road_event_id, road_names, direction, start_date, end_date,
        begin_lat, begin_lon, end_lat, end_lon FROM wz_norm"""
+    q["wzdx_snapshot_check"] = """
+SELECT kind, CAST((SELECT count(DISTINCT o_orderkey // 16) FROM orders) AS BIGINT) AS documents
+FROM (VALUES ('ok'), ('invalid_json'), ('unexpected_shape')) AS k(kind)"""
     q["wzdx_clean"] = _with(WZ_CTE) + "SELECT * FROM wz_clean"
     q["wzdx_current_events"] = _with(WZ_CTE) + "SELECT * FROM wz_current"
     q["wzdx_daily_summary"] = _with(WZ_CTE) + "SELECT * FROM wz_daily"

@@ -78,6 +78,21 @@ def wzdx_landing(spark, d) -> DataFrame:
     return normalize.normalize_wzdx(docs, ingest_col="snapshot_ms")
 
 
+def wzdx_snapshot_check(spark, d) -> DataFrame:
+    """Shape check of work-zone snapshots: every derived document plus a
+    truncated copy (invalid JSON) and a copy whose ``features`` is not a
+    list, classified and counted per kind."""
+    from roadlake.sources import problem_kind
+    docs = feeds.wzdx_snapshots(table(spark, d, "orders"))
+    v = F.col("value")
+    wrong_shape = F.concat(F.lit('{"type":"FeatureCollection","features":{"length":'),
+                           F.length(v).cast("string"), F.lit("}}"))
+    fixed = docs.select(F.explode(F.array(v, F.substring(v, 1, 40), wrong_shape))
+                        .alias("value"))
+    return fixed.groupBy(problem_kind(F.col("value")).alias("kind")) \
+        .agg(F.count(F.lit(1)).alias("documents"))
+
+
 def wzdx_clean(spark, d) -> DataFrame:
     return clean.clean_wzdx(landed(spark, wzdx_landing(spark, d), "wzdx"), run_ts=RUN_TS)
 
@@ -252,6 +267,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "inc_current_events": lambda s, d: curate.inc_current_events(incident_clean(s, d)),
     "inc_daily_summary": inc_daily,
     "wzdx_decode": wzdx_landing,
+    "wzdx_snapshot_check": wzdx_snapshot_check,
     "wzdx_clean": wzdx_clean,
     "wzdx_current_events": lambda s, d: curate.wzdx_current_events(wzdx_clean(s, d)),
     "wzdx_daily_summary": wz_daily,

@@ -2,12 +2,14 @@
 
 from roadlake.sources.arcgis import arcgis_explode, arcgis_item_array, arcgis_item_count
 from roadlake.sources.files import read_landing_lines, read_snapshots, read_table
-from roadlake.sources.geojson import geojson_explode, geojson_features, geojson_problem
+from roadlake.sources.geojson import (FeedPayloadError, geojson_explode, geojson_features,
+                                      geojson_problem, problem_kind, validate_geojson)
 from roadlake.sources.xml import incident_count, incident_elements, xml_escape, xml_explode
 
 __all__ = [
     "arcgis_explode", "arcgis_item_array", "arcgis_item_count",
     "read_landing_lines", "read_snapshots", "read_table", "geojson_explode",
-    "geojson_features", "geojson_problem", "incident_count",
+    "geojson_features", "geojson_problem", "problem_kind", "validate_geojson",
+    "FeedPayloadError", "incident_count",
     "incident_elements", "xml_escape", "xml_explode",
 ]

@@ -36,3 +36,29 @@ def geojson_explode(docs: DataFrame, value_col: str = "value",
     if max_features is not None:
         feats = F.slice(feats, 1, int(max_features))
     return docs.select(*keep, F.posexplode(feats).alias("pos", "feature"))
+
+
+class FeedPayloadError(RuntimeError):
+    """A snapshot document is not a usable FeatureCollection."""
+
+
+def problem_kind(value: Column) -> Column:
+    """``ok``, ``invalid_json`` or ``unexpected_shape`` for each document."""
+    doc = F.try_parse_json(value)
+    return (F.when(doc.isNull(), F.lit("invalid_json"))
+            .when(F.try_variant_get(doc, "$.features", "array<variant>").isNull(),
+                  F.lit("unexpected_shape"))
+            .otherwise(F.lit("ok")))
+
+
+def validate_geojson(docs: DataFrame, value_col: str = "value", fail: bool = True) -> DataFrame:
+    """Documents with their problem (null when fine).  With ``fail`` the
+    first bad document raises :class:`FeedPayloadError` carrying the reason
+    (and a 400-character snippet for bad JSON); only that one row is
+    fetched."""
+    checked = docs.withColumn("problem", geojson_problem(F.col(value_col)))
+    if fail:
+        bad = checked.where(F.col("problem").isNotNull()).select("problem").first()
+        if bad is not None:
+            raise FeedPayloadError(bad[0])
+    return checked

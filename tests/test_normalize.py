@@ -306,3 +306,11 @@ def test_bare_items_geometry_and_raw(spark):
     assert raw == bare
     fs = normalize.rwis_raw_records(docs(spark, {"features": [{"attributes": {"a": 1}}]}))
     assert json.loads(fs.collect()[0][0]) == {"a": 1, "_geom": {}}
+
+
+def test_validate_geojson(spark):
+    from roadlake.sources import FeedPayloadError, validate_geojson
+    good = docs(spark, {"features": []})
+    assert validate_geojson(good).count() == 1
+    with pytest.raises(FeedPayloadError, match="first 400 chars: {oops"):
+        validate_geojson(docs(spark, {"features": []}, "{oops"))
