@@ -193,6 +193,24 @@ def stream_clean_hourly(spark, d):
     return curate.rwis_hourly_summary(read_table(spark, base + "/table", schemas.RWIS_CLEAN))
 
 
+def stream_dedupe_hourly(spark, d):
+    """Every reading delivered twice; the clean stream drops the repeats
+    within its watermark before the table is written, so the hourly summary
+    equals the single-delivery one."""
+    from roadlake import streaming
+    from roadlake.sources import read_table
+    lines_path = run_folder(spark, "landing-rwis-dup")
+    recs = rwis_landing(spark, d)
+    write_landing(recs, lines_path + "/first", arrival_ms=RUN_MS)
+    write_landing(recs, lines_path + "/again", arrival_ms=RUN_MS)
+    rows = streaming.clean_stream(spark, "rwis", lines_path, run_ts=RUN_TS)
+    unique = streaming.dedupe(rows, schemas.RWIS_CLEAN.fieldNames(), "1 hour")
+    base = run_folder(spark, "stream-dedupe")
+    q = streaming.start_clean(unique, base + "/table", base + "/_chk")
+    q.awaitTermination()
+    return curate.rwis_hourly_summary(read_table(spark, base + "/table", schemas.RWIS_CLEAN))
+
+
 def stream_hourly_windows(spark, d):
     """Tumbling one-hour event-time windows with a one-hour watermark in
     append mode: exactly the windows the watermark has closed are emitted."""
@@ -285,6 +303,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_export_roundtrip": csv_export_roundtrip,
     "stream_clean_hourly": stream_clean_hourly,
     "stream_hourly_windows": stream_hourly_windows,
+    "stream_dedupe_hourly": stream_dedupe_hourly,
     "stream_latest_per_station": stream_latest_per_station,
     "stream_curate_hourly": stream_curate_hourly,
 }
