@@ -36,3 +36,28 @@ def test_matches_oracle(spark, name):
     assert sorted(df.columns) == sorted(rel.columns)
     assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == \
         rows_of(rel.columns, rel.fetchall())
+
+
+def test_pipeline_invariants(spark):
+    from pyspark.sql import functions as F
+    from roadlake.plans import queries as Q
+    from roadlake.operators import curate
+    clean = Q.rwis_clean(spark, SF)
+    hourly = curate.rwis_hourly_summary(clean)
+    assert hourly.agg(F.sum("obs_count")).collect()[0][0] == clean.where("dt IS NOT NULL").count()
+    for df, key in [(curate.rwis_latest_per_station(clean), "station_id"),
+                    (curate.inc_current_events(Q.incident_clean(spark, SF)), "event_id"),
+                    (curate.wzdx_current_events(Q.wzdx_clean(spark, SF)), "road_event_id")]:
+        assert df.groupBy(key).count().where("count > 1").count() == 0
+    daily = Q.inc_daily(spark, SF)
+    assert daily.where("open_incidents + closed_incidents > total_incidents").count() == 0
+    cov = E_queries()["daily_coverage"](spark, SF)
+    days = {r["dt"] for r in cov.collect()}
+    feeds_days = [{r[0] for r in df.select("dt").distinct().collect()}
+                  for df in (hourly, Q.wz_daily(spark, SF), daily)]
+    assert days == set.intersection(*feeds_days)
+
+
+def E_queries():
+    import __spark_entry__ as E
+    return E.queries()
