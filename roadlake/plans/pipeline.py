@@ -190,3 +190,37 @@ def run_feed(spark: SparkSession, feed: str, zones: Zones, run_ts=None,
     """landing -> clean -> curated for one feed (clean first, as triggered)."""
     landing_to_clean(spark, feed, zones, run_ts=run_ts, report=report, **kw)
     return clean_to_curated(spark, feed, zones, report=report)
+
+
+def run_feed_incremental(spark: SparkSession, feed: str, zones: Zones, run_ts=None) -> None:
+    """Incremental run: only landing files not seen before are cleaned.
+
+    landing -> clean is an ``availableNow`` stream (exactly once through its
+    checkpoint, appended to the clean table); day-keyed summaries are
+    rebuilt for the days the new rows touched; latest-state tables (and the
+    incident tables, whose latest version may move between days) are
+    rebuilt from the clean table.  A zone root is run either incrementally
+    or with :func:`run_feed`, not both: the stream's commit log decides
+    which clean files a reader sees."""
+    from roadlake import streaming
+    from roadlake.streaming.incremental import DAY_SUMMARIES, SCHEMAS
+    table = CLEAN_TABLES[feed]
+    chk = f"{zones.root}/_checkpoints/{feed}"
+    q = streaming.start_clean(
+        streaming.clean_stream(spark, feed, zones.landing(feed), run_ts=run_ts),
+        zones.clean(table), chk + "/clean", schemas.PARTITIONS[table])
+    q.awaitTermination()
+    summaries = {zones.curated(name): build for name, build in DAY_SUMMARIES[feed].items()}
+    if summaries:
+        new_rows = spark.readStream.schema(SCHEMAS[feed]).parquet(zones.clean(table))
+        streaming.start_curate(spark, new_rows, zones.clean(table), SCHEMAS[feed],
+                               summaries, chk + "/curate").awaitTermination()
+    c = _read_clean(spark, zones, table)
+    if feed == "rwis":
+        write_table(curate.rwis_latest_per_station(c), zones.curated("rwis_latest_per_station"),
+                    schemas.PARTITIONS["rwis_latest_per_station"], "overwrite")
+    elif feed == "wzdx":
+        write_table(curate.wzdx_current_events(c), zones.curated("wzdx_current_events"),
+                    schemas.PARTITIONS["wzdx_current_events"], "overwrite")
+    else:
+        clean_to_curated(spark, feed, zones)

@@ -120,6 +120,9 @@ def start_curate(spark: SparkSession, feed_clean_stream: DataFrame, clean_path:
     return w.start()
 
 
-RWIS_DAY_SUMMARIES = {"rwis_hourly_summary": curate.rwis_hourly_summary}
+# Day-keyed summaries each feed can rebuild per touched day, and clean schemas.
+DAY_SUMMARIES = {"rwis": {"rwis_hourly_summary": curate.rwis_hourly_summary},
+                 "wzdx": {"wzdx_daily_summary": curate.wzdx_daily_summary},
+                 "incidents": {}}
 SCHEMAS = {"rwis": schemas.RWIS_CLEAN, "wzdx": schemas.WZDX_CLEAN,
            "incidents": schemas.INCIDENT_CLEAN}

@@ -172,3 +172,28 @@ def test_landing_to_clean_counts_and_quarantine(spark, tmp_dir):
     assert rep.metrics["rwis_validated"]["out_rows"] == 2
     assert sorted(r[0] for r in spark.read.text(z.quarantine("rwis")).collect()) == \
         ["garbage", "{}"]
+
+
+def test_incremental_runs(spark, tmp_dir):
+    from roadlake.plans import pipeline
+    from roadlake.sinks import write_landing
+    z = pipeline.Zones(tmp_dir)
+    schema = "station_id int, ts long, air_temp_f double, pavement_temp_f double, " \
+             "precip_type string, wind_mph double, surface_status string"
+
+    def deliver(rows, hour_ms):
+        write_landing(spark.createDataFrame(rows, schema), z.landing("rwis"), arrival_ms=hour_ms)
+
+    day1, day2 = 1735689600000, 1735776000000
+    deliver([(1, day1 + 60000, 40.0, 30.0, "None", 1.0, "dry"),
+             (2, day1 + 120000, 41.0, 31.0, "None", 1.0, "dry")], day1)
+    pipeline.run_feed_incremental(spark, "rwis", z)
+    deliver([(1, day2 + 60000, 42.0, 32.0, "Rain", 1.0, "icy")], day2)
+    pipeline.run_feed_incremental(spark, "rwis", z)
+    pipeline.run_feed_incremental(spark, "rwis", z)          # nothing new: no change
+    hourly = pipeline.read_curated(spark, z, "rwis_hourly_summary")
+    assert sorted((r["dt"], r["station_id"], r["obs_count"]) for r in hourly.collect()) == \
+        [("2025-01-01", 1, 1), ("2025-01-01", 2, 1), ("2025-01-02", 1, 1)]
+    latest = {r["station_id"]: r["dt"] for r in
+              pipeline.read_curated(spark, z, "rwis_latest_per_station").collect()}
+    assert latest == {1: "2025-01-02", 2: "2025-01-01"}
