@@ -192,35 +192,62 @@ def run_feed(spark: SparkSession, feed: str, zones: Zones, run_ts=None,
     return clean_to_curated(spark, feed, zones, report=report)
 
 
+def merge_latest(spark: SparkSession, path: str, new_rows: DataFrame, build,
+                 clean_cols, partition: str) -> None:
+    """Latest-state table := latest(previous table's rows + new clean rows).
+
+    Latest-per-key has a total order, so merging the previous latest rows
+    with only the new rows equals a rebuild over the whole history.  The
+    merged rows are checkpointed (written to the shared checkpoint folder)
+    before the table they were read from is replaced."""
+    from pyspark.errors import AnalysisException
+    from pyspark.sql import functions as F
+    try:
+        old = read_table(spark, path)
+        old = old.withColumn("dt", F.col(partition).cast("string")).select(*clean_cols)
+        rows = old.unionByName(new_rows.select(*clean_cols))
+    except AnalysisException:              # first run: no table yet
+        rows = new_rows.select(*clean_cols)
+    merged = build(rows).checkpoint()
+    write_table(merged, path, [partition], "overwrite")
+
+
 def run_feed_incremental(spark: SparkSession, feed: str, zones: Zones, run_ts=None) -> None:
-    """Incremental run: only landing files not seen before are cleaned.
+    """Incremental run: only landing files not seen before are processed.
 
     landing -> clean is an ``availableNow`` stream (exactly once through its
-    checkpoint, appended to the clean table); day-keyed summaries are
-    rebuilt for the days the new rows touched; latest-state tables (and the
-    incident tables, whose latest version may move between days) are
-    rebuilt from the clean table.  A zone root is run either incrementally
-    or with :func:`run_feed`, not both: the stream's commit log decides
-    which clean files a reader sees."""
+    checkpoint, appended to the clean table).  A second ``availableNow``
+    stream over the new clean files rebuilds the day-keyed summaries for the
+    days they touched and merges them into the latest-state table
+    (:func:`merge_latest`), so the work per run follows the new data, not
+    the history.  Incident daily counts follow the current table, whose
+    rows may move between days, so they are rebuilt from it (one row per
+    incident).  A zone root is run either incrementally or with
+    :func:`run_feed`, not both: the stream's commit log decides which clean
+    files a reader sees."""
     from roadlake import streaming
     from roadlake.streaming.incremental import DAY_SUMMARIES, SCHEMAS
     table = CLEAN_TABLES[feed]
+    cols = SCHEMAS[feed].fieldNames()
     chk = f"{zones.root}/_checkpoints/{feed}"
     q = streaming.start_clean(
         streaming.clean_stream(spark, feed, zones.landing(feed), run_ts=run_ts),
         zones.clean(table), chk + "/clean", schemas.PARTITIONS[table])
     q.awaitTermination()
-    summaries = {zones.curated(name): build for name, build in DAY_SUMMARIES[feed].items()}
-    if summaries:
-        new_rows = spark.readStream.schema(SCHEMAS[feed]).parquet(zones.clean(table))
-        streaming.start_curate(spark, new_rows, zones.clean(table), SCHEMAS[feed],
-                               summaries, chk + "/curate").awaitTermination()
-    c = _read_clean(spark, zones, table)
-    if feed == "rwis":
-        write_table(curate.rwis_latest_per_station(c), zones.curated("rwis_latest_per_station"),
-                    schemas.PARTITIONS["rwis_latest_per_station"], "overwrite")
-    elif feed == "wzdx":
-        write_table(curate.wzdx_current_events(c), zones.curated("wzdx_current_events"),
-                    schemas.PARTITIONS["wzdx_current_events"], "overwrite")
-    else:
-        clean_to_curated(spark, feed, zones)
+    latest = {"rwis": ("rwis_latest_per_station", curate.rwis_latest_per_station),
+              "wzdx": ("wzdx_current_events", curate.wzdx_current_events),
+              "incidents": ("inc_current_events", curate.inc_current_events)}[feed]
+
+    def on_batch(batch):
+        name, build = latest
+        merge_latest(spark, zones.curated(name), batch, build, cols,
+                     schemas.PARTITIONS[name][0])
+        if feed == "incidents":
+            cur = read_table(spark, zones.curated(name)).select(*schemas.INCIDENT_CURRENT_COLS)
+            write_table(curate.inc_daily_summary(cur), zones.curated("inc_daily_summary"),
+                        schemas.PARTITIONS["inc_daily_summary"], "overwrite")
+
+    summaries = {zones.curated(n): b for n, b in DAY_SUMMARIES[feed].items()}
+    new_rows = spark.readStream.schema(SCHEMAS[feed]).parquet(zones.clean(table))
+    streaming.start_curate(spark, new_rows, zones.clean(table), SCHEMAS[feed], summaries,
+                           chk + "/curate", on_batch=on_batch).awaitTermination()

@@ -100,11 +100,12 @@ def _touched_days(batch: DataFrame, day_col: str = "dt") -> list[str]:
 
 def start_curate(spark: SparkSession, feed_clean_stream: DataFrame, clean_path: str,
                  clean_schema, summaries: dict, checkpoint: str,
-                 available_now: bool = True) -> StreamingQuery:
+                 available_now: bool = True, on_batch=None) -> StreamingQuery:
     """For every micro-batch of new clean rows, rebuild each summary for the
     days the batch touched from the whole clean table and replace those day
     partitions.  ``summaries`` maps output path -> ``clean_df -> summary_df``
-    (the summary must be keyed by ``dt``)."""
+    (the summary must be keyed by ``dt``); ``on_batch(batch)`` runs after
+    (e.g. to merge the new rows into a latest-state table)."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         days = _touched_days(batch)
@@ -113,6 +114,8 @@ def start_curate(spark: SparkSession, feed_clean_stream: DataFrame, clean_path:
         c = read_table(spark, clean_path, clean_schema).where(F.col("dt").isin(days))
         for out_path, build in summaries.items():
             write_table(build(c), out_path, ["dt"], "replace_partitions")
+        if on_batch is not None:
+            on_batch(batch)
 
     w = feed_clean_stream.writeStream.foreachBatch(run) \
         .option("checkpointLocation", checkpoint)

@@ -197,3 +197,27 @@ def test_incremental_runs(spark, tmp_dir):
     latest = {r["station_id"]: r["dt"] for r in
               pipeline.read_curated(spark, z, "rwis_latest_per_station").collect()}
     assert latest == {1: "2025-01-02", 2: "2025-01-01"}
+
+
+def test_incremental_incident_versions_move_days(spark, tmp_dir):
+    from roadlake.plans import pipeline
+    from roadlake.sinks import write_landing
+    z = pipeline.Zones(tmp_dir)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}"
+                       for f in schemas.INCIDENT_LANDING.fields)
+
+    def version(start, closed):
+        return (0, "e1", None, start, closed, "C", "d", "N", "t", None, None, None, False, None)
+
+    write_landing(spark.createDataFrame([version("2025-01-01T05:00:00", False)], schema),
+                  z.landing("incidents"), arrival_ms=1735689600000)
+    pipeline.run_feed_incremental(spark, "incidents", z)
+    write_landing(spark.createDataFrame([version("2025-01-02T05:00:00", True)], schema),
+                  z.landing("incidents"), arrival_ms=1735776000000)
+    pipeline.run_feed_incremental(spark, "incidents", z)
+    cur = pipeline.read_curated(spark, z, "inc_current_events").collect()
+    assert [(r["event_id"], r["snapshot_dt"], r["closed"]) for r in cur] == \
+        [("e1", "2025-01-02", True)]
+    daily = pipeline.read_curated(spark, z, "inc_daily_summary").collect()
+    assert [(r["dt"], r["total_incidents"], r["closed_incidents"]) for r in daily] == \
+        [("2025-01-02", 1, 1)]
