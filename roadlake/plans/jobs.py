@@ -202,12 +202,15 @@ def merge_latest(spark: SparkSession, path: str, new_rows: DataFrame, build,
     before the table they were read from is replaced."""
     from pyspark.errors import AnalysisException
     from pyspark.sql import functions as F
-    try:
-        old = read_table(spark, path)
-        old = old.withColumn("dt", F.col(partition).cast("string")).select(*clean_cols)
-        rows = old.unionByName(new_rows.select(*clean_cols))
-    except AnalysisException:              # first run: no table yet
-        rows = new_rows.select(*clean_cols)
+    from roadlake.session import path_exists
+    rows = new_rows.select(*clean_cols)
+    if path_exists(spark, path) is not False:          # first run: no table yet
+        try:
+            old = read_table(spark, path)
+            old = old.withColumn("dt", F.col(partition).cast("string")).select(*clean_cols)
+            rows = old.unionByName(rows)
+        except AnalysisException:
+            pass
     merged = build(rows).checkpoint()
     write_table(merged, path, [partition], "overwrite")
 

@@ -263,9 +263,9 @@ WHERE NOT (r.rwis_obs IS NOT NULL AND w.work_zones IS NOT NULL AND i.incidents I
 SELECT * FROM rwis_hourly
 WHERE event_hour + INTERVAL 1 HOUR <= (SELECT max(event_time) FROM rwis_clean) - INTERVAL 1 HOUR"""
     q["stream_latest_per_station"] = q["rwis_latest_per_station"]
-    q["pipeline_county_performance"] = q["county_performance"]
-    q["pipeline_incremental_county_performance"] = q["county_performance"]
-    q["pipeline_daily_coverage"] = q["daily_coverage"]
+    q["zones_county_performance"] = q["county_performance"]
+    q["zones_incremental_county_performance"] = q["county_performance"]
+    q["zones_daily_coverage"] = q["daily_coverage"]
     q["csv_export_roundtrip"] = q["county_performance"]
     q["quality_metrics"] = _with(RWIS_CTE) + """
 SELECT CAST((SELECT count(*) FROM rwis_norm)

@@ -111,7 +111,7 @@ def inc_daily(spark, d):
 
 # ------------------------------------------------------- zone-level chains
 def _zones(spark):
-    from roadlake.plans.pipeline import Zones
+    from roadlake.plans.jobs import Zones
     return Zones(run_folder(spark, "zones"))
 
 
@@ -121,41 +121,41 @@ def _land_feed(spark, d, zones, feed):
     write_landing(recs, zones.landing(feed), arrival_ms=RUN_MS)
 
 
-def pipeline_county_performance(spark, d):
+def zones_county_performance(spark, d):
     """Incidents through the zones: landing files -> clean table (catalog)
     -> current + daily tables -> Q3 over the curated table read back."""
-    from roadlake.plans import pipeline
+    from roadlake.plans import jobs
     z = _zones(spark)
     _land_feed(spark, d, z, "incidents")
-    pipeline.run_feed(spark, "incidents", z, run_ts=RUN_TS)
-    return analytics.county_performance(pipeline.read_curated(spark, z, "inc_daily_summary"))
+    jobs.run_feed(spark, "incidents", z, run_ts=RUN_TS)
+    return analytics.county_performance(jobs.read_curated(spark, z, "inc_daily_summary"))
 
 
-def pipeline_incremental_county_performance(spark, d):
+def zones_incremental_county_performance(spark, d):
     """Incidents through incremental zone runs: a delivery and a run, then a
     re-delivery of the same poll and a second run (which processes only the
     new files); current-state semantics absorb the repeat, so Q3 equals the
     one-delivery answer."""
-    from roadlake.plans import pipeline
+    from roadlake.plans import jobs
     z = _zones(spark)
     recs = incident_landing(spark, d)
     for attempt in range(2):
         write_landing(recs, z.landing("incidents"), arrival_ms=RUN_MS + attempt * 3600000)
-        pipeline.run_feed_incremental(spark, "incidents", z, run_ts=RUN_TS)
-    return analytics.county_performance(pipeline.read_curated(spark, z, "inc_daily_summary"))
+        jobs.run_feed_incremental(spark, "incidents", z, run_ts=RUN_TS)
+    return analytics.county_performance(jobs.read_curated(spark, z, "inc_daily_summary"))
 
 
-def pipeline_daily_coverage(spark, d):
+def zones_daily_coverage(spark, d):
     """All three feeds through the zones, curated tables registered in the
     catalog, Q1 run as SQL over the catalog tables."""
-    from roadlake.plans import pipeline
+    from roadlake.plans import jobs
     z = _zones(spark)
 
     def feed_job(feed):
         def run(spark, d):
             _land_feed(spark, d, z, feed)
-            pipeline.landing_to_clean(spark, feed, z, run_ts=RUN_TS)
-            return pipeline.clean_to_curated(spark, feed, z, register=True)
+            jobs.landing_to_clean(spark, feed, z, run_ts=RUN_TS)
+            return jobs.clean_to_curated(spark, feed, z, register=True)
         return run
 
     together(spark, d, *(feed_job(f) for f in ("rwis", "wzdx", "incidents")))
@@ -311,9 +311,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "county_performance": lambda s, d: analytics.county_performance(inc_daily(s, d)),
     "coverage_gaps": lambda s, d: analytics.coverage_gaps(
         *together(s, d, rwis_hourly, wz_daily, inc_daily)),
-    "pipeline_county_performance": pipeline_county_performance,
-    "pipeline_daily_coverage": pipeline_daily_coverage,
-    "pipeline_incremental_county_performance": pipeline_incremental_county_performance,
+    "zones_county_performance": zones_county_performance,
+    "zones_daily_coverage": zones_daily_coverage,
+    "zones_incremental_county_performance": zones_incremental_county_performance,
     "quality_metrics": quality_metrics,
     "csv_export_roundtrip": csv_export_roundtrip,
     "stream_clean_hourly": stream_clean_hourly,

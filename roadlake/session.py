@@ -92,3 +92,15 @@ def parallelism(spark: SparkSession) -> int:
         return max(int(spark.sparkContext.defaultParallelism), 1)
     except Exception:
         return max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), 1)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool | None:
+    """Whether a folder exists on its Hadoop file system (None when the
+    file system is not reachable from this session)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return bool(p.getFileSystem(conf).exists(p))
+    except Exception:
+        return None

@@ -162,12 +162,12 @@ def test_stream_windows_and_dedupe(spark, tmp_dir):
 
 
 def test_landing_to_clean_counts_and_quarantine(spark, tmp_dir):
-    from roadlake.plans import pipeline
-    z = pipeline.Zones(tmp_dir)
+    from roadlake.plans import jobs
+    z = jobs.Zones(tmp_dir)
     good = json.dumps({"station_id": 1, "ts": 1763359140000})
     lines(spark, good, good, "garbage", "{}").write.text(z.landing("rwis"))
-    rep = pipeline.RunReport()
-    pipeline.landing_to_clean(spark, "rwis", z, report=rep)
+    rep = jobs.RunReport()
+    jobs.landing_to_clean(spark, "rwis", z, report=rep)
     assert rep.metrics["rwis_landing"] == {"lines": 4, "malformed_lines": 2}
     assert rep.metrics["rwis_validated"]["out_rows"] == 2
     assert sorted(r[0] for r in spark.read.text(z.quarantine("rwis")).collect()) == \
@@ -175,9 +175,9 @@ def test_landing_to_clean_counts_and_quarantine(spark, tmp_dir):
 
 
 def test_incremental_runs(spark, tmp_dir):
-    from roadlake.plans import pipeline
+    from roadlake.plans import jobs
     from roadlake.sinks import write_landing
-    z = pipeline.Zones(tmp_dir)
+    z = jobs.Zones(tmp_dir)
     schema = "station_id int, ts long, air_temp_f double, pavement_temp_f double, " \
              "precip_type string, wind_mph double, surface_status string"
 
@@ -187,22 +187,22 @@ def test_incremental_runs(spark, tmp_dir):
     day1, day2 = 1735689600000, 1735776000000
     deliver([(1, day1 + 60000, 40.0, 30.0, "None", 1.0, "dry"),
              (2, day1 + 120000, 41.0, 31.0, "None", 1.0, "dry")], day1)
-    pipeline.run_feed_incremental(spark, "rwis", z)
+    jobs.run_feed_incremental(spark, "rwis", z)
     deliver([(1, day2 + 60000, 42.0, 32.0, "Rain", 1.0, "icy")], day2)
-    pipeline.run_feed_incremental(spark, "rwis", z)
-    pipeline.run_feed_incremental(spark, "rwis", z)          # nothing new: no change
-    hourly = pipeline.read_curated(spark, z, "rwis_hourly_summary")
+    jobs.run_feed_incremental(spark, "rwis", z)
+    jobs.run_feed_incremental(spark, "rwis", z)          # nothing new: no change
+    hourly = jobs.read_curated(spark, z, "rwis_hourly_summary")
     assert sorted((r["dt"], r["station_id"], r["obs_count"]) for r in hourly.collect()) == \
         [("2025-01-01", 1, 1), ("2025-01-01", 2, 1), ("2025-01-02", 1, 1)]
     latest = {r["station_id"]: r["dt"] for r in
-              pipeline.read_curated(spark, z, "rwis_latest_per_station").collect()}
+              jobs.read_curated(spark, z, "rwis_latest_per_station").collect()}
     assert latest == {1: "2025-01-02", 2: "2025-01-01"}
 
 
 def test_incremental_incident_versions_move_days(spark, tmp_dir):
-    from roadlake.plans import pipeline
+    from roadlake.plans import jobs
     from roadlake.sinks import write_landing
-    z = pipeline.Zones(tmp_dir)
+    z = jobs.Zones(tmp_dir)
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}"
                        for f in schemas.INCIDENT_LANDING.fields)
 
@@ -211,13 +211,13 @@ def test_incremental_incident_versions_move_days(spark, tmp_dir):
 
     write_landing(spark.createDataFrame([version("2025-01-01T05:00:00", False)], schema),
                   z.landing("incidents"), arrival_ms=1735689600000)
-    pipeline.run_feed_incremental(spark, "incidents", z)
+    jobs.run_feed_incremental(spark, "incidents", z)
     write_landing(spark.createDataFrame([version("2025-01-02T05:00:00", True)], schema),
                   z.landing("incidents"), arrival_ms=1735776000000)
-    pipeline.run_feed_incremental(spark, "incidents", z)
-    cur = pipeline.read_curated(spark, z, "inc_current_events").collect()
+    jobs.run_feed_incremental(spark, "incidents", z)
+    cur = jobs.read_curated(spark, z, "inc_current_events").collect()
     assert [(r["event_id"], r["snapshot_dt"], r["closed"]) for r in cur] == \
         [("e1", "2025-01-02", True)]
-    daily = pipeline.read_curated(spark, z, "inc_daily_summary").collect()
+    daily = jobs.read_curated(spark, z, "inc_daily_summary").collect()
     assert [(r["dt"], r["total_incidents"], r["closed_incidents"]) for r in daily] == \
         [("2025-01-02", 1, 1)]

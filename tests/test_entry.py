@@ -38,7 +38,7 @@ def test_matches_oracle(spark, name):
         rows_of(rel.columns, rel.fetchall())
 
 
-def test_pipeline_invariants(spark):
+def test_chain_invariants(spark):
     from pyspark.sql import functions as F
     from roadlake.plans import queries as Q
     from roadlake.operators import curate

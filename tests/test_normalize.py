@@ -251,7 +251,7 @@ def test_non_object_items_skipped_and_counts(spark):
 def test_ingest_and_run_feed(spark, tmp_dir):
     """Snapshot files -> landing -> clean -> curated, through the zone jobs."""
     import os
-    from roadlake.plans import analytics, pipeline
+    from roadlake.plans import analytics, jobs
     raw = tmp_dir + "/raw"
     for feed, payload in [
         ("rwis", featureset(dict(SAMPLE), dict(SAMPLE, station_id=3))),
@@ -264,28 +264,28 @@ def test_ingest_and_run_feed(spark, tmp_dir):
         os.makedirs(f"{raw}/{feed}")
         with open(f"{raw}/{feed}/snap1.txt", "w") as f:
             f.write(payload if isinstance(payload, str) else json.dumps(payload))
-    z = pipeline.Zones(tmp_dir + "/zones")
-    rep = pipeline.RunReport()
+    z = jobs.Zones(tmp_dir + "/zones")
+    rep = jobs.RunReport()
     for feed in ("rwis", "wzdx", "incidents"):
         stamp = {} if feed == "rwis" else {"ingest_col": None}   # poll time = run time
-        pipeline.ingest_snapshots(spark, feed, f"{raw}/{feed}", z,
+        jobs.ingest_snapshots(spark, feed, f"{raw}/{feed}", z,
                                   run_ts="2025-11-17T10:00:00Z", **stamp)
-        pipeline.run_feed(spark, feed, z, run_ts="2025-11-17T10:00:00Z", report=rep)
+        jobs.run_feed(spark, feed, z, run_ts="2025-11-17T10:00:00Z", report=rep)
     assert rep.metrics["rwis_validated"]["out_rows"] == 2
-    hourly = pipeline.read_curated(spark, z, "rwis_hourly_summary")
-    wz_daily = pipeline.read_curated(spark, z, "wzdx_daily_summary")
-    inc = pipeline.read_curated(spark, z, "inc_daily_summary")
+    hourly = jobs.read_curated(spark, z, "rwis_hourly_summary")
+    wz_daily = jobs.read_curated(spark, z, "wzdx_daily_summary")
+    inc = jobs.read_curated(spark, z, "inc_daily_summary")
     q1 = analytics.daily_coverage(hourly, wz_daily, inc).collect()
     assert [(r["dt"], r["rwis_stations"], r["work_zones"], r["incidents"]) for r in q1] == \
         [("2025-11-17", 2, 1, 1)]
     # re-running the clean job replaces its days: no duplicates
-    pipeline.run_feed(spark, "rwis", z, run_ts="2025-11-17T10:00:00Z")
-    assert pipeline.read_curated(spark, z, "rwis_hourly_summary") \
+    jobs.run_feed(spark, "rwis", z, run_ts="2025-11-17T10:00:00Z")
+    assert jobs.read_curated(spark, z, "rwis_hourly_summary") \
         .agg({"obs_count": "sum"}).collect()[0][0] == 2
-    assert pipeline.read_curated(spark, z, "rwis_latest_per_station").count() == 2
+    assert jobs.read_curated(spark, z, "rwis_latest_per_station").count() == 2
     # history mode appends one snapshot of the latest table per run
-    pipeline.clean_to_curated(spark, "rwis", z, history=True)
-    assert pipeline.read_curated(spark, z, "rwis_latest_per_station").count() == 4
+    jobs.clean_to_curated(spark, "rwis", z, history=True)
+    assert jobs.read_curated(spark, z, "rwis_latest_per_station").count() == 4
 
 
 def test_incident_xml_unknown_and_prefixed_children(spark):
