@@ -6,8 +6,9 @@ root) and that has child elements.  Tags are first canonicalised with one
 regular expression, the elements are cut out with ``regexp_extract_all``
 and exploded, and each one is parsed with ``from_xml`` against a flat
 schema of text fields — so each row is a small independent parse and the
-work spreads with the rows.  Incidents nested inside incidents are not
-supported (the outer one is cut at the inner closing tag).
+work spreads with the rows.  Child tags match exactly (case-sensitive).
+Incidents nested inside incidents are not supported (the outer one is cut
+at the inner closing tag).
 """
 
 from __future__ import annotations
@@ -26,6 +27,11 @@ _ELEMENT = r"(?s)<Incident(?:\s[^>]*)?(?<!/)>.*?</Incident>"
 _HAS_CHILD = r"(?s)^<Incident(?:\s[^>]*)?>.*<[A-Za-z_]"
 
 INCIDENT_XML_SCHEMA = ", ".join(f"{tag} string" for tag, _ in INCIDENT_TAGS)
+# A child tag that equals a known tag only when case is ignored (e.g. <ID>
+# for <id>): renamed so that it matches no field, because child lookup is
+# exact-case while from_xml matches names case-insensitively.
+_KNOWN = "|".join(sorted((t for t, _ in INCIDENT_TAGS), key=len, reverse=True))
+_CASE_VARIANT = rf"<(/?)(?!(?:{_KNOWN})[\s/>])((?i:{_KNOWN}))(?=[\s/>])"
 
 
 def incident_elements(value: Column) -> Column:
@@ -44,8 +50,9 @@ def xml_explode(docs: DataFrame, value_col: str = "value",
     if max_records is not None:
         elems = F.slice(elems, 1, int(max_records))
     rows = docs.select(*keep, F.posexplode(elems).alias("pos", "element"))
+    exact = F.regexp_replace(F.col("element"), _CASE_VARIANT, "<$1_$2")
     return rows.select(*keep, "pos", F.from_xml(
-        "element", INCIDENT_XML_SCHEMA,
+        exact, INCIDENT_XML_SCHEMA,
         {"ignoreSurroundingSpaces": "false", "mode": "PERMISSIVE"}).alias("x"))
 
 

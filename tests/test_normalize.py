@@ -314,3 +314,9 @@ def test_validate_geojson(spark):
     assert validate_geojson(good).count() == 1
     with pytest.raises(FeedPayloadError, match="first 400 chars: {oops"):
         validate_geojson(docs(spark, {"features": []}, "{oops"))
+
+
+def test_incident_child_tags_exact_case(spark):
+    x = "<r><Incident><ID>5</ID><id>6</id><County>X</County></Incident></r>"
+    r = normalize.normalize_incidents(docs(spark, x), run_ts=RUN).collect()[0]
+    assert (r["event_id"], r["county"]) == ("6", None)
