@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from roadlake.functions.enums import surface_status
 from roadlake.functions.geo import line_endpoints, within_radius
-from roadlake.functions.time import epoch_ms_of_value, now_ms
+from roadlake.functions.time import epoch_ms_of_value, now_ms, run_ms_of
 from roadlake.functions.values import (digits_id, first_truthy, is_text,
                                        nonempty, text_to_float, to_bool,
                                        to_float, truthy, vdouble, vfield,
@@ -19,6 +19,7 @@ from roadlake.functions.values import (digits_id, first_truthy, is_text,
 from roadlake.schemas import (INCIDENT_LANDING, RWIS_LANDING,
                               RWIS_PRECIP_KEYS, RWIS_STATION_KEYS,
                               WZDX_LANDING)
+from roadlake.session import expr_cache
 from roadlake.sources.arcgis import arcgis_explode
 from roadlake.sources.geojson import geojson_explode
 from roadlake.sources.xml import xml_explode
@@ -31,8 +32,16 @@ def rwis_fields(items: DataFrame, run_ts=None) -> DataFrame:
 
     Built as staged projections (pull each field once, choose among the
     spellings, then type) so no expression is repeated inside another."""
-    a, g = F.col("attrs"), F.col("geom")
     keep = [c for c in items.columns if c not in ("attrs", "geom", "bare")]
+    out = items
+    for stage in _rwis_stages(run_ms_of(run_ts)):
+        out = out.select(*keep, *stage)
+    return out
+
+
+@expr_cache
+def _rwis_stages(run_ms):
+    a, g, c = F.col("attrs"), F.col("geom"), F.col
     pulled = {f"st{n}": vfield(a, k) for n, k in enumerate(RWIS_STATION_KEYS)}
     pulled.update({f"pr{n}": vfield(a, k) for n, k in enumerate(RWIS_PRECIP_KEYS)})
     pulled.update(rt=vfield(a, "ReportTime"),
@@ -42,34 +51,32 @@ def rwis_fields(items: DataFrame, run_ts=None) -> DataFrame:
                   wa=vfield(a, "AvgWindSpeed"), wg=vfield(a, "WindGust"),
                   lat0=vdouble(a, "LATITUDE"), lon0=vdouble(a, "LONGITUDE"),
                   gx=vdouble(g, "x"), gy=vdouble(g, "y"))
-    s1 = items.select(*keep, *[c.alias(n) for n, c in pulled.items()])
-    c = F.col
-    s2 = s1.select(
-        *keep,
+    s1 = [col.alias(n) for n, col in pulled.items()]
+    s2 = [
         first_truthy(*[c(f"st{n}") for n in range(len(RWIS_STATION_KEYS))]).alias("st"),
         first_truthy(*[c(f"pr{n}") for n in range(len(RWIS_PRECIP_KEYS))]).alias("pr"),
         first_truthy(c("wa"), c("wg")).alias("w"),
         epoch_ms_of_value(c("rt")).alias("ms"),
-        "air_temp_f", "pavement_temp_f", "lat0", "lon0", "gx", "gy")
+        "air_temp_f", "pavement_temp_f", "lat0", "lon0", "gx", "gy"]
     need = c("lat0").isNull() | c("lon0").isNull()
-    s3 = s2.select(
-        *keep,
+    s3 = [
         F.when(truthy(c("st")), digits_id(c("st"))).otherwise(F.lit(-1))
         .cast("int").alias("station_id"),
-        F.coalesce(F.nullif(c("ms"), F.lit(0)), now_ms(run_ts)).alias("ts"),
+        F.coalesce(F.nullif(c("ms"), F.lit(0)), now_ms(run_ms)).alias("ts"),
         "air_temp_f", "pavement_temp_f",
         F.when(truthy(c("pr")), vstring(c("pr"))).alias("precip_raw"),
         to_float(c("w")).alias("wind_mph"),
         F.when(need & (c("lat0").isNull() | (c("lat0") == 0)), c("gy"))
         .otherwise(c("lat0")).alias("lat"),
         F.when(need & (c("lon0").isNull() | (c("lon0") == 0)), c("gx"))
-        .otherwise(c("lon0")).alias("lon"))
-    return s3.select(
-        *keep, "station_id", "ts", "air_temp_f", "pavement_temp_f",
+        .otherwise(c("lon0")).alias("lon")]
+    s4 = [
+        "station_id", "ts", "air_temp_f", "pavement_temp_f",
         F.coalesce(c("precip_raw"), F.lit("None")).alias("precip_type"),
         "wind_mph",
         surface_status(c("precip_raw"), c("pavement_temp_f")).alias("surface_status"),
-        "lat", "lon")
+        "lat", "lon"]
+    return s1, s2, s3, s4
 
 
 def geofence(df: DataFrame, center_lat: float, center_lon: float,
@@ -136,43 +143,48 @@ def normalize_wzdx(docs: DataFrame, run_ts=None, ingest_col: str | None = None,
     ``ingest_ts`` is the poll stamp: column ``ingest_col`` of the documents
     (e.g. ``snapshot_ms``) when given, else the run time."""
     feats = geojson_explode(docs, value_col, max_features)
-    f = F.col("feature")
-    c = F.col
-    ingest = c(ingest_col).cast("long") if ingest_col else now_ms(run_ts)
+    out = feats
+    for stage in _wzdx_stages(ingest_col, run_ms_of(run_ts), accept_altitude):
+        out = out.select(*stage)
+    return out
+
+
+@expr_cache
+def _wzdx_stages(ingest_col, run_ms, accept_altitude):
+    f, c = F.col("feature"), F.col
+    ingest = c(ingest_col).cast("long") if ingest_col else now_ms(run_ms)
     P, C = "properties", "properties.core_details"
 
     def leaf(path, kind="variant"):          # read a leaf straight from the feature
         return F.try_variant_get(f, f"$.{path}", kind)
 
-    s3 = feats.select(
-        ingest.alias("ingest_ts"),
-        leaf(f"{C}.road_event_id").alias("r0"), leaf(f"{C}.id").alias("r1"),
-        leaf(f"{P}.road_event_id").alias("r2"), leaf(f"{P}.id").alias("r3"),
-        leaf("id").alias("r4"),
-        leaf(f"{C}.road_names").alias("n0"), leaf(f"{P}.road_names").alias("n1"),
-        leaf(f"{C}.direction").alias("d0"), leaf(f"{P}.direction").alias("d1"),
-        leaf(f"{C}.directionality").alias("d2"), leaf(f"{P}.directionality").alias("d3"),
-        leaf(f"{P}.start_date", "string").alias("start_date"),
-        leaf(f"{P}.end_date", "string").alias("end_date"),
-        leaf("geometry.type", "string").alias("gtype"),
-        leaf("geometry.coordinates").alias("coords"))
-    s4 = s3.select(
-        "ingest_ts",
-        first_truthy(*[c(f"r{n}") for n in range(5)]).alias("rid"),
-        first_truthy(c("n0"), c("n1")).alias("names"),
-        first_truthy(*[c(f"d{n}") for n in range(4)]).alias("dir"),
-        "start_date", "end_date",
-        line_endpoints(c("gtype"), c("coords"), accept_altitude).alias("ends"))
-    out = s4.select(
-        "ingest_ts",
-        F.when(vjson(c("rid")) != "null", vstring(c("rid"))).alias("road_event_id"),
-        F.try_variant_get(c("names"), "$", "array<string>").alias("road_names"),
-        F.when(is_text(c("dir")), F.upper(vstring(c("dir"))))
-        .otherwise(vstring(c("dir"))).alias("direction"),
-        "start_date", "end_date",
-        c("ends.begin_lat").alias("begin_lat"), c("ends.begin_lon").alias("begin_lon"),
-        c("ends.end_lat").alias("end_lat"), c("ends.end_lon").alias("end_lon"))
-    return out.select(*[F.col(x.name).cast(x.dataType) for x in WZDX_LANDING.fields])
+    s3 = [ingest.alias("ingest_ts"),
+          leaf(f"{C}.road_event_id").alias("r0"), leaf(f"{C}.id").alias("r1"),
+          leaf(f"{P}.road_event_id").alias("r2"), leaf(f"{P}.id").alias("r3"),
+          leaf("id").alias("r4"),
+          leaf(f"{C}.road_names").alias("n0"), leaf(f"{P}.road_names").alias("n1"),
+          leaf(f"{C}.direction").alias("d0"), leaf(f"{P}.direction").alias("d1"),
+          leaf(f"{C}.directionality").alias("d2"), leaf(f"{P}.directionality").alias("d3"),
+          leaf(f"{P}.start_date", "string").alias("start_date"),
+          leaf(f"{P}.end_date", "string").alias("end_date"),
+          leaf("geometry.type", "string").alias("gtype"),
+          leaf("geometry.coordinates").alias("coords")]
+    s4 = ["ingest_ts",
+          first_truthy(*[c(f"r{n}") for n in range(5)]).alias("rid"),
+          first_truthy(c("n0"), c("n1")).alias("names"),
+          first_truthy(*[c(f"d{n}") for n in range(4)]).alias("dir"),
+          "start_date", "end_date",
+          line_endpoints(c("gtype"), c("coords"), accept_altitude).alias("ends")]
+    s5 = ["ingest_ts",
+          F.when(vjson(c("rid")) != "null", vstring(c("rid"))).alias("road_event_id"),
+          F.try_variant_get(c("names"), "$", "array<string>").alias("road_names"),
+          F.when(is_text(c("dir")), F.upper(vstring(c("dir"))))
+          .otherwise(vstring(c("dir"))).alias("direction"),
+          "start_date", "end_date",
+          c("ends.begin_lat").alias("begin_lat"), c("ends.begin_lon").alias("begin_lon"),
+          c("ends.end_lat").alias("end_lat"), c("ends.end_lon").alias("end_lon")]
+    s6 = [F.col(x.name).cast(x.dataType) for x in WZDX_LANDING.fields]
+    return s3, s4, s5, s6
 
 
 # ---------------------------------------------------------------- incidents
@@ -181,27 +193,34 @@ def normalize_incidents(docs: DataFrame, run_ts=None, ingest_col: str | None = N
                         value_col: str = "value") -> DataFrame:
     """CHART XML documents -> incident landing records."""
     x = xml_explode(docs, value_col, max_records)
+    out = x
+    for stage in _incident_stages(ingest_col, run_ms_of(run_ts)):
+        out = out.select(*stage)
+    return out
+
 
+@expr_cache
+def _incident_stages(ingest_col, run_ms):
     def t(tag):
         return nonempty(F.col(f"x.{tag}"))
 
-    ingest = F.col(ingest_col).cast("long") if ingest_col else now_ms(run_ts)
-    out = x.select(
-        ingest.alias("ingest_ts"),
-        t("id").alias("event_id"),
-        t("createTime").alias("create_time"),
-        t("startDateTime").alias("start_time"),
-        to_bool(t("closed")).alias("closed"),
-        t("county").alias("county"),
-        t("description").alias("description"),
-        F.upper(t("direction")).alias("direction"),
-        t("incidentType").alias("incident_type"),
-        text_to_float(F.coalesce(t("latitude"), t("lat"))).alias("lat"),
-        text_to_float(F.coalesce(t("longitude"), t("lon"))).alias("lon"),
-        t("lanesStatus").alias("lanes_status"),
-        to_bool(t("trafficAlert")).alias("traffic_alert"),
-        t("trafficAlertTextMsg").alias("traffic_alert_msg"))
-    return out.select(*[F.col(x.name).cast(x.dataType) for x in INCIDENT_LANDING.fields])
+    ingest = F.col(ingest_col).cast("long") if ingest_col else now_ms(run_ms)
+    s1 = [ingest.alias("ingest_ts"),
+          t("id").alias("event_id"),
+          t("createTime").alias("create_time"),
+          t("startDateTime").alias("start_time"),
+          to_bool(t("closed")).alias("closed"),
+          t("county").alias("county"),
+          t("description").alias("description"),
+          F.upper(t("direction")).alias("direction"),
+          t("incidentType").alias("incident_type"),
+          text_to_float(F.coalesce(t("latitude"), t("lat"))).alias("lat"),
+          text_to_float(F.coalesce(t("longitude"), t("lon"))).alias("lon"),
+          t("lanesStatus").alias("lanes_status"),
+          to_bool(t("trafficAlert")).alias("traffic_alert"),
+          t("trafficAlertTextMsg").alias("traffic_alert_msg")]
+    s2 = [F.col(x.name).cast(x.dataType) for x in INCIDENT_LANDING.fields]
+    return s1, s2
 
 
 # ------------------------------------------------------------------ landing

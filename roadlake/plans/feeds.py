@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlake.session import parallelism
+from roadlake.session import expr_cache, parallelism
 from roadlake.sources.xml import xml_escape
 
 # ---- fixed parameters of the derived feeds and of the runs over them -------
@@ -96,6 +96,16 @@ def rwis_snapshots(events: DataFrame) -> DataFrame:
     """ArcGIS documents of station readings: ``snapshot`` (block id),
     ``value`` (document text).  Every tenth block is a bare JSON array of
     attribute objects instead of a FeatureSet."""
+    item, doc = _rwis_exprs()
+    blocks = (_by_block(events, F.floor(F.col("event_id") / RWIS_BLOCK))
+              .select("snapshot", item.alias("item"))
+              .groupBy("snapshot")
+              .agg(F.array_join(F.collect_list("item"), ",").alias("items")))
+    return blocks.select("snapshot", doc.alias("value"))
+
+
+@expr_cache
+def _rwis_exprs():
     i, u, v = F.col("event_id"), F.col("user_id"), F.col("value")
     ts = F.col("ts").cast("timestamp")
     ms = F.unix_millis(ts)
@@ -132,14 +142,10 @@ def rwis_snapshots(events: DataFrame) -> DataFrame:
     geom = _object(_num("x", lon), _num("y", lat))
     item = F.when(bare, attrs).otherwise(
         _object(_raw("attributes", attrs), _raw("geometry", geom)))
-    blocks = (_by_block(events, F.floor(i / RWIS_BLOCK))
-              .select("snapshot", item.alias("item"))
-              .groupBy("snapshot")
-              .agg(F.array_join(F.collect_list("item"), ",").alias("items")))
     doc = F.when(F.col("snapshot") % 10 == 9,
                  F.concat(F.lit("["), F.col("items"), F.lit("]"))) \
         .otherwise(F.concat(F.lit('{"features":['), F.col("items"), F.lit("]}")))
-    return blocks.select("snapshot", doc.alias("value"))
+    return item, doc
 
 
 # ------------------------------------------------------------- incidents
@@ -155,6 +161,15 @@ def incident_snapshots(events: DataFrame, nation: DataFrame) -> DataFrame:
     e = _by_block(events, F.floor(F.col("event_id") / INCIDENT_BLOCK)).join(
         nation.select(F.col("n_nationkey").cast("long").alias("nk"), F.col("n_name")),
         (F.col("user_id") % 25) == F.col("nk"))
+    elem, doc = _incident_exprs()
+    blocks = (e.select("snapshot", elem.alias("el"))
+              .groupBy("snapshot")
+              .agg(F.array_join(F.collect_list("el"), "").alias("els")))
+    return blocks.select("snapshot", doc.alias("value"))
+
+
+@expr_cache
+def _incident_exprs():
     i, u, t = F.col("event_id"), F.col("user_id"), F.col("event_type")
     ts = F.col("ts").cast("timestamp")
     iso = "yyyy-MM-dd'T'HH:mm:ss"
@@ -190,18 +205,25 @@ def incident_snapshots(events: DataFrame, nation: DataFrame) -> DataFrame:
             F.lit("Alert & notice "), i.cast("string")))),
     )
     elem = F.concat(F.lit("<"), tag, F.lit(">"), body, F.lit("</"), tag, F.lit(">"))
-    blocks = (e.select("snapshot", elem.alias("el"))
-              .groupBy("snapshot")
-              .agg(F.array_join(F.collect_list("el"), "").alias("els")))
     doc = F.concat(F.lit('<?xml version="1.0" encoding="UTF-8"?><Incidents>'),
                    F.col("els"), F.lit("<Incident/></Incidents>"))
-    return blocks.select("snapshot", doc.alias("value"))
+    return elem, doc
 
 
 # ------------------------------------------------------------------ WZDx
 def wzdx_snapshots(orders: DataFrame) -> DataFrame:
     """GeoJSON FeatureCollections of work zones, one per poll:
     ``snapshot``, ``snapshot_ms`` (poll time, hourly), ``value``."""
+    feature, doc, snap_ms = _wzdx_exprs()
+    blocks = (_by_block(orders, F.floor(F.col("o_orderkey") / WZDX_BLOCK))
+              .select("snapshot", feature.alias("f"))
+              .groupBy("snapshot")
+              .agg(F.array_join(F.collect_list("f"), ",").alias("fs")))
+    return blocks.select("snapshot", snap_ms.alias("snapshot_ms"), doc.alias("value"))
+
+
+@expr_cache
+def _wzdx_exprs():
     k, c = F.col("o_orderkey"), F.col("o_custkey")
     od = F.col("o_orderdate").cast("timestamp")
     iso = "yyyy-MM-dd'T'HH:mm:ss"
@@ -247,12 +269,7 @@ def wzdx_snapshots(orders: DataFrame) -> DataFrame:
     feature = _object(_str("type", F.lit("Feature")),
                       _str("id", F.when(m5 == 4, rid)),
                       _raw("properties", props), _raw("geometry", geom))
-    blocks = (_by_block(orders, F.floor(k / WZDX_BLOCK))
-              .select("snapshot", feature.alias("f"))
-              .groupBy("snapshot")
-              .agg(F.array_join(F.collect_list("f"), ",").alias("fs")))
     doc = F.concat(F.lit('{"type":"FeatureCollection","features":['), F.col("fs"),
                    F.lit("]}"))
-    snap_ms = F.lit(WZ_EPOCH_MS) + (F.col("snapshot") % 720) * F.lit(3600000)
-    return blocks.select("snapshot", snap_ms.cast("long").alias("snapshot_ms"),
-                         doc.alias("value"))
+    snap_ms = (F.lit(WZ_EPOCH_MS) + (F.col("snapshot") % 720) * F.lit(3600000)).cast("long")
+    return feature, doc, snap_ms

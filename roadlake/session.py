@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -104,3 +105,22 @@ def path_exists(spark: SparkSession, path: str) -> bool | None:
         return bool(p.getFileSystem(conf).exists(p))
     except Exception:
         return None
+
+
+def expr_cache(fn):
+    """Memoise a function that builds (unresolved) Column expressions.
+
+    Column trees are immutable and not bound to any DataFrame, so one copy
+    per Spark context can serve every query; building the large normaliser
+    expressions once saves thousands of driver-to-JVM calls per query.
+    Arguments must be hashable."""
+    cache = {}
+
+    @functools.wraps(fn)
+    def wrapper(*args):
+        from pyspark import SparkContext
+        key = (id(SparkContext._active_spark_context),) + args
+        if key not in cache:
+            cache[key] = fn(*args)
+        return cache[key]
+    return wrapper
