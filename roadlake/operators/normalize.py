@@ -16,7 +16,7 @@ from roadlake.functions.values import (digits_id, first_truthy, is_text,
                                        nonempty, text_to_float, to_bool,
                                        to_float, truthy, vdouble, vfield,
                                        vjson, vstring)
-from roadlake.schemas import (INCIDENT_LANDING, RWIS_LANDING,
+from roadlake.schemas import (INCIDENT_LANDING, NO_PRECIP_WORDS, RWIS_LANDING,
                               RWIS_PRECIP_KEYS, RWIS_STATION_KEYS,
                               WZDX_LANDING)
 from roadlake.session import expr_cache
@@ -26,21 +26,27 @@ from roadlake.sources.xml import xml_explode
 
 
 # --------------------------------------------------------------------- RWIS
-def rwis_fields(items: DataFrame, run_ts=None) -> DataFrame:
+def rwis_fields(items: DataFrame, run_ts=None, no_precip_as_none: bool = False,
+                zero_wind_is_value: bool = False) -> DataFrame:
     """ArcGIS items (``attrs``, ``geom`` variants) -> normalised RWIS fields
     plus ``lat``/``lon`` (kept for the geofence).
 
+    Defaults are faithful to the feed rules; options: ``no_precip_as_none``
+    writes precipitation "None" for the no-precipitation spellings (which
+    otherwise fall to "Unknown" at the clean clamp); ``zero_wind_is_value``
+    keeps an average wind of 0 instead of falling through to the gust.
+
     Built as staged projections (pull each field once, choose among the
     spellings, then type) so no expression is repeated inside another."""
     keep = [c for c in items.columns if c not in ("attrs", "geom", "bare")]
     out = items
-    for stage in _rwis_stages(run_ms_of(run_ts)):
+    for stage in _rwis_stages(run_ms_of(run_ts), no_precip_as_none, zero_wind_is_value):
         out = out.select(*keep, *stage)
     return out
 
 
 @expr_cache
-def _rwis_stages(run_ms):
+def _rwis_stages(run_ms, no_precip_as_none=False, zero_wind_is_value=False):
     a, g, c = F.col("attrs"), F.col("geom"), F.col
     pulled = {f"st{n}": vfield(a, k) for n, k in enumerate(RWIS_STATION_KEYS)}
     pulled.update({f"pr{n}": vfield(a, k) for n, k in enumerate(RWIS_PRECIP_KEYS)})
@@ -55,7 +61,8 @@ def _rwis_stages(run_ms):
     s2 = [
         first_truthy(*[c(f"st{n}") for n in range(len(RWIS_STATION_KEYS))]).alias("st"),
         first_truthy(*[c(f"pr{n}") for n in range(len(RWIS_PRECIP_KEYS))]).alias("pr"),
-        first_truthy(c("wa"), c("wg")).alias("w"),
+        (F.coalesce(c("wa"), c("wg")) if zero_wind_is_value
+         else first_truthy(c("wa"), c("wg"))).alias("w"),
         epoch_ms_of_value(c("rt")).alias("ms"),
         "air_temp_f", "pavement_temp_f", "lat0", "lon0", "gx", "gy"]
     need = c("lat0").isNull() | c("lon0").isNull()
@@ -70,9 +77,12 @@ def _rwis_stages(run_ms):
         .otherwise(c("lat0")).alias("lat"),
         F.when(need & (c("lon0").isNull() | (c("lon0") == 0)), c("gx"))
         .otherwise(c("lon0")).alias("lon")]
+    precip = F.coalesce(c("precip_raw"), F.lit("None"))
+    if no_precip_as_none:
+        precip = F.when(F.lower(precip).isin(*NO_PRECIP_WORDS), F.lit("None")).otherwise(precip)
     s4 = [
         "station_id", "ts", "air_temp_f", "pavement_temp_f",
-        F.coalesce(c("precip_raw"), F.lit("None")).alias("precip_type"),
+        precip.alias("precip_type"),
         "wind_mph",
         surface_status(c("precip_raw"), c("pavement_temp_f")).alias("surface_status"),
         "lat", "lon"]
@@ -103,15 +113,17 @@ def normalize_rwis(docs: DataFrame, run_ts=None, center_lat: float = 0.0,
                    center_lon: float = 0.0, radius_km: float = 0.0,
                    max_records: int | None = None,
                    snapshot_col: str = "snapshot", value_col: str = "value",
-                   keep_coords: bool = False, require_coords: bool = False) -> DataFrame:
+                   keep_coords: bool = False, require_coords: bool = False,
+                   no_precip_as_none: bool = False,
+                   zero_wind_is_value: bool = False) -> DataFrame:
     """ArcGIS snapshot documents -> RWIS landing records.
 
     Decode, normalise, geofence (records without coordinates are kept unless
     ``require_coords``), optional per-snapshot cap, then drop the
     coordinates (``keep_coords`` keeps them as extra columns)."""
     items = arcgis_explode(docs, value_col)
-    recs = geofence(rwis_fields(items, run_ts), center_lat, center_lon, radius_km,
-                    require_coords)
+    recs = geofence(rwis_fields(items, run_ts, no_precip_as_none, zero_wind_is_value),
+                    center_lat, center_lon, radius_km, require_coords)
     recs = cap_per_snapshot(recs, max_records, snapshot_col)
     cols = [f.name for f in RWIS_LANDING.fields]
     return recs.select(*cols, *(["lat", "lon"] if keep_coords else []))

@@ -320,3 +320,12 @@ def test_incident_child_tags_exact_case(spark):
     x = "<r><Incident><ID>5</ID><id>6</id><County>X</County></Incident></r>"
     r = normalize.normalize_incidents(docs(spark, x), run_ts=RUN).collect()[0]
     assert (r["event_id"], r["county"]) == ("6", None)
+
+
+def test_optional_precip_and_wind_rules(spark):
+    a = {"station_id": 1, "ReportTime": 1763359140000, "PrecipiationType": "No Precip",
+         "AvgWindSpeed": 0, "WindGust": 9}
+    faithful = rwis(spark, a)[0]
+    assert (faithful["precip_type"], faithful["wind_mph"]) == ("No Precip", 9.0)
+    opt = rwis(spark, a, no_precip_as_none=True, zero_wind_is_value=True)[0]
+    assert (opt["precip_type"], opt["surface_status"], opt["wind_mph"]) == ("None", "dry", 0.0)
