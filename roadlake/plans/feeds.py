@@ -215,10 +215,13 @@ def wzdx_snapshots(orders: DataFrame) -> DataFrame:
     """GeoJSON FeatureCollections of work zones, one per poll:
     ``snapshot``, ``snapshot_ms`` (poll time, hourly), ``value``."""
     feature, doc, snap_ms = _wzdx_exprs()
+    # features listed in order-key order, so "the first N of a poll" is defined
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", "f"))),
+                          lambda x: x["f"])
     blocks = (_by_block(orders, F.floor(F.col("o_orderkey") / WZDX_BLOCK))
-              .select("snapshot", feature.alias("f"))
+              .select("snapshot", "o_orderkey", feature.alias("f"))
               .groupBy("snapshot")
-              .agg(F.array_join(F.collect_list("f"), ",").alias("fs")))
+              .agg(F.array_join(ordered, ",").alias("fs")))
     return blocks.select("snapshot", snap_ms.alias("snapshot_ms"), doc.alias("value"))
 
 

@@ -228,6 +228,13 @@ SELECT ingest_ts, road_event_id, road_names, direction, start_date, end_date,
     q["wzdx_snapshot_check"] = """
 SELECT kind, CAST((SELECT count(DISTINCT o_orderkey // 16) FROM orders) AS BIGINT) AS documents
 FROM (VALUES ('ok'), ('invalid_json'), ('unexpected_shape')) AS k(kind)"""
+    q["wzdx_capped_decode"] = _with(WZ_CTE) + """
+SELECT ingest_ts, road_event_id, road_names, direction, start_date, end_date,
+       begin_lat, begin_lon, end_lat, end_lon
+FROM (SELECT *, row_number() OVER (PARTITION BY k // 16 ORDER BY k) AS pos FROM wz_norm)
+WHERE pos <= 10"""
+    q["rwis_day_sample"] = _with(RWIS_CTE) + \
+        "SELECT DISTINCT dt FROM rwis_clean WHERE dt IS NOT NULL ORDER BY dt LIMIT 10"
     q["wzdx_clean"] = _with(WZ_CTE) + "SELECT * FROM wz_clean"
     q["wzdx_current_events"] = _with(WZ_CTE) + "SELECT * FROM wz_current"
     q["wzdx_daily_summary"] = _with(WZ_CTE) + "SELECT * FROM wz_daily"

@@ -93,6 +93,19 @@ def wzdx_snapshot_check(spark, d) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("documents"))
 
 
+def wzdx_capped_decode(spark, d) -> DataFrame:
+    """Work-zone decode with the per-poll feature cap (first 10 features of
+    every snapshot document, as a poller caps each fetch)."""
+    docs = feeds.wzdx_snapshots(table(spark, d, "orders"))
+    return normalize.normalize_wzdx(docs, ingest_col="snapshot_ms", max_features=10)
+
+
+def rwis_day_sample(spark, d) -> DataFrame:
+    """The first ten days present in the clean RWIS table (run log sample)."""
+    from roadlake.operators import quality
+    return quality.day_sample(rwis_clean(spark, d), 10)
+
+
 def wzdx_clean(spark, d) -> DataFrame:
     return clean.clean_wzdx(landed(spark, wzdx_landing(spark, d), "wzdx"), run_ts=RUN_TS)
 
@@ -300,6 +313,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "inc_daily_summary": inc_daily,
     "wzdx_decode": wzdx_landing,
     "wzdx_snapshot_check": wzdx_snapshot_check,
+    "wzdx_capped_decode": wzdx_capped_decode,
+    "rwis_day_sample": rwis_day_sample,
     "wzdx_clean": wzdx_clean,
     "wzdx_current_events": lambda s, d: curate.wzdx_current_events(wzdx_clean(s, d)),
     "wzdx_daily_summary": wz_daily,
