@@ -83,6 +83,13 @@ def _by_block(df: DataFrame, block: Column) -> DataFrame:
     return df.withColumn("snapshot", block).repartition(n, "snapshot")
 
 
+def _in_id_order(id_col: str, item_col: str) -> Column:
+    """A block's items listed in id order (blocks are bounded), so "the
+    first N items of a snapshot" is well defined."""
+    return F.transform(F.array_sort(F.collect_list(F.struct(id_col, item_col))),
+                       lambda x: x[item_col])
+
+
 def _station_lat(u: Column) -> Column:
     return F.lit(38.5) + (u % 30).cast("double") * F.lit(0.05)
 
@@ -98,9 +105,9 @@ def rwis_snapshots(events: DataFrame) -> DataFrame:
     attribute objects instead of a FeatureSet."""
     item, doc = _rwis_exprs()
     blocks = (_by_block(events, F.floor(F.col("event_id") / RWIS_BLOCK))
-              .select("snapshot", item.alias("item"))
+              .select("snapshot", "event_id", item.alias("item"))
               .groupBy("snapshot")
-              .agg(F.array_join(F.collect_list("item"), ",").alias("items")))
+              .agg(F.array_join(_in_id_order("event_id", "item"), ",").alias("items")))
     return blocks.select("snapshot", doc.alias("value"))
 
 
@@ -162,9 +169,9 @@ def incident_snapshots(events: DataFrame, nation: DataFrame) -> DataFrame:
         nation.select(F.col("n_nationkey").cast("long").alias("nk"), F.col("n_name")),
         (F.col("user_id") % 25) == F.col("nk"))
     elem, doc = _incident_exprs()
-    blocks = (e.select("snapshot", elem.alias("el"))
+    blocks = (e.select("snapshot", "event_id", elem.alias("el"))
               .groupBy("snapshot")
-              .agg(F.array_join(F.collect_list("el"), "").alias("els")))
+              .agg(F.array_join(_in_id_order("event_id", "el"), "").alias("els")))
     return blocks.select("snapshot", doc.alias("value"))
 
 
@@ -215,13 +222,10 @@ def wzdx_snapshots(orders: DataFrame) -> DataFrame:
     """GeoJSON FeatureCollections of work zones, one per poll:
     ``snapshot``, ``snapshot_ms`` (poll time, hourly), ``value``."""
     feature, doc, snap_ms = _wzdx_exprs()
-    # features listed in order-key order, so "the first N of a poll" is defined
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", "f"))),
-                          lambda x: x["f"])
     blocks = (_by_block(orders, F.floor(F.col("o_orderkey") / WZDX_BLOCK))
               .select("snapshot", "o_orderkey", feature.alias("f"))
               .groupBy("snapshot")
-              .agg(F.array_join(ordered, ",").alias("fs")))
+              .agg(F.array_join(_in_id_order("o_orderkey", "f"), ",").alias("fs")))
     return blocks.select("snapshot", snap_ms.alias("snapshot_ms"), doc.alias("value"))
 
 

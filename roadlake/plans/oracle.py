@@ -34,7 +34,7 @@ rwis_fields AS (
          CASE WHEN u % 40 <> 0 THEN CAST(u % 40 AS DOUBLE)
               WHEN i % 2 = 0 THEN 5.0::DOUBLE END AS wind_mph,
          CASE WHEN i % 9 = 0 AND bare THEN NULL ELSE lat0 END AS lat,
-         lon0 AS lon
+         lon0 AS lon, i
   FROM rwis_src),
 rwis_kept AS (
   SELECT *, round(2 * 6371.0::DOUBLE * asin(sqrt(
@@ -233,6 +233,19 @@ SELECT ingest_ts, road_event_id, road_names, direction, start_date, end_date,
        begin_lat, begin_lon, end_lat, end_lon
 FROM (SELECT *, row_number() OVER (PARTITION BY k // 16 ORDER BY k) AS pos FROM wz_norm)
 WHERE pos <= 10"""
+    q["rwis_capped_decode"] = _with(RWIS_CTE) + """
+SELECT station_id, ts, air_temp_f, pavement_temp_f,
+       coalesce(precip, 'None') AS precip_type, wind_mph,
+       CASE WHEN lower(coalesce(precip, '')) IN ('', 'none', 'no precip', 'no precipitation')
+            THEN 'dry' WHEN pavement_temp_f <= 32.0 THEN 'icy' ELSE 'wet' END AS surface_status
+FROM (SELECT *, row_number() OVER (PARTITION BY i // 256 ORDER BY i) AS kept_pos FROM rwis_kept)
+WHERE kept_pos <= 100"""
+    q["incident_capped_decode"] = _with(INC_CTE) + """
+SELECT 1706745600000 AS ingest_ts, event_id, create_time, start_time, closed, county,
+       description, direction, incident_type, lat, lon, lanes_status, traffic_alert,
+       traffic_alert_msg
+FROM (SELECT *, row_number() OVER (PARTITION BY i // 256 ORDER BY i) AS pos FROM inc_norm)
+WHERE pos <= 100"""
     q["rwis_day_sample"] = _with(RWIS_CTE) + \
         "SELECT DISTINCT dt FROM rwis_clean WHERE dt IS NOT NULL ORDER BY dt LIMIT 10"
     q["wzdx_clean"] = _with(WZ_CTE) + "SELECT * FROM wz_clean"

@@ -100,6 +100,22 @@ def wzdx_capped_decode(spark, d) -> DataFrame:
     return normalize.normalize_wzdx(docs, ingest_col="snapshot_ms", max_features=10)
 
 
+def rwis_capped_decode(spark, d) -> DataFrame:
+    """RWIS decode with the per-poll cap applied after the geofence: the
+    first 100 kept readings of every snapshot document."""
+    docs = feeds.rwis_snapshots(table(spark, d, "events"))
+    lat, lon, r = GEOFENCE
+    return normalize.normalize_rwis(docs, run_ts=RUN_TS, center_lat=lat, center_lon=lon,
+                                    radius_km=r, max_records=100)
+
+
+def incident_capped_decode(spark, d) -> DataFrame:
+    """Incident decode with the per-poll cap: the first 100 incidents of
+    every XML document."""
+    docs = feeds.incident_snapshots(table(spark, d, "events"), table(spark, d, "nation"))
+    return normalize.normalize_incidents(docs, run_ts=RUN_TS, max_records=100)
+
+
 def rwis_day_sample(spark, d) -> DataFrame:
     """The first ten days present in the clean RWIS table (run log sample)."""
     from roadlake.operators import quality
@@ -315,6 +331,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "wzdx_snapshot_check": wzdx_snapshot_check,
     "wzdx_capped_decode": wzdx_capped_decode,
     "rwis_day_sample": rwis_day_sample,
+    "rwis_capped_decode": rwis_capped_decode,
+    "incident_capped_decode": incident_capped_decode,
     "wzdx_clean": wzdx_clean,
     "wzdx_current_events": lambda s, d: curate.wzdx_current_events(wzdx_clean(s, d)),
     "wzdx_daily_summary": wz_daily,
