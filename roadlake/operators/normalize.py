@@ -204,8 +204,14 @@ def normalize_incidents(docs: DataFrame, run_ts=None, ingest_col: str | None = N
                         max_records: int | None = None,
                         value_col: str = "value") -> DataFrame:
     """CHART XML documents -> incident landing records."""
-    x = xml_explode(docs, value_col, max_records)
-    out = x
+    return incident_records(xml_explode(docs, value_col, max_records), run_ts, ingest_col)
+
+
+def incident_records(rows: DataFrame, run_ts=None, ingest_col: str | None = None) -> DataFrame:
+    """Parsed incident elements (struct column ``x`` of child texts, from
+    :func:`xml_explode` or :func:`roadlake.sources.xml.read_incident_xml`)
+    -> incident landing records."""
+    out = rows
     for stage in _incident_stages(ingest_col, run_ms_of(run_ts)):
         out = out.select(*stage)
     return out

@@ -4,12 +4,13 @@ from roadlake.sources.arcgis import arcgis_explode, arcgis_item_array, arcgis_it
 from roadlake.sources.files import read_landing_lines, read_snapshots, read_table
 from roadlake.sources.geojson import (FeedPayloadError, geojson_explode, geojson_features,
                                       geojson_problem, problem_kind, validate_geojson)
-from roadlake.sources.xml import incident_count, incident_elements, xml_escape, xml_explode
+from roadlake.sources.xml import (incident_count, incident_elements, read_incident_xml,
+                                  xml_escape, xml_explode)
 
 __all__ = [
     "arcgis_explode", "arcgis_item_array", "arcgis_item_count",
     "read_landing_lines", "read_snapshots", "read_table", "geojson_explode",
     "geojson_features", "geojson_problem", "problem_kind", "validate_geojson",
     "FeedPayloadError", "incident_count",
-    "incident_elements", "xml_escape", "xml_explode",
+    "incident_elements", "read_incident_xml", "xml_escape", "xml_explode",
 ]

@@ -329,3 +329,18 @@ def test_optional_precip_and_wind_rules(spark):
     assert (faithful["precip_type"], faithful["wind_mph"]) == ("No Precip", 9.0)
     opt = rwis(spark, a, no_precip_as_none=True, zero_wind_is_value=True)[0]
     assert (opt["precip_type"], opt["surface_status"], opt["wind_mph"]) == ("None", "dry", 0.0)
+
+
+def test_xml_reader_matches_text_decoder(spark, tmp_dir):
+    from roadlake.sources import read_incident_xml, read_snapshots
+    body = "".join(
+        f"<Incident><id>{i}</id><closed>{'yes' if i % 2 else 'no'}</closed>"
+        f"<county>C{i % 3}</county><latitude/><lat>39.{i}</lat>"
+        f"<startDateTime>2025-11-17T0{i}:00:00</startDateTime></Incident>" for i in range(6))
+    with open(f"{tmp_dir}/feed.xml", "w") as f:
+        f.write(f"<Incidents>{body}<Incident/></Incidents>")
+    via_reader = normalize.incident_records(read_incident_xml(spark, tmp_dir), run_ts=RUN)
+    via_text = normalize.normalize_incidents(read_snapshots(spark, tmp_dir), run_ts=RUN)
+    key = lambda r: r["event_id"]                                    # noqa: E731
+    assert sorted(via_reader.collect(), key=key) == sorted(via_text.collect(), key=key)
+    assert via_reader.count() == 6
