@@ -221,3 +221,20 @@ def test_incremental_incident_versions_move_days(spark, tmp_dir):
     daily = jobs.read_curated(spark, z, "inc_daily_summary").collect()
     assert [(r["dt"], r["total_incidents"], r["closed_incidents"]) for r in daily] == \
         [("2025-01-02", 1, 1)]
+
+
+def test_command_line_jobs(spark, tmp_dir):
+    import os
+    from roadlake.__main__ import main
+    raw = tmp_dir + "/raw/incidents"
+    os.makedirs(raw)
+    with open(raw + "/s.xml", "w") as f:
+        f.write("<Incidents><Incident><id>1</id><county>C</county><closed>no</closed>"
+                "<startDateTime>2025-11-17T08:00:00</startDateTime></Incident></Incidents>")
+    root = tmp_dir + "/zones"
+    main(["ingest", "--feed", "incidents", "--root", root, "--snapshots", raw], spark=spark)
+    main(["run", "--feed", "incidents", "--root", root], spark=spark)
+    main(["query", "q3", "--root", root, "--csv", tmp_dir + "/q3"], spark=spark)
+    back = spark.read.option("header", True).csv(tmp_dir + "/q3").collect()
+    assert [(r["dt"], r["county"], r["total_incidents"], r["pct_open_incidents"])
+            for r in back] == [("2025-11-17", "C", "1", "100.0")]
