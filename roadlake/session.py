@@ -119,7 +119,9 @@ def expr_cache(fn):
     @functools.wraps(fn)
     def wrapper(*args):
         from pyspark import SparkContext
-        key = (id(SparkContext._active_spark_context),) + args
+        # the context object itself is the key (held, so never confused with
+        # a later context); a stopped context's entries are simply unused
+        key = (SparkContext._active_spark_context,) + args
         if key not in cache:
             cache[key] = fn(*args)
         return cache[key]
