@@ -78,7 +78,8 @@ def _by_block(df: DataFrame, block: Column) -> DataFrame:
     per-row JSON building: the building runs on all task slots (a driver
     table may be one file of one row group, which scans as one task) and the
     per-block ``groupBy`` reuses this partitioning, so there is one shuffle.
-    The explicit count keeps AQE from re-merging the partitions."""
+    The width is the configured shuffle width (data-sized on a cluster);
+    the explicit count keeps AQE from merging this CPU-heavy stage."""
     n = parallelism(df.sparkSession)
     return df.withColumn("snapshot", block).repartition(n, "snapshot")
 

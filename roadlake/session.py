@@ -87,12 +87,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def parallelism(spark: SparkSession) -> int:
-    """Task slots of the session (default parallelism), or the shuffle
-    partition count when the context is not reachable."""
+    """Shuffle width for CPU-heavy stages: the configured shuffle partition
+    count (sized for the data, e.g. 16000 on a large cluster), never fewer
+    than the task slots (default parallelism)."""
+    width = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     try:
-        return max(int(spark.sparkContext.defaultParallelism), 1)
-    except Exception:
-        return max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), 1)
+        slots = int(spark.sparkContext.defaultParallelism)
+    except Exception:                      # remote session: no context
+        slots = 1
+    return max(width, slots, 1)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool | None:
