@@ -65,7 +65,15 @@ def ingest_snapshots(spark: SparkSession, feed: str, snapshots_path: str, zones:
     """Raw snapshot files (ArcGIS JSON / GeoJSON / XML) -> landing lines.
 
     ``options`` go to the feed's normaliser (geofence centre/radius, caps,
-    ...).  ``mode="raw"`` lands RWIS items un-normalised."""
+    ...).  ``mode="raw"`` lands RWIS items un-normalised;
+    ``xml_reader="spark"`` reads large incident files with Spark's XML
+    reader (split across tasks) instead of one document per task."""
+    if feed == "incidents" and options.pop("xml_reader", "text") == "spark":
+        from roadlake.sources import read_incident_xml
+        rows = read_incident_xml(spark, snapshots_path)
+        write_landing(normalize.incident_records(
+            rows, run_ts, options.pop("ingest_col", "snapshot_ms")), zones.landing(feed))
+        return
     docs = read_snapshots(spark, snapshots_path)
     if feed == "rwis":
         if options.pop("mode", "normalized") == "raw":

@@ -238,3 +238,18 @@ def test_command_line_jobs(spark, tmp_dir):
     back = spark.read.option("header", True).csv(tmp_dir + "/q3").collect()
     assert [(r["dt"], r["county"], r["total_incidents"], r["pct_open_incidents"])
             for r in back] == [("2025-11-17", "C", "1", "100.0")]
+
+
+def test_ingest_with_spark_xml_reader(spark, tmp_dir):
+    import os
+    from roadlake.plans import jobs
+    raw = tmp_dir + "/raw"
+    os.makedirs(raw)
+    with open(raw + "/s.xml", "w") as f:
+        f.write("<Incidents>" + "".join(
+            f"<Incident><id>{i}</id><startDateTime>2025-11-17T0{i}:00:00</startDateTime>"
+            f"</Incident>" for i in range(5)) + "</Incidents>")
+    z = jobs.Zones(tmp_dir + "/zones")
+    jobs.ingest_snapshots(spark, "incidents", raw, z, xml_reader="spark")
+    jobs.run_feed(spark, "incidents", z)
+    assert jobs.read_curated(spark, z, "inc_current_events").count() == 5
