@@ -7,8 +7,7 @@ regular expression, the elements are cut out with ``regexp_extract_all``
 and exploded, and each one is parsed with ``from_xml`` against a flat
 schema of text fields — so each row is a small independent parse and the
 work spreads with the rows.  Child tags match exactly (case-sensitive).
-Incidents nested inside incidents are not supported (the outer one is cut
-at the inner closing tag).
+Incidents nested inside incidents both count (peeled innermost first).
 """
 
 from __future__ import annotations
@@ -21,8 +20,14 @@ from roadlake.schemas import INCIDENT_TAGS
 _TAG = "Incident"
 # Any element name (optionally prefixed) ending in "incident", any case.
 _CANON = r"(?i)<(/?)(?:[\w.\-]+:)?[\w.\-]*incident(?=[\s/>])"
-# A non-self-closing canonical element, shortest match.
-_ELEMENT = r"(?s)<Incident(?:\s[^>]*)?(?<!/)>.*?</Incident>"
+# An innermost canonical element: non-self-closing, no incident inside it.
+_ELEMENT = r"(?s)<Incident(?:\s[^>]*)?(?<!/)>(?:(?!<Incident[\s>/]).)*?</Incident>"
+# Incidents nested inside incidents are peeled level by level: the
+# innermost ones are extracted, then replaced by a placeholder child so
+# their parent becomes innermost (and still has a child) on the next pass.
+_PLACEHOLDER = "<_nested/>"
+_OPEN = r"<Incident(?:\s[^>]*)?(?<!/)>"
+MAX_NESTING = 4
 # The element has at least one child element.
 _HAS_CHILD = r"(?s)^<Incident(?:\s[^>]*)?>.*<[A-Za-z_]"
 
@@ -35,9 +40,19 @@ _CASE_VARIANT = rf"<(/?)(?!(?:{_KNOWN})[\s/>])((?i:{_KNOWN}))(?=[\s/>])"
 
 
 def incident_elements(value: Column) -> Column:
-    """Incident elements of one XML document as ``array<string>``."""
-    canon = F.regexp_replace(value, _CANON, "<$1" + _TAG)
-    elems = F.regexp_extract_all(canon, F.lit(_ELEMENT), 0)
+    """Incident elements of one XML document as ``array<string>`` (nested
+    incidents included, inner ones listed before the element holding them;
+    up to ``MAX_NESTING`` levels)."""
+    doc = F.regexp_replace(value, _CANON, "<$1" + _TAG)
+    innermost = F.regexp_extract_all(doc, F.lit(_ELEMENT), 0)
+    levels, rest = [innermost], doc
+    for _ in range(MAX_NESTING - 1):
+        rest = F.regexp_replace(rest, _ELEMENT, _PLACEHOLDER)
+        levels.append(F.regexp_extract_all(rest, F.lit(_ELEMENT), 0))
+    # peel only documents that hold more opening tags than innermost
+    # elements (i.e. some incident encloses another); flat ones take one pass
+    nested = F.regexp_count(doc, F.lit(_OPEN)) > F.size(innermost)
+    elems = F.when(nested, F.concat(*levels)).otherwise(innermost)
     return F.filter(elems, lambda e: e.rlike(_HAS_CHILD))
 
 

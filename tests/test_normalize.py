@@ -344,3 +344,12 @@ def test_xml_reader_matches_text_decoder(spark, tmp_dir):
     key = lambda r: r["event_id"]                                    # noqa: E731
     assert sorted(via_reader.collect(), key=key) == sorted(via_text.collect(), key=key)
     assert via_reader.count() == 6
+
+
+def test_nested_incidents_both_count(spark):
+    x = ("<r><Incident><id>1</id><county>A</county>"
+         "<TrafficIncident><id>2</id><county>B</county></TrafficIncident></Incident>"
+         "<Incident><id>3</id></Incident></r>")
+    out = {r["event_id"]: r["county"] for r in
+           normalize.normalize_incidents(docs(spark, x), run_ts=RUN).collect()}
+    assert out == {"1": "A", "2": "B", "3": None}
