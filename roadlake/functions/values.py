@@ -90,10 +90,14 @@ def text_to_float(s: Column) -> Column:
 def digits_id(v: Column, default: int = -1) -> Column:
     """Integer id when the printed value is all ASCII digits, else ``default``.
 
-    ``5`` and ``"5"`` give 5; ``2.0``, ``"-5"``, ``"x"``, ``true`` give the
-    default (the value's printed form must be digits only)."""
+    ``5`` and ``"5"`` give 5; ``2.0``, ``7.0``, ``"-5"``, ``"x"``, ``true``
+    give the default (the value's printed form must be digits only; a JSON
+    number written with a point or exponent is a float, held as DECIMAL or
+    DOUBLE, whose printed form never is)."""
     s = vstring(v)
-    return F.when(s.rlike("^[0-9]+$"), s.try_cast("int")) \
+    fractional = F.coalesce(F.schema_of_variant(v).rlike("^(DECIMAL|DOUBLE|FLOAT)"),
+                            F.lit(False))
+    return F.when(~fractional & s.rlike("^[0-9]+$"), s.try_cast("int")) \
         .otherwise(F.lit(default)).cast("int")
 
 
