@@ -95,8 +95,11 @@ def digits_id(v: Column, default: int = -1) -> Column:
     number written with a point or exponent is a float, held as DECIMAL or
     DOUBLE, whose printed form never is)."""
     s = vstring(v)
-    fractional = F.coalesce(F.schema_of_variant(v).rlike("^(DECIMAL|DOUBLE|FLOAT)"),
-                            F.lit(False))
+    t = F.schema_of_variant(v)
+    # an integer literal beyond BIGINT is held as DECIMAL(19+, 0): still an
+    # integer; narrower decimals and doubles were written as floats
+    big_integer = t.rlike(r"^DECIMAL\((19|[2-9][0-9]|[1-9][0-9]{2}),0\)")
+    fractional = F.coalesce(t.rlike("^(DECIMAL|DOUBLE|FLOAT)") & ~big_integer, F.lit(False))
     return F.when(~fractional & s.rlike("^[0-9]+$"), s.try_cast("int")) \
         .otherwise(F.lit(default)).cast("int")
 

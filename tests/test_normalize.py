@@ -67,6 +67,8 @@ def test_station_id_float_literal(spark):
     # JSON 7.0 is a float (VARIANT DECIMAL(1,0)), printed "7.0": not an id
     assert rwis(spark, {"station_id": 7.0})[0]["station_id"] == -1
     assert rwis(spark, {"station_id": 7})[0]["station_id"] == 7
+    # an integer too large for the id column is an integer, nulled by the cast
+    assert rwis(spark, {"station_id": 123456789012345678901})[0]["station_id"] is None
 
 
 def test_surface_rule_and_clamp(spark):
