@@ -43,19 +43,22 @@ def now_ts(run_ts=None) -> Column:
     return F.timestamp_millis(F.lit(ms))
 
 
-def epoch_ms_of_value(v: Column) -> Column:
+def epoch_ms_of_value(v: Column, text_zone: str = "UTC") -> Column:
     """Tolerant epoch-ms of a variant report time.
 
     * numbers (truncated to integer): > 10^10 are milliseconds as they are;
       > 10^6 are seconds (x1000); smaller -> null;
     * text: whitespace stripped, trailing ``Z`` removed, first 19 characters
-      parsed as ``Y-M-DTH:M:S`` in UTC (any fraction/offset is dropped);
+      parsed as ``Y-M-DTH:M:S`` wall-clock time of ``text_zone`` (UTC by
+      default; any fraction/offset in the text is dropped);
       numeric-looking text is *not* an epoch and gives null;
     * anything else -> null.
     """
     n = F.try_variant_get(v, "$", "bigint")
     txt = F.substring(F.regexp_replace(strip_ws(vstring(v)), "Z+$", ""), 1, 19)
     parsed = F.try_to_timestamp(txt, F.lit(ISO_SECONDS))
+    if text_zone and text_zone != "UTC":
+        parsed = F.to_utc_timestamp(parsed, text_zone)
     return (
         F.when(is_number(v), F.when(n > 10 ** 10, n).when(n > 10 ** 6, n * 1000))
         .when(is_text(v), F.unix_timestamp(parsed) * 1000)

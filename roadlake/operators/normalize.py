@@ -27,26 +27,30 @@ from roadlake.sources.xml import xml_explode
 
 # --------------------------------------------------------------------- RWIS
 def rwis_fields(items: DataFrame, run_ts=None, no_precip_as_none: bool = False,
-                zero_wind_is_value: bool = False) -> DataFrame:
+                zero_wind_is_value: bool = False,
+                report_time_zone: str = "UTC") -> DataFrame:
     """ArcGIS items (``attrs``, ``geom`` variants) -> normalised RWIS fields
     plus ``lat``/``lon`` (kept for the geofence).
 
     Defaults are faithful to the feed rules; options: ``no_precip_as_none``
     writes precipitation "None" for the no-precipitation spellings (which
     otherwise fall to "Unknown" at the clean clamp); ``zero_wind_is_value``
-    keeps an average wind of 0 instead of falling through to the gust.
+    keeps an average wind of 0 instead of falling through to the gust;
+    ``report_time_zone`` is the zone of report times given as ISO text.
 
     Built as staged projections (pull each field once, choose among the
     spellings, then type) so no expression is repeated inside another."""
     keep = [c for c in items.columns if c not in ("attrs", "geom", "bare")]
     out = items
-    for stage in _rwis_stages(run_ms_of(run_ts), no_precip_as_none, zero_wind_is_value):
+    for stage in _rwis_stages(run_ms_of(run_ts), no_precip_as_none, zero_wind_is_value,
+                              report_time_zone):
         out = out.select(*keep, *stage)
     return out
 
 
 @expr_cache
-def _rwis_stages(run_ms, no_precip_as_none=False, zero_wind_is_value=False):
+def _rwis_stages(run_ms, no_precip_as_none=False, zero_wind_is_value=False,
+                 report_time_zone="UTC"):
     a, g, c = F.col("attrs"), F.col("geom"), F.col
     pulled = {f"st{n}": vfield(a, k) for n, k in enumerate(RWIS_STATION_KEYS)}
     pulled.update({f"pr{n}": vfield(a, k) for n, k in enumerate(RWIS_PRECIP_KEYS)})
@@ -63,7 +67,7 @@ def _rwis_stages(run_ms, no_precip_as_none=False, zero_wind_is_value=False):
         first_truthy(*[c(f"pr{n}") for n in range(len(RWIS_PRECIP_KEYS))]).alias("pr"),
         (F.coalesce(c("wa"), c("wg")) if zero_wind_is_value
          else first_truthy(c("wa"), c("wg"))).alias("w"),
-        epoch_ms_of_value(c("rt")).alias("ms"),
+        epoch_ms_of_value(c("rt"), report_time_zone).alias("ms"),
         "air_temp_f", "pavement_temp_f", "lat0", "lon0", "gx", "gy"]
     need = c("lat0").isNull() | c("lon0").isNull()
     s3 = [
@@ -115,14 +119,16 @@ def normalize_rwis(docs: DataFrame, run_ts=None, center_lat: float = 0.0,
                    snapshot_col: str = "snapshot", value_col: str = "value",
                    keep_coords: bool = False, require_coords: bool = False,
                    no_precip_as_none: bool = False,
-                   zero_wind_is_value: bool = False) -> DataFrame:
+                   zero_wind_is_value: bool = False,
+                   report_time_zone: str = "UTC") -> DataFrame:
     """ArcGIS snapshot documents -> RWIS landing records.
 
     Decode, normalise, geofence (records without coordinates are kept unless
     ``require_coords``), optional per-snapshot cap, then drop the
     coordinates (``keep_coords`` keeps them as extra columns)."""
     items = arcgis_explode(docs, value_col)
-    recs = geofence(rwis_fields(items, run_ts, no_precip_as_none, zero_wind_is_value),
+    recs = geofence(rwis_fields(items, run_ts, no_precip_as_none, zero_wind_is_value,
+                                report_time_zone),
                     center_lat, center_lon, radius_km, require_coords)
     recs = cap_per_snapshot(recs, max_records, snapshot_col)
     cols = [f.name for f in RWIS_LANDING.fields]

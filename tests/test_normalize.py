@@ -355,3 +355,11 @@ def test_nested_incidents_both_count(spark):
     out = {r["event_id"]: r["county"] for r in
            normalize.normalize_incidents(docs(spark, x), run_ts=RUN).collect()}
     assert out == {"1": "A", "2": "B", "3": None}
+
+
+def test_report_time_zone_and_fractional_epoch(spark):
+    a = {"station_id": 1, "ReportTime": "2025-11-17T05:59:00"}
+    assert rwis(spark, a)[0]["ts"] == 1763359140000
+    ny = rwis(spark, a, report_time_zone="America/New_York")[0]["ts"]
+    assert ny == 1763359140000 + 5 * 3600 * 1000
+    assert rwis(spark, {"station_id": 1, "ReportTime": 1763359140.5})[0]["ts"] == 1763359140000
