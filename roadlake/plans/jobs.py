@@ -67,12 +67,17 @@ def ingest_snapshots(spark: SparkSession, feed: str, snapshots_path: str, zones:
     ``options`` go to the feed's normaliser (geofence centre/radius, caps,
     ...).  ``mode="raw"`` lands RWIS items un-normalised;
     ``xml_reader="spark"`` reads large incident files with Spark's XML
-    reader (split across tasks) instead of one document per task."""
+    reader (split across tasks) instead of one document per task.  Landing
+    files are laid out by arrival (the run time), as a delivery stream does."""
+    import time
+    from roadlake.functions.time import run_ms_of
+    arrival = run_ms_of(run_ts) or int(time.time() * 1000)
     if feed == "incidents" and options.pop("xml_reader", "text") == "spark":
         from roadlake.sources import read_incident_xml
         rows = read_incident_xml(spark, snapshots_path)
         write_landing(normalize.incident_records(
-            rows, run_ts, options.pop("ingest_col", "snapshot_ms")), zones.landing(feed))
+            rows, run_ts, options.pop("ingest_col", "snapshot_ms")), zones.landing(feed),
+            arrival_ms=arrival)
         return
     docs = read_snapshots(spark, snapshots_path)
     if feed == "rwis":
@@ -91,7 +96,7 @@ def ingest_snapshots(spark: SparkSession, feed: str, snapshots_path: str, zones:
                                              **options)
     else:
         raise ValueError(f"unknown feed {feed!r}")
-    write_landing(recs, zones.landing(feed))
+    write_landing(recs, zones.landing(feed), arrival_ms=arrival)
 
 
 # --------------------------------------------------------- landing -> clean
