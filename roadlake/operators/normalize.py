@@ -93,6 +93,14 @@ def _rwis_stages(run_ms, no_precip_as_none=False, zero_wind_is_value=False,
     return s1, s2, s3, s4
 
 
+def _attempted(items: DataFrame, observation) -> DataFrame:
+    """Count decoded items (the poller's "attempted") in the same pass as
+    whatever consumes them, when an ``Observation`` is given."""
+    if observation is None:
+        return items
+    return items.observe(observation, F.count(F.lit(1)).alias("attempted"))
+
+
 def geofence(df: DataFrame, center_lat: float, center_lon: float,
              radius_km: float, require_coords: bool = False) -> DataFrame:
     """Keep records within ``radius_km`` of the centre (see
@@ -120,13 +128,13 @@ def normalize_rwis(docs: DataFrame, run_ts=None, center_lat: float = 0.0,
                    keep_coords: bool = False, require_coords: bool = False,
                    no_precip_as_none: bool = False,
                    zero_wind_is_value: bool = False,
-                   report_time_zone: str = "UTC") -> DataFrame:
+                   report_time_zone: str = "UTC", observation=None) -> DataFrame:
     """ArcGIS snapshot documents -> RWIS landing records.
 
     Decode, normalise, geofence (records without coordinates are kept unless
     ``require_coords``), optional per-snapshot cap, then drop the
     coordinates (``keep_coords`` keeps them as extra columns)."""
-    items = arcgis_explode(docs, value_col)
+    items = _attempted(arcgis_explode(docs, value_col), observation)
     recs = geofence(rwis_fields(items, run_ts, no_precip_as_none, zero_wind_is_value,
                                 report_time_zone),
                     center_lat, center_lon, radius_km, require_coords)
@@ -155,12 +163,12 @@ def rwis_raw_records(docs: DataFrame, value_col: str = "value") -> DataFrame:
 # --------------------------------------------------------------------- WZDx
 def normalize_wzdx(docs: DataFrame, run_ts=None, ingest_col: str | None = None,
                    max_features: int | None = None, value_col: str = "value",
-                   accept_altitude: bool = False) -> DataFrame:
+                   accept_altitude: bool = False, observation=None) -> DataFrame:
     """GeoJSON FeatureCollection documents -> work-zone landing records.
 
     ``ingest_ts`` is the poll stamp: column ``ingest_col`` of the documents
     (e.g. ``snapshot_ms``) when given, else the run time."""
-    feats = geojson_explode(docs, value_col, max_features)
+    feats = _attempted(geojson_explode(docs, value_col, max_features), observation)
     out = feats
     for stage in _wzdx_stages(ingest_col, run_ms_of(run_ts), accept_altitude):
         out = out.select(*stage)
@@ -208,9 +216,10 @@ def _wzdx_stages(ingest_col, run_ms, accept_altitude):
 # ---------------------------------------------------------------- incidents
 def normalize_incidents(docs: DataFrame, run_ts=None, ingest_col: str | None = None,
                         max_records: int | None = None,
-                        value_col: str = "value") -> DataFrame:
+                        value_col: str = "value", observation=None) -> DataFrame:
     """CHART XML documents -> incident landing records."""
-    return incident_records(xml_explode(docs, value_col, max_records), run_ts, ingest_col)
+    rows = _attempted(xml_explode(docs, value_col, max_records), observation)
+    return incident_records(rows, run_ts, ingest_col)
 
 
 def incident_records(rows: DataFrame, run_ts=None, ingest_col: str | None = None) -> DataFrame:

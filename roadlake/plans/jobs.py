@@ -19,6 +19,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from roadlake import schemas
 from roadlake.operators import clean, curate, normalize, quality
@@ -61,14 +62,16 @@ class RunReport:
 
 # ------------------------------------------------------------------ ingest
 def ingest_snapshots(spark: SparkSession, feed: str, snapshots_path: str, zones: Zones,
-                     run_ts=None, **options) -> None:
+                     run_ts=None, report: RunReport | None = None, **options) -> None:
     """Raw snapshot files (ArcGIS JSON / GeoJSON / XML) -> landing lines.
 
     ``options`` go to the feed's normaliser (geofence centre/radius, caps,
     ...).  ``mode="raw"`` lands RWIS items un-normalised;
     ``xml_reader="spark"`` reads large incident files with Spark's XML
     reader (split across tasks) instead of one document per task.  Landing
-    files are laid out by arrival (the run time), as a delivery stream does."""
+    files are laid out by arrival (the run time), as a delivery stream does.
+    With ``report``, the decoded items ("attempted") and the landed records
+    ("sent") are counted in the same pass as the write."""
     import time
     from roadlake.functions.time import run_ms_of
     arrival = run_ms_of(run_ts) or int(time.time() * 1000)
@@ -80,8 +83,12 @@ def ingest_snapshots(spark: SparkSession, feed: str, snapshots_path: str, zones:
             arrival_ms=arrival)
         return
     docs = read_snapshots(spark, snapshots_path)
+    attempted = Observation(f"{feed}_attempted") if report is not None else None
+    if attempted is not None:
+        options = dict(options, observation=attempted)
     if feed == "rwis":
         if options.pop("mode", "normalized") == "raw":
+            options.pop("observation", None)
             lines = normalize.rwis_raw_records(docs)
             lines.write.mode("append").option("compression", "gzip").text(zones.landing(feed))
             return
@@ -96,7 +103,13 @@ def ingest_snapshots(spark: SparkSession, feed: str, snapshots_path: str, zones:
                                              **options)
     else:
         raise ValueError(f"unknown feed {feed!r}")
+    sent = Observation(f"{feed}_sent") if report is not None else None
+    if sent is not None:
+        recs = recs.observe(sent, F.count(F.lit(1)).alias("sent"))
     write_landing(recs, zones.landing(feed), arrival_ms=arrival)
+    if report is not None:
+        report.metrics[f"{feed}_ingest"] = {"attempted": attempted.get.get("attempted", 0),
+                                            "sent": sent.get.get("sent", 0)}
 
 
 # --------------------------------------------------------- landing -> clean
