@@ -308,14 +308,28 @@ def together(spark, d, *chains):
 
 
 # ---------------------------------------------------------------- registry
+def _views(**tables):
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name)
+
+
 def _daily_coverage_sql(spark, d):
     h, w, i = together(spark, d, rwis_hourly, wz_daily, inc_daily)
-    views = {"rwis_hourly_summary": h, "wzdx_daily_summary": w, "inc_daily_summary": i}
-    for name, df in views.items():
-        df.createOrReplaceTempView(name)
+    _views(rwis_hourly_summary=h, wzdx_daily_summary=w, inc_daily_summary=i)
     return spark.sql(analytics.DAILY_COVERAGE_SQL)
 
 
+def _weather_vs_incidents_sql(spark, d):
+    h, i = together(spark, d, rwis_hourly, inc_daily)
+    _views(rwis_hourly_summary=h, inc_daily_summary=i)
+    return spark.sql(analytics.WEATHER_VS_INCIDENTS_SQL)
+
+
+def _county_performance_sql(spark, d):
+    _views(inc_daily_summary=inc_daily(spark, d))
+    return spark.sql(analytics.COUNTY_PERFORMANCE_SQL)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rwis_decode": rwis_landing,
     "rwis_geofence_distance": rwis_geofence_distance,
@@ -339,6 +353,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_coverage": lambda s, d: analytics.daily_coverage(
         *together(s, d, rwis_hourly, wz_daily, inc_daily)),
     "daily_coverage_sql": _daily_coverage_sql,
+    "weather_vs_incidents_sql": _weather_vs_incidents_sql,
+    "county_performance_sql": _county_performance_sql,
     "weather_vs_incidents": lambda s, d: analytics.weather_vs_incidents(
         *together(s, d, rwis_hourly, inc_daily)),
     "county_performance": lambda s, d: analytics.county_performance(inc_daily(s, d)),
