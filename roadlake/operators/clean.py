@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadlake.functions.enums import clamp_enum
+from roadlake.session import expr_cache
 from roadlake.functions.time import (day_key, now_ts, parse_time,
                                      seconds_time)
 from roadlake.schemas import (INCIDENT_CLEAN, INCIDENT_LANDING,
@@ -28,18 +29,24 @@ def parse_landing(lines: DataFrame, schema: T.StructType,
     Empty or null lines are dropped.  A line is malformed when it is not a
     JSON object of the schema (``_corrupt_record`` set) or when every field
     is null (e.g. ``{}``)."""
+    first, second = _parse_exprs(schema.json(), value_col)
+    return lines.select(*first).where(F.col("j").isNotNull()).select(*second)
+
+
+@expr_cache
+def _parse_exprs(schema_json: str, value_col: str):
+    schema = T.StructType.fromJson(__import__("json").loads(schema_json))
     parse_schema = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
     j = F.from_json(F.col(value_col), parse_schema,
                     {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    parsed = lines.select(j.alias("j"), F.col(value_col).alias("_line")) \
-        .where(F.col("j").isNotNull())
     names = [f.name for f in schema.fields]
     all_null = F.lit(True)
     for n in names:
         all_null = all_null & F.col(f"j.{n}").isNull()
-    return parsed.select(*[F.col(f"j.{n}").alias(n) for n in names],
-                         (F.col(f"j.{CORRUPT}").isNotNull() | all_null).alias("_malformed"),
-                         "_line")
+    first = [j.alias("j"), F.col(value_col).alias("_line")]
+    second = [*[F.col(f"j.{n}").alias(n) for n in names],
+              (F.col(f"j.{CORRUPT}").isNotNull() | all_null).alias("_malformed"), "_line"]
+    return first, second
 
 
 def ensure_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
