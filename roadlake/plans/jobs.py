@@ -116,7 +116,7 @@ def ingest_snapshots(spark: SparkSession, feed: str, snapshots_path: str, zones:
 def landing_to_clean(spark: SparkSession, feed: str, zones: Zones, run_ts=None,
                      require_rows: bool = True, write_mode: str = "replace_partitions",
                      keep_malformed: bool = False, register: bool = False,
-                     drop_duplicates: bool = False,
+                     drop_duplicates: bool = False, database: str | None = None,
                      report: RunReport | None = None) -> str:
     """Clean one feed's whole landing history into its clean table.
 
@@ -156,7 +156,7 @@ def landing_to_clean(spark: SparkSession, feed: str, zones: Zones, run_ts=None,
         report.add(table, obs)
         report.add(f"{feed}_landing", line_obs)
     if register:
-        register_table(spark, table, zones.clean(table))
+        register_table(spark, table, zones.clean(table), database=database)
     return zones.clean(table)
 
 
@@ -167,6 +167,7 @@ def _read_clean(spark, zones, table):
 
 def clean_to_curated(spark: SparkSession, feed: str, zones: Zones,
                      history: bool = False, register: bool = False,
+                     database: str | None = None,
                      report: RunReport | None = None) -> dict[str, str]:
     """Build one feed's two curated tables from its clean table.
 
@@ -200,7 +201,7 @@ def clean_to_curated(spark: SparkSession, feed: str, zones: Zones,
         paths["inc_current_events"] = zones.curated("inc_current_events")
     if register:
         for name, p in paths.items():
-            register_table(spark, name, p)
+            register_table(spark, name, p, database=database)
     return paths
 
 

@@ -82,9 +82,12 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet",
-                   partitioned: bool = True) -> DataFrame:
-    """Register a written zone folder as a catalog table and discover its
-    partitions (the crawler's job)."""
+                   partitioned: bool = True, database: str | None = None) -> DataFrame:
+    """Register a written zone folder as a catalog table (in ``database``,
+    created when missing) and discover its partitions (the crawler's job)."""
+    if database:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        name = f"{database}.{name}"
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.catalog.createTable(name, path=path, source=fmt)
     if partitioned:

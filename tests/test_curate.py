@@ -262,3 +262,12 @@ def test_table_metrics_and_day_sample(spark):
     assert (m["rows"], m["null_day_rows"], m["distinct_days"], m["first_day"], m["last_day"]) == \
         (8, 1, 3, "2025-01-01", "2025-01-03")
     assert [r[0] for r in quality.day_sample(df, 2).collect()] == ["2025-01-01", "2025-01-02"]
+
+
+def test_register_in_database(spark, tmp_dir):
+    from roadlake.sinks import register_table, write_table
+    df = spark.createDataFrame([("2025-01-01", 1), ("2025-01-02", 2)], "dt string, v int")
+    write_table(df, tmp_dir + "/t", ["dt"])
+    register_table(spark, "t_demo", tmp_dir + "/t", database="roads_curated_test")
+    got = spark.sql("SELECT dt, v FROM roads_curated_test.t_demo WHERE dt = '2025-01-02'")
+    assert [(str(r[0]), r[1]) for r in got.collect()] == [("2025-01-02", 2)]
