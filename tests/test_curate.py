@@ -271,3 +271,26 @@ def test_register_in_database(spark, tmp_dir):
     register_table(spark, "t_demo", tmp_dir + "/t", database="roads_curated_test")
     got = spark.sql("SELECT dt, v FROM roads_curated_test.t_demo WHERE dt = '2025-01-02'")
     assert [(str(r[0]), r[1]) for r in got.collect()] == [("2025-01-02", 2)]
+
+
+def test_incremental_work_zones(spark, tmp_dir):
+    from roadlake.plans import jobs
+    from roadlake.sinks import write_landing
+    z = jobs.Zones(tmp_dir)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}"
+                       for f in schemas.WZDX_LANDING.fields)
+
+    def poll(ms, direction):
+        write_landing(spark.createDataFrame(
+            [(ms, "z1", ["I-95"], direction, "2025-01-01T00:00:00Z", "2025-01-01T02:00:00Z",
+              39.0, -77.0, 39.1, -77.1)], schema), z.landing("wzdx"), arrival_ms=ms)
+        jobs.run_feed_incremental(spark, "wzdx", z)
+
+    poll(1735689600000, "NORTHBOUND")          # 2025-01-01
+    poll(1735776000000, "SOUTHBOUND")          # 2025-01-02: a newer poll of z1
+    cur = jobs.read_curated(spark, z, "wzdx_current_events").collect()
+    assert [(r["road_event_id"], r["snapshot_dt"], r["direction"]) for r in cur] == \
+        [("z1", "2025-01-02", "SOUTHBOUND")]
+    daily = sorted((r["dt"], r["direction"], r["work_zone_count"], r["avg_duration_hours"])
+                   for r in jobs.read_curated(spark, z, "wzdx_daily_summary").collect())
+    assert daily == [("2025-01-01", "NORTHBOUND", 1, 2.0), ("2025-01-02", "SOUTHBOUND", 1, 2.0)]
