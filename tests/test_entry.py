@@ -61,3 +61,17 @@ def test_chain_invariants(spark):
 def E_queries():
     import __spark_entry__ as E
     return E.queries()
+
+
+def test_bench_prints_one_json_line():
+    import json
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, BENCH_SF_DIR=SF, BENCH_CPUS="4", BENCH_QUERIES="county_performance")
+    out = subprocess.run([sys.executable, os.path.join(root, "bench.py")], env=env,
+                         capture_output=True, text=True, timeout=600)
+    line = out.stdout.strip().splitlines()[-1]
+    rec = json.loads(line)
+    assert rec["unit"] == "sec" and rec["sf"] == 0.001
+    assert set(rec["queries"]) == {"county_performance"} and rec["value"] > 0
