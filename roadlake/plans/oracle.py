@@ -281,6 +281,7 @@ WHERE NOT (r.rwis_obs IS NOT NULL AND w.work_zones IS NOT NULL AND i.incidents I
     q["stream_clean_hourly"] = q["rwis_hourly_summary"]
     q["stream_curate_hourly"] = q["rwis_hourly_summary"]
     q["stream_dedupe_hourly"] = q["rwis_hourly_summary"]
+    q["stream_county_performance"] = q["county_performance"]
     q["stream_hourly_windows"] = _with(RWIS_CTE) + """
 SELECT * FROM rwis_hourly
 WHERE event_hour + INTERVAL 1 HOUR <= (SELECT max(event_time) FROM rwis_clean) - INTERVAL 1 HOUR"""

@@ -236,6 +236,22 @@ def stream_clean_hourly(spark, d):
     return curate.rwis_hourly_summary(read_table(spark, base + "/table", schemas.RWIS_CLEAN))
 
 
+def stream_county_performance(spark, d):
+    """Incidents through the incremental clean stream (file sink,
+    availableNow), then current incidents, daily summary and Q3."""
+    from roadlake import streaming
+    from roadlake.sources import read_table
+    lines_path = run_folder(spark, "landing-incidents-s")
+    write_landing(incident_landing(spark, d), lines_path, arrival_ms=RUN_MS)
+    base = run_folder(spark, "stream-incidents")
+    q = streaming.start_clean(streaming.clean_stream(spark, "incidents", lines_path),
+                              base + "/table", base + "/_chk")
+    q.awaitTermination()
+    cleaned = read_table(spark, base + "/table", schemas.INCIDENT_CLEAN)
+    return analytics.county_performance(
+        curate.inc_daily_summary(curate.inc_current_events(cleaned)))
+
+
 def stream_dedupe_hourly(spark, d):
     """Every reading delivered twice; the clean stream drops the repeats
     within its watermark before the table is written, so the hourly summary
@@ -368,6 +384,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_clean_hourly": stream_clean_hourly,
     "stream_hourly_windows": stream_hourly_windows,
     "stream_dedupe_hourly": stream_dedupe_hourly,
+    "stream_county_performance": stream_county_performance,
     "stream_latest_per_station": stream_latest_per_station,
     "stream_curate_hourly": stream_curate_hourly,
 }
