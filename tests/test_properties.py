@@ -82,3 +82,13 @@ def test_optional_row_cap(spark):
         [(json.dumps({"station_id": i, "ts": 1763359140000}),) for i in range(10)], "value string")
     assert clean.clean_rwis(lines).count() == 10
     assert clean.clean_rwis(lines, max_rows=4).count() == 4
+
+
+def test_haversine_reference_distance(spark):
+    from roadlake.functions import haversine_km, within_radius
+    df = spark.createDataFrame([(38.90, -77.04)], "lat double, lon double")
+    d = df.select(haversine_km(39.29, -76.61, F.col("lat"), F.col("lon"))).collect()[0][0]
+    assert abs(d - 57.0756) < 1e-3
+    keep = [df.select(within_radius(F.col("lat"), F.col("lon"), 39.29, -76.61, r)).collect()[0][0]
+            for r in (57.0, 58.0, 0.0, -1.0)]
+    assert keep == [False, True, True, True]
