@@ -156,7 +156,8 @@ def landing_to_clean(spark: SparkSession, feed: str, zones: Zones, run_ts=None,
         report.add(table, obs)
         report.add(f"{feed}_landing", line_obs)
     if register:
-        register_table(spark, table, zones.clean(table), database=database)
+        register_table(spark, table, zones.clean(table), database=database,
+                       schema=CLEAN_SCHEMAS[table], partition_by=schemas.PARTITIONS[table])
     return zones.clean(table)
 
 
@@ -185,23 +186,25 @@ def clean_to_curated(spark: SparkSession, feed: str, zones: Zones,
     else:
         c = _read_clean(spark, zones, "incident_validated")
         cur_path = zones.curated("inc_current_events")
-        write_table(curate.inc_current_events(c), cur_path,
-                    schemas.PARTITIONS["inc_current_events"], latest_mode)
+        current = curate.inc_current_events(c)
+        write_table(current, cur_path, schemas.PARTITIONS["inc_current_events"], latest_mode)
         # the summary reads the written current table, so both agree exactly
         cur = read_table(spark, cur_path).select(*schemas.INCIDENT_CURRENT_COLS)
         outs = {"inc_daily_summary": (curate.inc_daily_summary(cur), "overwrite")}
-    paths = {}
+    paths, table_schemas = {}, {}
     for name, (df, mode) in outs.items():
         df, obs = quality.observe_clean(df, name) if "dt" in df.columns else (df, None)
         write_table(df, zones.curated(name), schemas.PARTITIONS[name], mode)
         if report is not None and obs is not None:
             report.add(name, obs)
-        paths[name] = zones.curated(name)
+        paths[name], table_schemas[name] = zones.curated(name), df.schema
     if feed == "incidents":
         paths["inc_current_events"] = zones.curated("inc_current_events")
+        table_schemas["inc_current_events"] = current.schema
     if register:
         for name, p in paths.items():
-            register_table(spark, name, p, database=database)
+            register_table(spark, name, p, database=database, schema=table_schemas[name],
+                           partition_by=schemas.PARTITIONS[name])
     return paths
 
 

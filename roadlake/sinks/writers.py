@@ -82,14 +82,25 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet",
-                   partitioned: bool = True, database: str | None = None) -> DataFrame:
+                   partitioned: bool = True, database: str | None = None,
+                   schema=None, partition_by=None) -> DataFrame:
     """Register a written zone folder as a catalog table (in ``database``,
-    created when missing) and discover its partitions (the crawler's job)."""
+    created when missing) and discover its partitions (the crawler's job).
+    With ``schema`` (the written table's schema) partition columns keep
+    their type, e.g. the ``dt`` day key stays a string instead of being
+    inferred as a date from the folder names."""
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
         name = f"{database}.{name}"
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.catalog.createTable(name, path=path, source=fmt)
+    if schema is not None:
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        parts = list(partition_by or [])
+        part_clause = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in parts)})" if parts else ""
+        spark.sql(f"CREATE TABLE {name} ({cols}) USING {fmt}{part_clause} LOCATION '{path}'")
+        partitioned = partitioned and bool(parts)
+    else:
+        spark.catalog.createTable(name, path=path, source=fmt)
     if partitioned:
         spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
     return spark.table(name)
