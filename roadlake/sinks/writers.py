@@ -92,6 +92,10 @@ def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parque
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
         name = f"{database}.{name}"
+    else:
+        # a temp view of the same name would shadow the table (and absorb the
+        # DROP below), so it goes first
+        spark.catalog.dropTempView(name)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     if schema is not None:
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)

@@ -294,3 +294,13 @@ def test_incremental_work_zones(spark, tmp_dir):
     daily = sorted((r["dt"], r["direction"], r["work_zone_count"], r["avg_duration_hours"])
                    for r in jobs.read_curated(spark, z, "wzdx_daily_summary").collect())
     assert daily == [("2025-01-01", "NORTHBOUND", 1, 2.0), ("2025-01-02", "SOUTHBOUND", 1, 2.0)]
+
+
+def test_register_replaces_shadowing_temp_view(spark, tmp_dir):
+    from roadlake.sinks import register_table, write_table
+    df = spark.createDataFrame([("2025-01-01", 1)], "dt string, v int")
+    write_table(df, tmp_dir + "/t", ["dt"])
+    register_table(spark, "t_shadow", tmp_dir + "/t", schema=df.schema, partition_by=["dt"])
+    spark.createDataFrame([("x", 9)], "dt string, v int").createOrReplaceTempView("t_shadow")
+    register_table(spark, "t_shadow", tmp_dir + "/t", schema=df.schema, partition_by=["dt"])
+    assert [(r["dt"], r["v"]) for r in spark.table("t_shadow").collect()] == [("2025-01-01", 1)]
