@@ -1,7 +1,9 @@
 """Feed normalisers: raw snapshot documents -> landing records.
 
-Each normaliser is one projection over exploded feed items; all field rules
-are built-in expressions from :mod:`roadlake.functions`.
+Each normaliser is a few staged projections over exploded feed items (pull
+each field once, choose among spellings, then type), built from the
+built-in expressions of :mod:`roadlake.functions`.  The expression lists are
+built once per Spark context (:func:`roadlake.session.expr_cache`).
 """
 
 from __future__ import annotations
