@@ -280,6 +280,13 @@ def test_ingest_and_run_feed(spark, tmp_dir):
     q1 = analytics.daily_coverage(hourly, wz_daily, inc).collect()
     assert [(r["dt"], r["rwis_stations"], r["work_zones"], r["incidents"]) for r in q1] == \
         [("2025-11-17", 2, 1, 1)]
+    # the same questions through the command line
+    from roadlake.__main__ import main
+    cli_q1 = main(["query", "q1", "--root", z.root], spark=spark).collect()
+    assert [(r["dt"], r["rwis_obs"]) for r in cli_q1] == [("2025-11-17", 2)]
+    cli_q2 = main(["query", "q2", "--root", z.root], spark=spark).collect()
+    assert [(r["dt"], r["total_incidents"], r["dry_obs"]) for r in cli_q2] == \
+        [("2025-11-17", 1, 2)]
     # re-running the clean job replaces its days: no duplicates
     jobs.run_feed(spark, "rwis", z, run_ts="2025-11-17T10:00:00Z")
     assert jobs.read_curated(spark, z, "rwis_hourly_summary") \
