@@ -47,3 +47,13 @@ def test_day_grain_joins_are_broadcast_by_aqe(spark):
     assert "isFinalPlan=true" in text
     final = text.split("== Initial Plan ==")[0]
     assert final.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in final
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data missing")
+def test_no_python_evaluation_in_any_registered_query(spark):
+    import __spark_entry__ as E
+    python_nodes = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas",
+                    "MapInPandas", "PythonUDF")
+    for name, fn in E.queries().items():
+        plan = _plan(fn(spark, SF))
+        assert not any(n in plan for n in python_nodes), name
