@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from roadlake.llm import decontaminate, neardup, pii, quality_rules, sentencepiece_codec, shards
+from roadlake.llm import decontaminate, neardup, pii, quality_rules, ranking, repeats, sentencepiece_codec, shards, toxicity
 
 
 def queries() -> dict:
@@ -12,12 +12,16 @@ def queries() -> dict:
         "op4_quality_rules": quality_rules.query,
         "op5_decontamination": decontaminate.query,
         "op6_sharding": shards.query,
+        "op7_repeats": repeats.query,
+        "op8_ranking": ranking.query,
+        "op9_toxicity": toxicity.query,
         "op10_pii": pii.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_minhash_neardup": NEARDUP_SQL, "op6_sharding": shards.oracle()}
+    return {"op1_minhash_neardup": NEARDUP_SQL, "op6_sharding": shards.oracle(),
+            "op7_repeats": repeats.SQL}
 
 
 #: Exact: intersections from a join on shingles, components by repeated minima.
