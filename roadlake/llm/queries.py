@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from roadlake.llm import decontaminate, neardup, pii, quality_rules, ranking, repeats, sentencepiece_codec, shards, toxicity
+from roadlake.llm import decontaminate, extract, neardup, pii, quality_rules, ranking, repeats, sentencepiece_codec, shards, toxicity
 
 
 def queries() -> dict:
     return {
         "op1_minhash_neardup": neardup.query,
         "op2_sentencepiece": sentencepiece_codec.query,
+        "op3_html_text": extract.query,
         "op4_quality_rules": quality_rules.query,
         "op5_decontamination": decontaminate.query,
         "op6_sharding": shards.query,
