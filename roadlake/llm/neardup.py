@@ -6,12 +6,14 @@ packed, and a pair's similarity is estimated from the count of equal two-bit
 fields, corrected for accidental collisions. Pairs that pass the estimate are
 confirmed on the full sets, and components of confirmed links are the groups.
 
-Candidates come in two rounds, so that a large group costs a link per member
+Candidates come in three rounds, so that a large group costs a link per member
 and not all its pairs:
 
-1. in each bucket, every member against the bucket's smallest node; components;
-2. in buckets that still span several components, members of different
-   components against each other (blocks of bounded size).
+1. every node against the smallest node it shares a bucket with; components;
+2. in buckets that still span several components, every member against the
+   bucket's smallest node; components again;
+3. in buckets that span several even then, members of different components
+   against each other (blocks of bounded size).
 
 A pair at similarity 0.75 misses all 48 bands with probability 2e-6 and falls
 under the estimate's cut with probability below 1e-8.
@@ -215,11 +217,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = materialize(members.join(buckets, "band"), "members")      # shared buckets only
 
     sig = nodes.select("node", "sig")
-    star = (members.where("node <> center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
-            .join(sig.toDF("a", "sig_a"), "a").join(sig.toDF("b", "sig_b"), "b")
-            .mapInArrow(_close, "a long, b long"))
-    star = materialize(star, "star")
-
     wanted = members.select("node").distinct().join(nodes.select("node", "doc_id", "th"), "node")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of()).alias("th"),
                         text_of().alias("text"))
@@ -227,24 +224,45 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .select("w.node", "t.text").dropDuplicates(["node"])
     texts = materialize(texts, "texts")
 
-    found = materialize(links(star, texts), "links")
+
+    def close(pairs: DataFrame) -> DataFrame:
+        """Pairs (a, b) whose estimate passes."""
+        return materialize(pairs.join(sig.toDF("a", "sig_a"), "a").join(sig.toDF("b", "sig_b"), "b")
+                           .mapInArrow(_close, "a long, b long"), "close")
+
+    def mixed(label: DataFrame) -> DataFrame:
+        """Members, with their labels, of the buckets that span several."""
+        own = members.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        spans = own.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
+        return materialize(own.join(spans.select("band"), "band", "left_semi"), "mixed")
+
+    # 1. each node against the smallest node of all its buckets
+    tested = close(members.where("node <> center").groupBy(F.col("node").alias("b")).agg(F.min("center").alias("a")).select("a", "b"))
+    found = materialize(links(tested, texts), "links")
+    label = components(found)
+
+    # 2. in buckets of several components, members against the smallest node
+    member = mixed(label)
+    first = member.groupBy("band").agg(F.min(F.struct("node", "label")).alias("f")).select("band", F.col("f.node").alias("a"), F.col("f.label").alias("other"))
+    star = member.join(first, "band").where("label <> other").select("a", F.col("node").alias("b")).distinct()
+    star = close(star.join(tested, ["a", "b"], "left_anti"))
+    tested = tested.union(star)
+    found = materialize(found.union(links(star, texts)), "links")
     label = components(found)
 
-    # buckets of several components: their other pairs
-    member = members.where("size > 2").join(label, "node", "left") \
-        .select("band", "node", "size", F.coalesce("label", "node").alias("label"))
-    mixed = member.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("band")
+    # 3. in buckets that still span several, their other pairs
+    member = mixed(label).where("size > 2")
     n = F.ceil(F.col("size") / BLOCK).cast("long")
     other = F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
-    member = (member.join(mixed, "band", "left_semi").join(sig, "node")
+    member = (member.join(sig, "node")
               .withColumn("block", F.pmod(F.xxhash64("node", "band"), n))
               .withColumn("other", other)
               .withColumn("bi", F.least("block", "other")).withColumn("bj", F.greatest("block", "other"))
               .select("band", "bi", "bj", "block", "node", "label", "sig"))
     rest = (member.repartition("band", "bi", "bj").sortWithinPartitions("band", "bi", "bj")
             .mapInArrow(_cross, "a long, b long").distinct())
-    tested = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = materialize(links(rest.join(tested, ["a", "b"], "left_anti"), texts), "links")
+    known = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    more = materialize(links(rest.join(known, ["a", "b"], "left_anti"), texts), "links")
     if not more.isEmpty():
         label = components(found.union(more))
 
