@@ -35,7 +35,6 @@ def _parser() -> argparse.ArgumentParser:
     i.add_argument("--center-lat", type=float, default=0.0)
     i.add_argument("--center-lon", type=float, default=0.0)
     i.add_argument("--radius-km", type=float, default=0.0)
-    i.add_argument("--max-records", type=int, default=None)
     i.add_argument("--raw", action="store_true", help="RWIS raw pass-through mode")
     c = feed_cmd("clean")
     c.add_argument("--keep-malformed", action="store_true")
@@ -48,6 +47,8 @@ def _parser() -> argparse.ArgumentParser:
     q.add_argument("question", choices=("q1", "q2", "q3"))
     q.add_argument("--root", required=True)
     q.add_argument("--csv", default=None)
+    q.add_argument("--limit", type=int, default=None,
+                   help="rows of the report, newest first (default: all)")
     return p
 
 
@@ -61,11 +62,9 @@ def main(argv=None, spark=None):
         opts = {}
         if args.feed == "rwis":
             opts = dict(center_lat=args.center_lat, center_lon=args.center_lon,
-                        radius_km=args.radius_km, max_records=args.max_records)
+                        radius_km=args.radius_km)
             if args.raw:
                 opts = {"mode": "raw"}
-        elif args.max_records is not None:
-            opts = {"max_features" if args.feed == "wzdx" else "max_records": args.max_records}
         jobs.ingest_snapshots(spark, args.feed, args.snapshots, z, run_ts=args.run_ts, **opts)
     elif args.cmd == "clean":
         jobs.landing_to_clean(spark, args.feed, z, run_ts=args.run_ts,
@@ -82,12 +81,13 @@ def main(argv=None, spark=None):
         read = lambda name: jobs.read_curated(spark, z, name)
         if args.question == "q1":
             out = analytics.daily_coverage(read("rwis_hourly_summary"),
-                                           read("wzdx_daily_summary"), read("inc_daily_summary"))
+                                           read("wzdx_daily_summary"), read("inc_daily_summary"),
+                                           limit=args.limit)
         elif args.question == "q2":
             out = analytics.weather_vs_incidents(read("rwis_hourly_summary"),
-                                                 read("inc_daily_summary"))
+                                                 read("inc_daily_summary"), limit=args.limit)
         else:
-            out = analytics.county_performance(read("inc_daily_summary"))
+            out = analytics.county_performance(read("inc_daily_summary"), limit=args.limit)
         if args.csv:
             from roadlake.sinks import write_csv
             write_csv(out, args.csv)

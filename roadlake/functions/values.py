@@ -21,6 +21,10 @@ from pyspark.sql import functions as F
 
 from roadlake.schemas import FALSE_WORDS, TRUE_WORDS
 
+# Decimal, exponent, infinity and not-a-number texts.
+_DIGITS = r"[0-9]+(?:_[0-9]+)*"
+_FLOAT_TEXT = (rf"^\s*[+-]?(?:(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?"
+               r"|(?i:inf|infinity|nan))\s*$")
 _FALSY_JSON = ["null", '""', "false", "[]", "{}"]
 
 
@@ -33,7 +37,7 @@ def vdouble(obj: Column, name: str) -> Column:
     """Field ``name`` of a variant object as a tolerant float: numbers as
     they are, text parsed leniently (spaces, exponents, nan, inf), and
     ``""``, ``"null"``, junk, null, objects and arrays -> null."""
-    return F.try_variant_get(obj, f"$.{name}", "double")
+    return to_float(vfield(obj, name))
 
 
 def vjson(v: Column) -> Column:
@@ -47,7 +51,7 @@ def vstring(v: Column) -> Column:
 
 def is_text(v: Column) -> Column:
     """The variant holds a JSON string."""
-    return vjson(v).startswith('"')
+    return F.schema_of_variant(v) == "STRING"
 
 
 def is_object(v: Column) -> Column:
@@ -79,12 +83,15 @@ def first_truthy(*vals: Column) -> Column:
 
 def to_float(v: Column) -> Column:
     """Tolerant float of a variant (see :func:`vdouble`)."""
-    return F.try_variant_get(v, "$", "double")
+    return F.when(F.coalesce(is_text(v), F.lit(False)), text_to_float(vstring(v))) \
+        .otherwise(F.try_variant_get(v, "$", "double"))
 
 
 def text_to_float(s: Column) -> Column:
-    """Tolerant float of a text column: null, "", "null", junk -> null."""
-    return s.try_cast("double")
+    """Tolerant float of a text column: null, "", "null", junk -> null; digits
+    may be grouped by single underscores, type suffixes and hexadecimal forms
+    are junk."""
+    return F.when(s.rlike(_FLOAT_TEXT), F.replace(s, F.lit("_"), F.lit("")).try_cast("double"))
 
 
 def digits_id(v: Column, default: int = -1) -> Column:

@@ -64,7 +64,7 @@ def ensure_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*cols, *rest)
 
 
-def _valid(lines: DataFrame, schema, keep_malformed: bool, max_rows,
+def _valid(lines: DataFrame, schema, keep_malformed: bool,
            observation=None, flag: bool = False) -> DataFrame:
     p = parse_landing(lines, schema)
     if observation is not None:
@@ -76,10 +76,6 @@ def _valid(lines: DataFrame, schema, keep_malformed: bool, max_rows,
     if not keep_malformed:
         p = p.where(~F.col("_malformed"))
     p = ensure_columns(p.drop("_line", *([] if flag else ["_malformed"])), schema)
-    if max_rows is not None:
-        # Optional cap (off by default: a global limit gathers into one task
-        # and silently drops history beyond the cap).
-        p = p.limit(int(max_rows))
     return p
 
 
@@ -94,7 +90,7 @@ def _out(df: DataFrame, cols, flag: bool) -> DataFrame:
 
 
 def clean_rwis(lines: DataFrame, run_ts=None, keep_malformed: bool = False,
-               max_rows: int | None = None, observation=None,
+               observation=None,
                flag_malformed: bool = False) -> DataFrame:
     """RWIS landing lines -> ``rwis_validated`` rows.
 
@@ -104,7 +100,7 @@ def clean_rwis(lines: DataFrame, run_ts=None, keep_malformed: bool = False,
     the line and malformed-line counts of the pass that consumes the
     result.  ``flag_malformed`` keeps malformed lines as rows marked by a
     boolean ``_malformed`` column (for one-pass run metrics)."""
-    d = _valid(lines, RWIS_LANDING, keep_malformed, max_rows, observation, flag_malformed)
+    d = _valid(lines, RWIS_LANDING, keep_malformed, observation, flag_malformed)
     et = F.coalesce(seconds_time(F.col("ts")), now_ts(run_ts))
     return d.select(
         "station_id", et.alias("event_time"), day_key(et).alias("dt"),
@@ -118,12 +114,12 @@ def clean_rwis(lines: DataFrame, run_ts=None, keep_malformed: bool = False,
 
 
 def clean_incidents(lines: DataFrame, keep_malformed: bool = False,
-                    max_rows: int | None = None, observation=None) -> DataFrame:
+                    observation=None) -> DataFrame:
     """Incident landing lines -> ``incident_validated`` rows.
 
     ``event_time`` prefers the start time, then the creation time, then the
     ingest stamp (second precision); unparseable texts are skipped."""
-    d = _valid(lines, INCIDENT_LANDING, keep_malformed, max_rows, observation)
+    d = _valid(lines, INCIDENT_LANDING, keep_malformed, observation)
     et = F.coalesce(parse_time(F.col("start_time")), parse_time(F.col("create_time")),
                     seconds_time(F.col("ingest_ts")))
     return d.select(
@@ -134,10 +130,10 @@ def clean_incidents(lines: DataFrame, keep_malformed: bool = False,
 
 
 def clean_wzdx(lines: DataFrame, run_ts=None, keep_malformed: bool = False,
-               max_rows: int | None = None, observation=None) -> DataFrame:
+               observation=None) -> DataFrame:
     """Work-zone landing lines -> ``wzdx_validated`` rows (``dt`` is the
     ingest day)."""
-    d = _valid(lines, WZDX_LANDING, keep_malformed, max_rows, observation)
+    d = _valid(lines, WZDX_LANDING, keep_malformed, observation)
     it = F.coalesce(seconds_time(F.col("ingest_ts")), now_ts(run_ts))
     return d.select(
         "road_event_id", it.alias("ingest_time"), day_key(it).alias("dt"),

@@ -8,7 +8,7 @@ built once per Spark context (:func:`roadlake.session.expr_cache`).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadlake.functions.enums import surface_status
@@ -111,22 +111,9 @@ def geofence(df: DataFrame, center_lat: float, center_lon: float,
                                   center_lon, radius_km, require_coords))
 
 
-def cap_per_snapshot(df: DataFrame, n: int | None, snapshot_col: str = "snapshot",
-                     pos_col: str = "pos") -> DataFrame:
-    """Keep the first ``n`` records of every snapshot (by position).  Each
-    snapshot is one bounded poll document, so the per-snapshot window never
-    holds more than one document's items."""
-    if n is None:
-        return df
-    w = Window.partitionBy(snapshot_col).orderBy(pos_col)
-    return df.withColumn("_rk", F.row_number().over(w)) \
-        .where(F.col("_rk") <= int(n)).drop("_rk")
-
-
 def normalize_rwis(docs: DataFrame, run_ts=None, center_lat: float = 0.0,
                    center_lon: float = 0.0, radius_km: float = 0.0,
-                   max_records: int | None = None,
-                   snapshot_col: str = "snapshot", value_col: str = "value",
+                   value_col: str = "value",
                    keep_coords: bool = False, require_coords: bool = False,
                    no_precip_as_none: bool = False,
                    zero_wind_is_value: bool = False,
@@ -134,20 +121,19 @@ def normalize_rwis(docs: DataFrame, run_ts=None, center_lat: float = 0.0,
     """ArcGIS snapshot documents -> RWIS landing records.
 
     Decode, normalise, geofence (records without coordinates are kept unless
-    ``require_coords``), optional per-snapshot cap, then drop the
-    coordinates (``keep_coords`` keeps them as extra columns)."""
+    ``require_coords``), then drop the coordinates
+    (``keep_coords`` keeps them as extra columns)."""
     items = _attempted(arcgis_explode(docs, value_col), observation)
     recs = geofence(rwis_fields(items, run_ts, no_precip_as_none, zero_wind_is_value,
                                 report_time_zone),
                     center_lat, center_lon, radius_km, require_coords)
-    recs = cap_per_snapshot(recs, max_records, snapshot_col)
     cols = [f.name for f in RWIS_LANDING.fields]
     return recs.select(*cols, *(["lat", "lon"] if keep_coords else []))
 
 
 def rwis_raw_records(docs: DataFrame, value_col: str = "value") -> DataFrame:
     """Raw pass-through mode: the un-normalised items as JSON lines, without
-    geofence or cap.  FeatureSet items are their attributes plus ``_geom``
+    geofence.  FeatureSet items are their attributes plus ``_geom``
     (the feature's geometry, ``{}`` when missing); bare-array items are
     written as they are."""
     items = arcgis_explode(docs, value_col)
@@ -164,13 +150,13 @@ def rwis_raw_records(docs: DataFrame, value_col: str = "value") -> DataFrame:
 
 # --------------------------------------------------------------------- WZDx
 def normalize_wzdx(docs: DataFrame, run_ts=None, ingest_col: str | None = None,
-                   max_features: int | None = None, value_col: str = "value",
+                   value_col: str = "value",
                    accept_altitude: bool = False, observation=None) -> DataFrame:
     """GeoJSON FeatureCollection documents -> work-zone landing records.
 
     ``ingest_ts`` is the poll stamp: column ``ingest_col`` of the documents
     (e.g. ``snapshot_ms``) when given, else the run time."""
-    feats = _attempted(geojson_explode(docs, value_col, max_features), observation)
+    feats = _attempted(geojson_explode(docs, value_col), observation)
     out = feats
     for stage in _wzdx_stages(ingest_col, run_ms_of(run_ts), accept_altitude):
         out = out.select(*stage)
@@ -217,10 +203,9 @@ def _wzdx_stages(ingest_col, run_ms, accept_altitude):
 
 # ---------------------------------------------------------------- incidents
 def normalize_incidents(docs: DataFrame, run_ts=None, ingest_col: str | None = None,
-                        max_records: int | None = None,
                         value_col: str = "value", observation=None) -> DataFrame:
     """CHART XML documents -> incident landing records."""
-    rows = _attempted(xml_explode(docs, value_col, max_records), observation)
+    rows = _attempted(xml_explode(docs, value_col), observation)
     return incident_records(rows, run_ts, ingest_col)
 
 

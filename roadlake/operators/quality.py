@@ -72,8 +72,6 @@ def table_metrics(df: DataFrame, day_col: str = "dt") -> DataFrame:
                   F.min(day_col).alias("first_day"), F.max(day_col).alias("last_day"))
 
 
-def day_sample(df: DataFrame, n: int = 10, day_col: str = "dt") -> DataFrame:
-    """Up to ``n`` distinct days (smallest first) — a top-k, never a driver
-    collect of all days."""
-    return df.select(day_col).where(F.col(day_col).isNotNull()).distinct() \
-        .orderBy(day_col).limit(n)
+def day_counts(df: DataFrame, day_col: str = "dt") -> DataFrame:
+    """Rows of every day (rows without a day are left out)."""
+    return df.where(F.col(day_col).isNotNull()).groupBy(day_col).agg(F.count(F.lit(1)).alias("rows"))

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from roadlake import schemas
 from roadlake.operators import clean, curate, normalize, quality
+from roadlake.session import path_exists
 from roadlake.sinks import register_table, write_landing, write_table
 from roadlake.sources import read_landing_lines, read_snapshots, read_table
 
@@ -148,10 +149,14 @@ def landing_to_clean(spark: SparkSession, feed: str, zones: Zones, run_ts=None,
     table = CLEAN_TABLES[feed]
     write_table(out, zones.clean(table), schemas.PARTITIONS[table], write_mode)
     # the write pass counted the malformed lines; only when there are some
-    # is the landing scanned again to keep them aside
-    if not keep_malformed and line_obs.get.get("malformed_lines", 0) > 0:
-        clean.quarantine(lines, schema).write.mode("overwrite") \
-            .option("compression", "gzip").text(zones.quarantine(feed))
+    # is the landing scanned again to keep them aside, and when there are none
+    # those of an earlier run go
+    if not keep_malformed:
+        aside = clean.quarantine(lines, schema)
+        if line_obs.get.get("malformed_lines", 0) == 0:
+            aside = aside.limit(0) if path_exists(spark, zones.quarantine(feed)) else None
+        if aside is not None:
+            aside.write.mode("overwrite").option("compression", "gzip").text(zones.quarantine(feed))
     if report is not None:
         report.add(table, obs)
         report.add(f"{feed}_landing", line_obs)
@@ -216,10 +221,13 @@ def read_curated(spark: SparkSession, zones: Zones, name: str) -> DataFrame:
 
 
 def run_feed(spark: SparkSession, feed: str, zones: Zones, run_ts=None,
-             report: RunReport | None = None, **kw) -> dict[str, str]:
+             report: RunReport | None = None, register: bool = False,
+             database: str | None = None, **kw) -> dict[str, str]:
     """landing -> clean -> curated for one feed (clean first, as triggered)."""
-    landing_to_clean(spark, feed, zones, run_ts=run_ts, report=report, **kw)
-    return clean_to_curated(spark, feed, zones, report=report)
+    landing_to_clean(spark, feed, zones, run_ts=run_ts, report=report, register=register,
+                     database=database, **kw)
+    return clean_to_curated(spark, feed, zones, report=report, register=register,
+                            database=database)
 
 
 def merge_latest(spark: SparkSession, path: str, new_rows: DataFrame, build,
@@ -228,32 +236,41 @@ def merge_latest(spark: SparkSession, path: str, new_rows: DataFrame, build,
 
     Latest-per-key has a total order, so merging the previous latest rows
     with only the new rows equals a rebuild over the whole history.  The
-    merged rows are checkpointed (written to the shared checkpoint folder)
-    before the table they were read from is replaced."""
-    from pyspark.errors import AnalysisException
-    from pyspark.sql import functions as F
-    from roadlake.session import path_exists
+    merged rows are committed in a folder beside the table before the table
+    is replaced: a run that stops in between leaves that copy, and the next
+    run starts from it.  Only a table that was never written counts as a
+    first run; an unreadable one is an error."""
+    beside = path.rstrip("/") + ".next"
+    old = None
+    if path_exists(spark, f"{path}/_SUCCESS"):
+        old = path
+    elif path_exists(spark, f"{beside}/_SUCCESS"):
+        old = beside
+    elif path_exists(spark, path):
+        raise RuntimeError(f"{path} holds no committed table")
     rows = new_rows.select(*clean_cols)
-    if path_exists(spark, path) is not False:          # first run: no table yet
-        try:
-            old = read_table(spark, path)
-            old = old.withColumn("dt", F.col(partition).cast("string")).select(*clean_cols)
-            rows = old.unionByName(rows)
-        except AnalysisException:
-            pass
-    merged = build(rows).checkpoint()
-    write_table(merged, path, [partition], "overwrite")
+    if old is not None:
+        prev = read_table(spark, old)
+        prev = prev.withColumn("dt", F.col(partition).cast("string")).select(*clean_cols)
+        rows = prev.unionByName(rows)
+    if old == beside:
+        # restore first: the copy must not be overwritten while it is read
+        write_table(read_table(spark, beside), path, [partition], "overwrite")
+        return merge_latest(spark, path, new_rows, build, clean_cols, partition)
+    write_table(build(rows), beside, [partition], "overwrite")
+    write_table(read_table(spark, beside), path, [partition], "overwrite")
 
 
 def run_feed_incremental(spark: SparkSession, feed: str, zones: Zones, run_ts=None) -> None:
     """Incremental run: only landing files not seen before are processed.
 
     landing -> clean is an ``availableNow`` stream (exactly once through its
-    checkpoint, appended to the clean table).  A second ``availableNow``
+    checkpoint, appended to the clean table); a second one appends the
+    malformed lines of the same files to the quarantine.  A second ``availableNow``
     stream over the new clean files rebuilds the day-keyed summaries for the
     days they touched and merges them into the latest-state table
-    (:func:`merge_latest`), so the work per run follows the new data, not
-    the history.  Incident daily counts follow the current table, whose
+    (:func:`merge_latest`): the summaries' work follows the new data, the
+    latest-state table is rewritten whole (one row per key).  Incident daily counts follow the current table, whose
     rows may move between days, so they are rebuilt from it (one row per
     incident).  A zone root is run either incrementally or with
     :func:`run_feed`, not both: the stream's commit log decides which clean
@@ -267,6 +284,8 @@ def run_feed_incremental(spark: SparkSession, feed: str, zones: Zones, run_ts=No
         streaming.clean_stream(spark, feed, zones.landing(feed), run_ts=run_ts),
         zones.clean(table), chk + "/clean", schemas.PARTITIONS[table])
     q.awaitTermination()
+    streaming.start_quarantine(spark, feed, zones.landing(feed), zones.quarantine(feed),
+                               chk + "/quarantine").awaitTermination()
     latest = {"rwis": ("rwis_latest_per_station", curate.rwis_latest_per_station),
               "wzdx": ("wzdx_current_events", curate.wzdx_current_events),
               "incidents": ("inc_current_events", curate.inc_current_events)}[feed]

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadlake import schemas
-from roadlake.operators import clean, curate, normalize
+from roadlake.operators import clean, curate, normalize, quality
 from roadlake.plans import analytics, feeds
 from roadlake.plans.feeds import GEOFENCE, RUN_MS, RUN_TS, table
 from roadlake.session import ensure_utc
@@ -93,35 +93,6 @@ def wzdx_snapshot_check(spark, d) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("documents"))
 
 
-def wzdx_capped_decode(spark, d) -> DataFrame:
-    """Work-zone decode with the per-poll feature cap (first 10 features of
-    every snapshot document, as a poller caps each fetch)."""
-    docs = feeds.wzdx_snapshots(table(spark, d, "orders"))
-    return normalize.normalize_wzdx(docs, ingest_col="snapshot_ms", max_features=10)
-
-
-def rwis_capped_decode(spark, d) -> DataFrame:
-    """RWIS decode with the per-poll cap applied after the geofence: the
-    first 100 kept readings of every snapshot document."""
-    docs = feeds.rwis_snapshots(table(spark, d, "events"))
-    lat, lon, r = GEOFENCE
-    return normalize.normalize_rwis(docs, run_ts=RUN_TS, center_lat=lat, center_lon=lon,
-                                    radius_km=r, max_records=100)
-
-
-def incident_capped_decode(spark, d) -> DataFrame:
-    """Incident decode with the per-poll cap: the first 100 incidents of
-    every XML document."""
-    docs = feeds.incident_snapshots(table(spark, d, "events"), table(spark, d, "nation"))
-    return normalize.normalize_incidents(docs, run_ts=RUN_TS, max_records=100)
-
-
-def rwis_day_sample(spark, d) -> DataFrame:
-    """The first ten days present in the clean RWIS table (run log sample)."""
-    from roadlake.operators import quality
-    return quality.day_sample(rwis_clean(spark, d), 10)
-
-
 def wzdx_clean(spark, d) -> DataFrame:
     return clean.clean_wzdx(landed(spark, wzdx_landing(spark, d), "wzdx"), run_ts=RUN_TS)
 
@@ -176,30 +147,36 @@ def zones_incremental_county_performance(spark, d):
 
 def zones_daily_coverage(spark, d):
     """All three feeds through the zones, curated tables registered in the
-    catalog, Q1 run as SQL over the catalog tables."""
+    catalog, Q1 over the catalog tables."""
     from roadlake.plans import jobs
     z = _zones(spark)
+    database = "roadlake_" + z.root.rsplit("-", 1)[-1]          # this run's own
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
 
     def feed_job(feed):
         def run(spark, d):
             _land_feed(spark, d, z, feed)
             jobs.landing_to_clean(spark, feed, z, run_ts=RUN_TS)
-            return jobs.clean_to_curated(spark, feed, z, register=True)
+            return jobs.clean_to_curated(spark, feed, z, register=True, database=database)
         return run
 
     together(spark, d, *(feed_job(f) for f in ("rwis", "wzdx", "incidents")))
-    return spark.sql(analytics.DAILY_COVERAGE_SQL)
+    tables = ("rwis_hourly_summary", "wzdx_daily_summary", "inc_daily_summary")
+    return analytics.daily_coverage(*(spark.table(f"{database}.{t}") for t in tables))
+
+
+def junk_lines(spark, d):
+    """One malformed line per poll: junk text or an empty object, in turn."""
+    return feeds.rwis_snapshots(table(spark, d, "events")).select(
+        F.when(F.col("snapshot") % 2 == 0, F.concat(F.lit("garbage-"), F.col("snapshot")))
+        .otherwise(F.lit("{}")).alias("value"))
 
 
 def quality_metrics(spark, d):
     """Landing -> clean metrics of the RWIS feed with one malformed
     delivery per poll (alternately junk text and an empty object)."""
-    from roadlake.operators import quality
-    events = table(spark, d, "events")
     recs = rwis_landing(spark, d)
-    junk = feeds.rwis_snapshots(events).select(
-        F.when(F.col("snapshot") % 2 == 0, F.concat(F.lit("garbage-"), F.col("snapshot")))
-        .otherwise(F.lit("{}")).alias("value"))
+    junk = junk_lines(spark, d)
     path = run_folder(spark, "landing-rwis-q")
     write_landing(recs, path, arrival_ms=RUN_MS)
     junk.write.mode("append").option("compression", "gzip").text(path + "/junk")
@@ -208,6 +185,18 @@ def quality_metrics(spark, d):
     return quality.clean_run_metrics(flagged)
 
 
+def stream_quarantine(spark, d):
+    """Malformed lines kept by an incremental RWIS run: one per poll, in a
+    second delivery."""
+    from roadlake.plans import jobs
+    z = _zones(spark)
+    write_landing(rwis_landing(spark, d), z.landing("rwis"), arrival_ms=RUN_MS)
+    jobs.run_feed_incremental(spark, "rwis", z, run_ts=RUN_TS)
+    junk_lines(spark, d).write.mode("append").option("compression", "gzip").text(z.landing("rwis") + "/junk")
+    jobs.run_feed_incremental(spark, "rwis", z, run_ts=RUN_TS)
+    return spark.read.text(z.quarantine("rwis"))
+
+
 def csv_export_roundtrip(spark, d):
     """Q3 exported as CSV and read back with its schema."""
     from roadlake.sinks import write_csv
@@ -324,28 +313,6 @@ def together(spark, d, *chains):
 
 
 # ---------------------------------------------------------------- registry
-def _views(**tables):
-    for name, df in tables.items():
-        df.createOrReplaceTempView(name)
-
-
-def _daily_coverage_sql(spark, d):
-    h, w, i = together(spark, d, rwis_hourly, wz_daily, inc_daily)
-    _views(rwis_hourly_summary=h, wzdx_daily_summary=w, inc_daily_summary=i)
-    return spark.sql(analytics.DAILY_COVERAGE_SQL)
-
-
-def _weather_vs_incidents_sql(spark, d):
-    h, i = together(spark, d, rwis_hourly, inc_daily)
-    _views(rwis_hourly_summary=h, inc_daily_summary=i)
-    return spark.sql(analytics.WEATHER_VS_INCIDENTS_SQL)
-
-
-def _county_performance_sql(spark, d):
-    _views(inc_daily_summary=inc_daily(spark, d))
-    return spark.sql(analytics.COUNTY_PERFORMANCE_SQL)
-
-
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rwis_decode": rwis_landing,
     "rwis_geofence_distance": rwis_geofence_distance,
@@ -359,18 +326,18 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "inc_daily_summary": inc_daily,
     "wzdx_decode": wzdx_landing,
     "wzdx_snapshot_check": wzdx_snapshot_check,
-    "wzdx_capped_decode": wzdx_capped_decode,
-    "rwis_day_sample": rwis_day_sample,
-    "rwis_capped_decode": rwis_capped_decode,
-    "incident_capped_decode": incident_capped_decode,
+    "rwis_day_counts": lambda s, d: quality.day_counts(rwis_clean(s, d)),
     "wzdx_clean": wzdx_clean,
     "wzdx_current_events": lambda s, d: curate.wzdx_current_events(wzdx_clean(s, d)),
     "wzdx_daily_summary": wz_daily,
     "daily_coverage": lambda s, d: analytics.daily_coverage(
         *together(s, d, rwis_hourly, wz_daily, inc_daily)),
-    "daily_coverage_sql": _daily_coverage_sql,
-    "weather_vs_incidents_sql": _weather_vs_incidents_sql,
-    "county_performance_sql": _county_performance_sql,
+    "daily_coverage_all": lambda s, d: analytics.daily_coverage(
+        *together(s, d, rwis_hourly, wz_daily, inc_daily), limit=None),
+    "weather_vs_incidents_all": lambda s, d: analytics.weather_vs_incidents(
+        *together(s, d, rwis_hourly, inc_daily), limit=None),
+    "county_performance_all": lambda s, d: analytics.county_performance(
+        inc_daily(s, d), limit=None),
     "weather_vs_incidents": lambda s, d: analytics.weather_vs_incidents(
         *together(s, d, rwis_hourly, inc_daily)),
     "county_performance": lambda s, d: analytics.county_performance(inc_daily(s, d)),
@@ -380,6 +347,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "zones_daily_coverage": zones_daily_coverage,
     "zones_incremental_county_performance": zones_incremental_county_performance,
     "quality_metrics": quality_metrics,
+    "stream_quarantine": stream_quarantine,
     "csv_export_roundtrip": csv_export_roundtrip,
     "stream_clean_hourly": stream_clean_hourly,
     "stream_hourly_windows": stream_hourly_windows,

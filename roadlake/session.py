@@ -70,7 +70,9 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder shared by all executors: the session's checkpoint directory.
 
     The cluster names it in ``spark.checkpoint.dir``; only when it is unset
-    (local tests) is a private temporary folder created and registered.
+    (local tests) is a private temporary folder created and registered; on
+    any other master an unset folder is an error, as executors would write to
+    their own disks.
     """
     try:
         sc = spark.sparkContext
@@ -78,9 +80,13 @@ def shared_dir(spark: SparkSession) -> str:
         sc = None
     if sc is None:
         d = spark.conf.get("spark.checkpoint.dir", None)
-        return (d or tempfile.mkdtemp(prefix="roadlake-ckpt-")).rstrip("/")
+        if not d:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        return d.rstrip("/")
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="roadlake-ckpt-"))
         d = sc.getCheckpointDir()
     return d.rstrip("/")

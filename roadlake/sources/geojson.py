@@ -27,14 +27,10 @@ def geojson_problem(value: Column) -> Column:
             F.coalesce(F.schema_of_variant(doc), F.lit("?")))))
 
 
-def geojson_explode(docs: DataFrame, value_col: str = "value",
-                    max_features: int | None = None) -> DataFrame:
-    """One row per feature (``pos``, ``feature`` variant); the optional cap
-    keeps the first ``max_features`` of each document."""
+def geojson_explode(docs: DataFrame, value_col: str = "value") -> DataFrame:
+    """One row per feature (``pos``, ``feature`` variant)."""
     keep = [c for c in docs.columns if c != value_col]
     feats = geojson_features(F.col(value_col))
-    if max_features is not None:
-        feats = F.slice(feats, 1, int(max_features))
     return docs.select(*keep, F.posexplode(feats).alias("pos", "feature"))
 
 

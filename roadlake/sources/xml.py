@@ -27,7 +27,7 @@ _ELEMENT = r"(?s)<Incident(?:\s[^>]*)?(?<!/)>(?:(?!<Incident[\s>/]).)*?</Inciden
 # their parent becomes innermost (and still has a child) on the next pass.
 _PLACEHOLDER = "<_nested/>"
 _OPEN = r"<Incident(?:\s[^>]*)?(?<!/)>"
-MAX_NESTING = 4
+_COMMENT = r"(?s)<!--.*?-->"
 # The element has at least one child element.
 _HAS_CHILD = r"(?s)^<Incident(?:\s[^>]*)?>.*<[A-Za-z_]"
 
@@ -41,29 +41,33 @@ _CASE_VARIANT = rf"<(/?)(?!(?:{_KNOWN})[\s/>])((?i:{_KNOWN}))(?=[\s/>])"
 
 def incident_elements(value: Column) -> Column:
     """Incident elements of one XML document as ``array<string>`` (nested
-    incidents included, inner ones listed before the element holding them;
-    up to ``MAX_NESTING`` levels)."""
-    doc = F.regexp_replace(value, _CANON, "<$1" + _TAG)
+    incidents of any depth included, inner ones listed before the element
+    holding them; comments hold no elements)."""
+    doc = F.regexp_replace(F.regexp_replace(value, _COMMENT, ""), _CANON, "<$1" + _TAG)
     innermost = F.regexp_extract_all(doc, F.lit(_ELEMENT), 0)
-    levels, rest = [innermost], doc
-    for _ in range(MAX_NESTING - 1):
-        rest = F.regexp_replace(rest, _ELEMENT, _PLACEHOLDER)
-        levels.append(F.regexp_extract_all(rest, F.lit(_ELEMENT), 0))
+
+    def peel(a, _):
+        # one level: the innermost elements leave the document
+        found = F.regexp_extract_all(a["rest"], F.lit(_ELEMENT), 0)
+        return F.struct(F.regexp_replace(a["rest"], _ELEMENT, _PLACEHOLDER).alias("rest"),
+                        F.concat(a["out"], found).alias("out"))
+
+    # a document is never deeper than its opening tags are many
+    depth = F.sequence(F.lit(1), F.regexp_count(doc, F.lit(_OPEN)))
+    start = F.struct(doc.alias("rest"), F.expr("cast(array() as array<string>)").alias("out"))
+    levels = F.aggregate(depth, start, peel)["out"]
     # peel only documents that hold more opening tags than innermost
     # elements (i.e. some incident encloses another); flat ones take one pass
     nested = F.regexp_count(doc, F.lit(_OPEN)) > F.size(innermost)
-    elems = F.when(nested, F.concat(*levels)).otherwise(innermost)
+    elems = F.when(nested, levels).otherwise(innermost)
     return F.filter(elems, lambda e: e.rlike(_HAS_CHILD))
 
 
-def xml_explode(docs: DataFrame, value_col: str = "value",
-                max_records: int | None = None) -> DataFrame:
+def xml_explode(docs: DataFrame, value_col: str = "value") -> DataFrame:
     """One row per incident element: ``pos`` and ``x`` (struct of the child
     texts named by their tags; absent children are null, empty ones '')."""
     keep = [c for c in docs.columns if c != value_col]
     elems = incident_elements(F.col(value_col))
-    if max_records is not None:
-        elems = F.slice(elems, 1, int(max_records))
     rows = docs.select(*keep, F.posexplode(elems).alias("pos", "element"))
     exact = F.regexp_replace(F.col("element"), _CASE_VARIANT, "<$1_$2")
     return rows.select(*keep, "pos", F.from_xml(

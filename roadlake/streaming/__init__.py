@@ -1,7 +1,8 @@
 """Structured Streaming variants: incremental clean, windows, dedupe, latest."""
 
 from roadlake.streaming.incremental import (clean_stream, dedupe, hourly_windows,
-                                            latest_state, start_clean, start_curate)
+                                            latest_state, start_clean, start_curate,
+                                            start_quarantine)
 
 __all__ = ["clean_stream", "dedupe", "hourly_windows", "latest_state",
-           "start_clean", "start_curate"]
+           "start_clean", "start_curate", "start_quarantine"]

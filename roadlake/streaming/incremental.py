@@ -53,6 +53,15 @@ def start_clean(df: DataFrame, table_path: str, checkpoint: str,
     return w.start(table_path)
 
 
+def start_quarantine(spark: SparkSession, feed: str, landing_path: str, path: str,
+                     checkpoint: str) -> StreamingQuery:
+    """Append the malformed lines of new landing files to the quarantine."""
+    lines = (spark.readStream.format("text").option("recursiveFileLookup", "true")
+             .load(landing_path).select("value"))
+    return (clean.quarantine(lines, LANDING[feed]).writeStream.format("text").outputMode("append")
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path))
+
+
 def hourly_windows(clean_rows: DataFrame, watermark: str | None = "1 hour") -> DataFrame:
     """Streaming hourly station summary over tumbling event-time windows.
     ``watermark=None`` keeps a watermark defined upstream (e.g. by
@@ -127,5 +136,7 @@ def start_curate(spark: SparkSession, feed_clean_stream: DataFrame, clean_path:
 DAY_SUMMARIES = {"rwis": {"rwis_hourly_summary": curate.rwis_hourly_summary},
                  "wzdx": {"wzdx_daily_summary": curate.wzdx_daily_summary},
                  "incidents": {}}
+LANDING = {"rwis": schemas.RWIS_LANDING, "wzdx": schemas.WZDX_LANDING,
+           "incidents": schemas.INCIDENT_LANDING}
 SCHEMAS = {"rwis": schemas.RWIS_CLEAN, "wzdx": schemas.WZDX_CLEAN,
            "incidents": schemas.INCIDENT_CLEAN}

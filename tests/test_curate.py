@@ -255,13 +255,14 @@ def test_ingest_with_spark_xml_reader(spark, tmp_dir):
     assert jobs.read_curated(spark, z, "inc_current_events").count() == 5
 
 
-def test_table_metrics_and_day_sample(spark):
+def test_table_metrics_and_day_counts(spark):
     df = spark.createDataFrame([("2025-01-0%d" % (i % 3 + 1),) for i in range(7)] + [(None,)],
                                "dt string")
     m = quality.table_metrics(df).collect()[0]
     assert (m["rows"], m["null_day_rows"], m["distinct_days"], m["first_day"], m["last_day"]) == \
         (8, 1, 3, "2025-01-01", "2025-01-03")
-    assert [r[0] for r in quality.day_sample(df, 2).collect()] == ["2025-01-01", "2025-01-02"]
+    assert sorted(map(tuple, quality.day_counts(df).collect())) == [
+        ("2025-01-01", 3), ("2025-01-02", 2), ("2025-01-03", 2)]
 
 
 def test_register_in_database(spark, tmp_dir):

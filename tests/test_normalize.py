@@ -133,13 +133,6 @@ def test_raw_passthrough(spark):
     assert json.loads(line) == {"station_id": 3, "_geom": {"x": 1, "y": 2}}
 
 
-def test_cap_per_snapshot(spark):
-    attrs = [{"rowid": i, "station_id": i + 1, "ReportTime": 1763359140000} for i in range(5)]
-    out = normalize.normalize_rwis(docs(spark, featureset(*attrs), featureset(*attrs)),
-                                   run_ts=RUN, max_records=2).collect()
-    assert sorted(r["station_id"] for r in out) == [1, 1, 2, 2]
-
-
 # ------------------------------------------------------------------ WZDx
 def wz(spark, *features, **kw):
     d = docs(spark, {"type": "FeatureCollection", "features": list(features)})
@@ -183,11 +176,9 @@ def test_work_zone_ids_names_direction(spark):
     assert all(r["ingest_ts"] == RUN_MS for r in rows)
 
 
-def test_wzdx_cap_and_problem(spark):
+def test_wzdx_problem(spark):
     from pyspark.sql import functions as F
     from roadlake.sources import geojson_problem
-    feats = [{"id": str(i), "properties": {}} for i in range(5)]
-    assert len(wz(spark, *feats, max_features=3)) == 3
     d = docs(spark, "{bad", {"type": "x"}, {"features": []})
     probs = [r[0] for r in d.select(geojson_problem(F.col("value"))).collect()]
     assert probs[0].startswith("invalid JSON") and probs[1].startswith("unexpected")

@@ -76,14 +76,6 @@ def test_clean_has_no_single_partition_exchange(spark):
         assert "SinglePartition" not in plan and "Exchange" not in plan
 
 
-def test_optional_row_cap(spark):
-    from roadlake.operators import clean
-    lines = spark.createDataFrame(
-        [(json.dumps({"station_id": i, "ts": 1763359140000}),) for i in range(10)], "value string")
-    assert clean.clean_rwis(lines).count() == 10
-    assert clean.clean_rwis(lines, max_rows=4).count() == 4
-
-
 def test_haversine_reference_distance(spark):
     from roadlake.functions import haversine_km, within_radius
     df = spark.createDataFrame([(38.90, -77.04)], "lat double, lon double")
