@@ -40,7 +40,7 @@ GROUP = 64
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|select|svg|iframe|title)\b"
     r"(?:[^'\">]|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^'\">]|\"[^\"]*\"|'[^']*')*+)>|<[!?][^>]*>|([^<]+|<)", re.S | re.I)
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^'\">]|\"[^\"]*\"|'[^']*')*+)>|<[!?][^>]*>|([^<]+|<)", re.S | re.I)
 NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 PART = re.compile(r"[a-z]+")
 #: Elements that do not end a block (HTML's phrasing elements).
