@@ -9,7 +9,8 @@ confirmed on the full sets, and components of confirmed links are the groups.
 Candidates come in three rounds, so that a large group costs a link per member
 and not all its pairs:
 
-1. every node against the smallest node it shares a bucket with; components;
+1. every node against the smallest node it shares a bucket with: the links
+   are a forest, whose trees are the first components;
 2. in buckets that still span several components, every member against the
    bucket's smallest node; components again;
 3. in buckets that span several even then, members of different components
@@ -148,6 +149,24 @@ def links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(ta, "a").join(tb, "b").select("a", "b", "text_a", "text_b").mapInArrow(_confirm, "a long, b long")
 
 
+def roots(parents: DataFrame) -> DataFrame:
+    """node, label (root of its tree) for every node of a forest.
+
+    ``parents`` (a, b): a is b's only parent, and a < b, so a root is its
+    tree's smallest node. Every label becomes its label's label until none
+    changes: rounds grow with the logarithm of the depth, and a round costs
+    one join."""
+    lab = parents.select(F.col("b").alias("node"), F.col("a").alias("label"))
+    while True:
+        jump = lab.select(F.col("node").alias("label"), F.col("label").alias("further"))
+        step = materialize(lab.join(jump, "label", "left")
+                           .select("node", F.coalesce("further", "label").alias("label"),
+                                   F.col("further").isNotNull().alias("moved")), "labels")
+        lab = step.select("node", "label")
+        if step.where("moved").isEmpty():
+            return lab.union(lab.select(F.col("label").alias("node"), "label").distinct())
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, label (smallest node reachable) for every node of ``edges``.
 
@@ -168,6 +187,24 @@ def components(edges: DataFrame) -> DataFrame:
         lab = step.select("node", "label")
 
 
+def joined(label: DataFrame, found: DataFrame) -> DataFrame:
+    """``label`` after the further links ``found``: only the labels that these
+    bring together get a new one."""
+    if found.isEmpty():
+        return label
+    own = label.select(F.col("node").alias("x"), "label")
+    ends = found.select("a", "b")
+    for end in ("a", "b"):
+        ends = (ends.join(own, ends[end] == own.x, "left")
+                .withColumn(end, F.coalesce("label", end)).select("a", "b"))
+    ends = ends.where("a <> b").distinct()
+    new = components(ends).toDF("old", "new")
+    every = label.union(found.select("a").union(found.select("b")).distinct().toDF("node")
+                        .join(label, "node", "left_anti").select("node", F.col("node").alias("label")))
+    return materialize(every.join(new, every.label == new.old, "left")
+                       .select("node", F.coalesce("new", "label").alias("label")), "labels")
+
+
 def _cross(batches):
     """Rows arrive sorted by (band, bi, bj): pairs of members that have other
     labels and whose estimate passes."""
@@ -224,7 +261,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .select("w.node", "t.text").dropDuplicates(["node"])
     texts = materialize(texts, "texts")
 
-
     def close(pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) whose estimate passes."""
         return materialize(pairs.join(sig.toDF("a", "sig_a"), "a").join(sig.toDF("b", "sig_b"), "b")
@@ -238,8 +274,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     # 1. each node against the smallest node of all its buckets
     tested = close(members.where("node <> center").groupBy(F.col("node").alias("b")).agg(F.min("center").alias("a")).select("a", "b"))
-    found = materialize(links(tested, texts), "links")
-    label = components(found)
+    label = roots(materialize(links(tested, texts), "links"))
 
     # 2. in buckets of several components, members against the smallest node
     member = mixed(label)
@@ -247,8 +282,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     star = member.join(first, "band").where("label <> other").select("a", F.col("node").alias("b")).distinct()
     star = close(star.join(tested, ["a", "b"], "left_anti"))
     tested = tested.union(star)
-    found = materialize(found.union(links(star, texts)), "links")
-    label = components(found)
+    label = joined(label, materialize(links(star, texts), "links"))
 
     # 3. in buckets that still span several, their other pairs
     member = mixed(label).where("size > 2")
@@ -262,9 +296,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rest = (member.repartition("band", "bi", "bj").sortWithinPartitions("band", "bi", "bj")
             .mapInArrow(_cross, "a long, b long").distinct())
     known = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = materialize(links(rest.join(known, ["a", "b"], "left_anti"), texts), "links")
-    if not more.isEmpty():
-        label = components(found.union(more))
+    label = joined(label, materialize(links(rest.join(known, ["a", "b"], "left_anti"), texts), "links"))
 
     rows = rows.select("doc_id", "th", "n_shingles", "node").join(label, "node", "left") \
         .withColumn("label", F.when(F.col("n_shingles") > 0, F.coalesce("label", "node")))
