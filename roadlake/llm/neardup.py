@@ -17,10 +17,13 @@ and not all its pairs:
    member outside the block's commonest component against its best-estimated
    member of another; repeated while links are found;
 4. in buckets that are still mixed, members of different components against
-   each other (pairs of blocks).
+   each other (pairs of blocks). A pair is tested in the first bucket it
+   shares, inside the block's task: members with a candidate bring their texts
+   there once, and only links that join components leave it.
 
-A pair at similarity 0.75 misses all 48 bands with probability 2e-6 and falls
-under the estimate's cut with probability below 1e-8.
+A pair at similarity 0.75 misses all 48 bands with probability 2e-6; it falls
+under the estimate's cut, or looks shared earlier by 32 equal bits of other
+buckets, with probabilities below 2e-8.
 
 Defined cases: null, empty or blank text has no shingles and links with
 nothing; documents with equal sets are one node; rows with a null ``doc_id``
@@ -32,7 +35,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadlake.llm.common import LOWER, U, hashed_words, materialize, mix, ngram_hashes, read, signed, text_of
@@ -42,6 +45,8 @@ BANDS, ROWS, BITS = 48, 5, 2
 HASHES = BANDS * ROWS
 ESTIMATE_CUT = 0.55
 BLOCK = 4096
+#: Members and shingles of a block whose texts are compared.
+TEXT_BLOCK, TEXT_SHINGLES = 1024, 1 << 20
 
 _rng = np.random.default_rng(20240501)
 _MUL = _rng.integers(0, 1 << 63, HASHES, dtype=np.int64).astype(U) * U(2) + U(1)
@@ -208,26 +213,66 @@ def joined(label: DataFrame, found: DataFrame) -> DataFrame:
                        .select("node", F.coalesce("new", "label").alias("label")), "labels")
 
 
-def _cross(batches):
-    """Rows arrive sorted by (band, bi, bj): pairs of members that have other
-    labels and whose estimate passes."""
-    def pairs(t):
-        node, label = (t.column(c).to_numpy() for c in ("node", "label"))
-        side = t.column("block").to_numpy()
-        bi, bj = t.column("bi")[0].as_py(), t.column("bj")[0].as_py()
-        sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint8).reshape(len(node), -1)
-        right = np.flatnonzero(side == bj)
-        found_a, found_b = [], []
-        for i in np.flatnonzero(side == bi):
-            j = right[(label[right] != label[i]) & ((right > i) if bi == bj else True)]
-            j = j[estimate(sig[i][None, :], sig[j]) >= ESTIMATE_CUT]
-            found_a.append(np.minimum(node[i], node[j]))
-            found_b.append(np.maximum(node[i], node[j]))
-        if found_a:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found_a), pa.int64()),
-                                              pa.array(np.concatenate(found_b), pa.int64())], names=["a", "b"])
-
-    yield from _by_key(batches, ["band", "bi", "bj"], pairs)
+def _open_pairs(t: pa.Table, which: np.ndarray):
+    """(i, members j) of one pair of blocks: ``which`` (label) differs, the
+    estimate passes, and this bucket is the first that i and j share. The
+    caller may change ``which`` on the way."""
+    side = t.column("block").to_numpy()
+    bi, bj, here = (t.column(c)[0].as_py() for c in ("bi", "bj", "band"))
+    sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint8).reshape(len(t), -1)
+    keys = t.column("keys").combine_chunks().flatten().to_numpy().reshape(len(t), -1)
+    right = np.flatnonzero(side == bj)
+    for i in np.flatnonzero(side == bi):
+        j = right[(which[right] != which[i]) & ((right > i) if bi == bj else True)]
+        j = j[estimate(sig[i][None, :], sig[j]) >= ESTIMATE_CUT]
+        if len(j):
+            j = j[keys[i][(keys[j] == keys[i]).argmax(axis=1)] == here >> 32]
+        if len(j):
+            yield i, j
+
+
+def _involved(batches):
+    """Rows arrive sorted by (band, bi, bj): those that have an open pair."""
+    def members(t):
+        has = np.zeros(len(t), bool)
+        for i, j in _open_pairs(t, t.column("label").to_numpy()):
+            has[i] = True
+            has[j] = True
+        yield from t.filter(pa.array(has)).combine_chunks().to_batches()
+
+    yield from _by_key(batches, ["band", "bi", "bj"], members)
+
+
+def _joining(batches):
+    """Rows with texts arrive sorted by (band, bi, bj): links between members
+    of different labels, fewer than labels that meet in the task."""
+    def found(t):
+        node = t.column("node").to_numpy()
+        which = np.unique(t.column("label").to_numpy(), return_inverse=True)[1]
+        sets = []
+        for _, _, h, rows in hashed_words(t.column("text"), LOWER):
+            sets += [shingle_set(h[x:y]) for x, y in zip(rows[:-1], rows[1:])]
+        size = np.array([len(x) for x in sets])
+        ids = np.unique(np.concatenate(sets), return_inverse=True)[1]
+        ids = np.split(ids, np.cumsum(size)[:-1])
+        seen = np.zeros(sum(size), bool)
+        out_a, out_b = [], []
+        for i, j in _open_pairs(t, which):
+            j = j[100 * np.minimum(size[i], size[j]) >= 75 * np.maximum(size[i], size[j])]
+            if not len(j):
+                continue
+            seen[ids[i]] = True
+            starts = np.cumsum(size[j]) - size[j]
+            both = np.add.reduceat(seen[np.concatenate([ids[k] for k in j])], starts, dtype=np.int64)
+            seen[ids[i]] = False
+            for k in j[100 * both >= 75 * (size[i] + size[j] - both)]:
+                if which[k] != which[i]:
+                    out_a.append(min(node[i], node[k]))
+                    out_b.append(max(node[i], node[k]))
+                    which[which == which[k]] = which[i]
+        yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
+
+    yield from _by_key(batches, ["band", "bi", "bj"], found)
 
 
 def _nearest(batches):
@@ -277,11 +322,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows = materialize(sketches(docs), "sketches")
     nodes = materialize(rows.where("n_shingles > 0").groupBy("node")
                         .agg(F.min(F.struct(F.col("doc_id").isNull().alias("void"), "doc_id", "th")).alias("row"),
-                             F.first("sig").alias("sig"), F.first("bands").alias("bands"))
-                        .select("node", "row.doc_id", "row.th", "sig", "bands"), "nodes")
+                             F.first("sig").alias("sig"), F.first("bands").alias("bands"), F.first("n_shingles").alias("n_shingles"))
+                        .select("node", "row.doc_id", "row.th", "sig", "bands", "n_shingles"), "nodes")
 
-    members = nodes.select("node", F.explode("bands").alias("band"))
-    buckets = members.groupBy("band").agg(F.min("node").alias("center"), F.count("*").alias("size")).where("size > 1")
+    members = nodes.select("node", "n_shingles", F.explode("bands").alias("band"))
+    buckets = members.groupBy("band").agg(F.min("node").alias("center"), F.count("*").alias("size"),
+                                          F.sum("n_shingles").alias("shingles")).where("size > 1")
+    members = members.drop("n_shingles")
     members = materialize(members.join(buckets, "band"), "members")      # shared buckets only
 
     sig = nodes.select("node", "sig")
@@ -316,13 +363,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     label = joined(label, materialize(links(star, texts), "links"))
 
     # 3. members outside their block's commonest label, against the nearest other
-    def blocks(label: DataFrame) -> DataFrame:
-        n = F.ceil(F.col("size") / BLOCK).cast("long")
-        return (mixed(label).where("size > 2").join(sig, "node").withColumn("n", n)
+    def blocks(label: DataFrame, n: Column, signature: DataFrame) -> DataFrame:
+        return (mixed(label).where("size > 2").join(signature, "node").withColumn("n", F.ceil(n).cast("long"))
                 .withColumn("block", F.pmod(F.xxhash64("node", "band"), F.col("n"))))
 
     while True:
-        near = (blocks(label).select("band", "block", "node", "label", "sig")
+        near = (blocks(label, F.col("size") / BLOCK, sig).select("band", "block", "node", "label", "sig")
                 .repartition("band", "block").sortWithinPartitions("band", "block")
                 .mapInArrow(_nearest, "node long, other long, estimate double")
                 .groupBy("node").agg(F.max_by("other", F.struct("estimate", "other")).alias("other")))
@@ -335,14 +381,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         label = joined(label, found)
 
     # 4. in buckets that still span several, their other pairs
+    # (a key's upper half is enough to tell the first bucket that two share)
+    n = F.greatest(F.col("size") / TEXT_BLOCK, F.col("shingles") / TEXT_SHINGLES)
+    keys = nodes.select("node", "sig", F.transform("bands", lambda k: F.shiftright(k, 32).cast("int")).alias("keys"))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1))
-    member = (blocks(label).withColumn("other", other)
+    shape = "band long, bi long, bj long, block long, node long, label long, sig binary, keys array<int>"
+    names = [x.split()[0] for x in shape.split(", ")]
+    member = (blocks(label, n, keys).withColumn("other", other)
               .withColumn("bi", F.least("block", "other")).withColumn("bj", F.greatest("block", "other"))
-              .select("band", "bi", "bj", "block", "node", "label", "sig"))
-    rest = (member.repartition("band", "bi", "bj").sortWithinPartitions("band", "bi", "bj")
-            .mapInArrow(_cross, "a long, b long").distinct())
-    known = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    label = joined(label, materialize(links(rest.join(known, ["a", "b"], "left_anti"), texts), "links"))
+              .select(*names).repartition("band", "bi", "bj").sortWithinPartitions("band", "bi", "bj")
+              .mapInArrow(_involved, shape))
+    rest = (materialize(member, "involved").join(texts, "node").select(*names, "text")
+            .repartition("band", "bi", "bj").sortWithinPartitions("band", "bi", "bj")
+            .mapInArrow(_joining, "a long, b long").distinct())
+    label = joined(label, materialize(rest, "links"))
 
     rows = rows.select("doc_id", "th", "n_shingles", "node").join(label, "node", "left") \
         .withColumn("label", F.when(F.col("n_shingles") > 0, F.coalesce("label", "node")))

@@ -88,6 +88,30 @@ def test_a_large_group_of_near_copies_is_one_component(spark):
     assert {r.component_id for r in got} == {0}
 
 
+def test_links_just_above_the_limit_in_a_large_group_of_pairs_just_below(spark, monkeypatch):
+    """Copies of one text with three edits each: most pairs fall short of the
+    limit, a few reach it. Small blocks, so that pairs meet across blocks."""
+    monkeypatch.setattr(neardup, "TEXT_BLOCK", 40)
+    rng = np.random.default_rng(3)
+    base = words(110, 11, 10_000)
+    made = []
+    for i in range(160):
+        w = list(base)
+        for at in rng.choice(110, 3, replace=False):
+            w[at] = f"edit{rng.integers(4)}"
+        made.append((i, " ".join(w)))
+    sets = [shingles(t) for _, t in made]
+    label = list(range(len(made)))
+    for i, x in enumerate(sets):
+        for j in range(i):
+            if label[i] != label[j] and 100 * len(x & sets[j]) >= 75 * len(x | sets[j]):
+                low, high = sorted((label[i], label[j]))
+                label = [low if v == high else v for v in label]
+    assert 1 < len(set(label)) < 160
+    got = neardup.near_duplicates(spark.createDataFrame(made, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == dict(enumerate(label))
+
+
 def test_estimate_follows_the_similarity():
     rng = np.random.default_rng(0)
     x = rng.integers(0, 1 << 63, 2000, dtype=np.int64).astype(np.uint64)
