@@ -398,8 +398,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     rows = rows.select("doc_id", "th", "n_shingles", "node").join(label, "node", "left") \
         .withColumn("label", F.when(F.col("n_shingles") > 0, F.coalesce("label", "node")))
+    # of nodes, and written: the join by label then splits a large group's rows
     least = F.min(F.struct(F.col("doc_id").isNull().alias("void"), "doc_id", "th")).alias("least")
-    groups = rows.where("label is not null").groupBy("label").agg(least)
+    groups = materialize(nodes.select("node", "doc_id", "th").join(label, "node", "left")
+                         .groupBy(F.coalesce("label", "node").alias("label")).agg(least), "groups")
     out = rows.join(groups, "label", "left")
     alone = F.col("label").isNull()
     component = F.when(alone, F.col("doc_id")).otherwise(F.col("least.doc_id"))
