@@ -225,6 +225,7 @@ WHERE rn = 1"""
 SELECT 1706745600000 AS ingest_ts, event_id, create_time, start_time, closed, county,
        description, direction, incident_type, lat, lon, lanes_status, traffic_alert,
        traffic_alert_msg FROM inc_norm"""
+    q["incident_xml_edges"] = q["incident_decode"]
     q["incident_clean"] = _with(INC_CTE) + "SELECT * FROM inc_clean"
     q["inc_current_events"] = _with(INC_CTE) + "SELECT * FROM inc_current"
     q["inc_daily_summary"] = _with(INC_CTE) + "SELECT * FROM inc_daily"

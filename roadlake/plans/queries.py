@@ -69,6 +69,17 @@ def incident_landing(spark, d) -> DataFrame:
     return normalize.normalize_incidents(docs, run_ts=RUN_TS)
 
 
+def incident_xml_edges(spark, d) -> DataFrame:
+    """Every incident document with a repeated county, an incident inside a
+    comment and an incident's end inside CDATA after each county: the records
+    are those of the plain documents."""
+    docs = feeds.incident_snapshots(table(spark, d, "events"), table(spark, d, "nation"))
+    noise = ("</county><county>second</county><!-- <Incident><id>no</id></Incident> -->"
+             "<note><![CDATA[</Incident><Incident><id>no</id>]]></note>")
+    return normalize.normalize_incidents(
+        docs.withColumn("value", F.replace("value", F.lit("</county>"), F.lit(noise))), run_ts=RUN_TS)
+
+
 def incident_clean(spark, d) -> DataFrame:
     return clean.clean_incidents(landed(spark, incident_landing(spark, d), "incidents"))
 
@@ -321,6 +332,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rwis_latest_per_station":
         lambda s, d: curate.rwis_latest_per_station(rwis_clean(s, d)),
     "incident_decode": incident_landing,
+    "incident_xml_edges": incident_xml_edges,
     "incident_clean": incident_clean,
     "inc_current_events": lambda s, d: curate.inc_current_events(incident_clean(s, d)),
     "inc_daily_summary": inc_daily,

@@ -7,7 +7,9 @@ regular expression, the elements are cut out with ``regexp_extract_all``
 and exploded, and each one is parsed with ``from_xml`` against a flat
 schema of text fields — so each row is a small independent parse and the
 work spreads with the rows.  Child tags match exactly (case-sensitive).
-Incidents nested inside incidents both count (peeled innermost first).
+Incidents nested inside incidents both count (peeled innermost first); of a
+repeated child the first counts.  CDATA sections are read as escaped text
+before anything else looks at the markup.
 """
 
 from __future__ import annotations
@@ -31,7 +33,9 @@ _COMMENT = r"(?s)<!--.*?-->"
 # The element has at least one child element.
 _HAS_CHILD = r"(?s)^<Incident(?:\s[^>]*)?>.*<[A-Za-z_]"
 
-INCIDENT_XML_SCHEMA = ", ".join(f"{tag} string" for tag, _ in INCIDENT_TAGS)
+# Every occurrence of a child, in document order.
+INCIDENT_XML_SCHEMA = ", ".join(f"{tag} array<string>" for tag, _ in INCIDENT_TAGS)
+_CDATA = "<![CDATA["
 # A child tag that equals a known tag only when case is ignored (e.g. <ID>
 # for <id>): renamed so that it matches no field, because child lookup is
 # exact-case while from_xml matches names case-insensitively.
@@ -39,11 +43,24 @@ _KNOWN = "|".join(sorted((t for t, _ in INCIDENT_TAGS), key=len, reverse=True))
 _CASE_VARIANT = rf"<(/?)(?!(?:{_KNOWN})[\s/>])((?i:{_KNOWN}))(?=[\s/>])"
 
 
+def _without_cdata(value: Column) -> Column:
+    """The document with each CDATA section as escaped text."""
+    parts = F.split(value, r"<!\[CDATA\[")
+
+    def escaped(part, i):
+        end = F.instr(part, F.lit("]]>"))
+        return F.when((i == 0) | (end == 0), part).otherwise(
+            F.concat(xml_escape(F.substr(part, F.lit(1), end - 1)), F.substr(part, end + 3)))
+
+    return F.when(value.contains(_CDATA), F.array_join(F.transform(parts, escaped), "")).otherwise(value)
+
+
 def incident_elements(value: Column) -> Column:
     """Incident elements of one XML document as ``array<string>`` (nested
     incidents of any depth included, inner ones listed before the element
     holding them; comments hold no elements)."""
-    doc = F.regexp_replace(F.regexp_replace(value, _COMMENT, ""), _CANON, "<$1" + _TAG)
+    plain = F.regexp_replace(_without_cdata(value), _COMMENT, "")
+    doc = F.regexp_replace(plain, _CANON, "<$1" + _TAG)
     innermost = F.regexp_extract_all(doc, F.lit(_ELEMENT), 0)
 
     def peel(a, _):
@@ -70,9 +87,11 @@ def xml_explode(docs: DataFrame, value_col: str = "value") -> DataFrame:
     elems = incident_elements(F.col(value_col))
     rows = docs.select(*keep, F.posexplode(elems).alias("pos", "element"))
     exact = F.regexp_replace(F.col("element"), _CASE_VARIANT, "<$1_$2")
-    return rows.select(*keep, "pos", F.from_xml(
+    parsed = rows.select(*keep, "pos", F.from_xml(
         exact, INCIDENT_XML_SCHEMA,
         {"ignoreSurroundingSpaces": "false", "mode": "PERMISSIVE"}).alias("x"))
+    return parsed.select(*keep, "pos", F.struct(
+        *[F.get(F.col(f"x.{tag}"), F.lit(0)).alias(tag) for tag, _ in INCIDENT_TAGS]).alias("x"))
 
 
 def incident_count(value: Column) -> Column:

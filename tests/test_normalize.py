@@ -3,10 +3,12 @@
 import json
 
 import pytest
+
 from datetime import datetime
 
 from roadlake.operators import clean, normalize
 from roadlake.operators.normalize import to_landing_lines
+from roadlake.sources.xml import xml_explode
 
 RUN = "2030-01-01T00:00:00Z"
 RUN_MS = 1893456000000
@@ -361,3 +363,15 @@ def test_report_time_zone_and_fractional_epoch(spark):
     ny = rwis(spark, a, report_time_zone="America/New_York")[0]["ts"]
     assert ny == 1763359140000 + 5 * 3600 * 1000
     assert rwis(spark, {"station_id": 1, "ReportTime": 1763359140.5})[0]["ts"] == 1763359140000
+
+
+def test_incident_repeated_child_comment_and_cdata(spark):
+    xml = ("<Incidents><Incident><id>1</id><county>a</county><county>b</county><direction/>"
+           "<!-- <Incident><id>9</id></Incident> -->"
+           "<description><![CDATA[x </Incident> & <b>]]> y</description></Incident>"
+           "<Incident><id>2</id></Incident></Incidents>")
+    rows = spark.createDataFrame([(xml,)], "value string")
+    got = xml_explode(rows).select("x.id", "x.county", "x.direction", "x.description").collect()
+    assert [r.id for r in got] == ["1", "2"]
+    assert got[0].county == "a" and got[0].description == "x </Incident> & <b> y"
+    assert not got[0].direction and got[1].county is None
