@@ -338,6 +338,17 @@ def test_base_spans_equal_brute_force(spark, docs, rows, empty):
     assert pii.redact(empty).count() == 0
 
 
+def test_ips_with_zero_parts_equal_brute_force(spark):
+    parts = ["0", "00", "000", "05", "010", "0255", "255", "256", "0256", "8"]
+    texts = [".".join(["8"] * at + [p] + ["9"] * (3 - at)) for at in range(4) for p in parts]
+    texts += ["0.0.0.0", "10.0.0.1 127.0.0.1, 192.168.0.7", "0.0.0.256", "0" * 3000 + ".0.0." + "0" * 3000, "0" * 3000 + "1.2.3.999"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in pii.spans(df, None).collect():
+        assert [(k, s.start, s.end) for k in pii.KINDS for s in r.pii_base[k]] == plain_spans(r.text), r.text[:60]
+    got = {r.doc_id: r.text for r in pii.redact(df).collect()}
+    assert got[41] == "[IP] [IP], [IP]"
+
+
 def test_redaction_replaces_spans(spark):
     df = spark.createDataFrame([(1, "mail a.b@c.example.com, card 4111 1111 1111 1111 end", 0), (2, None, 0), (3, "nothing here", 12)],
                                "doc_id long, text string, n_chars long")
