@@ -363,6 +363,26 @@ def test_spans_on_a_table_keep_the_base_and_add_tokens(spark):
     assert kinds["secret"] > 0 and kinds["email"] == sum(r.n_email for r in got)
 
 
+def test_hot_copies_do_not_displace_other_proposals(spark, monkeypatch):
+    """One proposal of each label in more copies than the sample holds."""
+    monkeypatch.setattr(pii, "SAMPLE", 40)
+    kinds = [lambda i: f"mail {'a' * (i % 17 + 1)}@{'b' * (i % 5 + 1)}.com", lambda i: f"on 12{' ' * (i % 2)}-34{'.' * (i % 4 // 2)}5{'6' * (i % 7 % 3 + 1)} seen",
+             lambda i: f"token: \"{'xK3' * (6 + i % 7)}{i}\" end"]
+    made = [kinds[i % 3](i) for i in range(150)]
+    seen = []
+    monkeypatch.setattr(pii, "materialize", lambda df, name="part": (seen.append((name, df.cache())), seen[-1][1])[1])
+    for hot in (made[0], made[1]):
+        df = spark.createDataFrame([(i, t) for i, t in enumerate(made + [hot] * 200)], "doc_id long, text string")
+        assert pii.fit(df.select("text")) is not None
+        sample = [r.asDict() for n, d in seen if n == "proposals" for r in d.collect()]
+        seen.clear()
+        for y in (0, 1):
+            own = [r for r in sample if r["label"] == y]
+            assert len({tuple(r[n] for n in pii.FEATURES) for r in own}) == len(own) > 3
+            assert 0 < sum(r["nth"] % 4 == 0 for r in own) < len(own)
+        assert max(r["weight"] for r in sample) >= 200
+
+
 # -------------------------------------------------------------------- pipeline
 def test_pipeline_stages(spark):
     import corpus_pipeline
