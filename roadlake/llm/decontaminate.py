@@ -1,13 +1,13 @@
-"""Benchmark decontamination: rare n-gram seeds and local alignment.
+"""Benchmark decontamination: n-gram seeds and local alignment.
 
 Words are lower-cased runs of letters, digits and non-ASCII characters. Every
-four consecutive words of a test item are a seed. How many documents hold each
-seed is counted over the whole table, and each item keeps the rarer half of
-its seeds (at least eight), so an item that is itself copied often keeps
-seeds too. Where a document shares a kept seed, the words around it are
-aligned with the item (Smith-Waterman over words: match 2, mismatch -1, gap
--1); the score is divided by that of the unchanged item, and 0.5 or more
-marks a copy, edited or not.
+four consecutive words of a test item are a seed, common or rare: an edit
+breaks seeds, and a group of copies makes seeds common, so none is left out.
+Where a document shares a seed, the words around it are aligned with the item
+(Smith-Waterman over words: match 2, mismatch -1, gap -1); the score is
+divided by that of the unchanged item, and 0.5 or more marks a copy, edited or
+not. Windows that hold too few of the item's words to reach that are not
+aligned.
 
 Test items are taken in blocks of bounded size, each sent to the tasks; all
 documents are read against every block. Nothing else is broadcast, and no
@@ -29,14 +29,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadlake.llm.common import PLAIN, U, drop_clashing, hashed_words, ngram_hashes, read, signed, text_of
+from roadlake.llm.common import PLAIN, U, drop_clashing, hashed_words, ngram_hashes, read, text_of
 
 GRAM = 4
-LEAST_SEEDS = 8
 THRESHOLD = 0.5
 #: Words of test items in one block (8 bytes a word, about 40 bytes a seed).
 BLOCK_WORDS = 250_000
 FILTER_BITS = 20
+#: Seed hits, each with one item, that are held at a time (one document's at least).
+HITS = 1 << 21
 MATCH, MISMATCH, GAP = 2, -1, -1
 LEAKS = "array<struct<item_id:bigint,score:double>>"
 
@@ -52,16 +53,6 @@ class Block:
     item: np.ndarray
     offset: np.ndarray
 
-    def kept(self, frequency: dict[int, int]) -> "Block":
-        """The rarer half of each item's seeds."""
-        df = np.array([frequency.get(int(s), 0) for s in signed(self.seeds)], np.int64)
-        keep = np.zeros(len(self.seeds), bool)
-        order = np.lexsort((self.offset, df, self.item))
-        cuts = np.searchsorted(self.item[order], np.arange(len(self.ids) + 1))
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            keep[order[a:a + max(LEAST_SEEDS, (b - a + 1) // 2)][:b - a]] = True
-        return Block(self.ids, self.words, self.starts, self.seeds[keep], self.item[keep], self.offset[keep])
-
 
 def make_block(ids: list, texts: list) -> Block | None:
     words, kept = [], []
@@ -143,11 +134,18 @@ class Finder:
             out.append((row[inside], p[inside], k[inside]))
         return [np.concatenate(x) for x in zip(*out)]
 
+    @staticmethod
+    def least(n: int) -> float:
+        """Lowest score of a copy of an item of n words."""
+        return MATCH * n * (THRESHOLD if n >= GRAM else 1.0)
+
     def score(self, i: int, window: np.ndarray) -> float:
         key = (i, window.tobytes())
         if key not in self.known:
             item = self.b.words[self.b.starts[i]:self.b.starts[i + 1]]
-            self.known[key] = alignment(item, window) / (MATCH * len(item))
+            # no alignment scores more than MATCH for each of the item's words that occur
+            most = MATCH * np.isin(item, window).sum()
+            self.known[key] = alignment(item, window) / (MATCH * len(item)) if most >= self.least(len(item)) else 0.0
             if len(self.known) > 20_000:
                 self.known.popitem(last=False)
         return self.known[key]
@@ -155,8 +153,20 @@ class Finder:
     def leaks(self, h: np.ndarray, rows: np.ndarray) -> list[list[dict]]:
         row, p, k = self.hits(h, rows)
         out: list[list[dict]] = [[] for _ in range(len(rows) - 1)]
-        if not len(row):
-            return out
+        order = np.argsort(row, kind="stable")
+        row, p, k = row[order], p[order], k[order]
+        many = self.last[k] - self.first[k]
+        total = np.cumsum(many)
+        a = 0
+        while a < len(row):
+            b = max(a + 1, int(np.searchsorted(total, total[a] - many[a] + HITS, "right")))
+            b = int(np.searchsorted(row, row[b - 1], "right"))
+            self.align(h, rows, row[a:b], p[a:b], k[a:b], out)
+            a = b
+        return out
+
+    def align(self, h, rows, row, p, k, out) -> None:
+        """Leaks of the documents that the hits are in, added to ``out``."""
         many = self.last[k] - self.first[k]
         at = np.repeat(self.first[k], many) + (np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many))
         row, p = np.repeat(row, many), np.repeat(p, many)
@@ -181,33 +191,15 @@ class Finder:
                 best[r, i] = max(s, best.get((r, i), 0.0))
         for (r, i), s in sorted(best.items()):
             out[r].append({"item_id": self.b.ids[i], "score": s})
-        return out
-
-
-def frequencies(docs: DataFrame, block: Block) -> dict[int, int]:
-    """Documents that hold each seed of the block (at most one row a seed)."""
-    def count(batches):
-        find = Finder(block)
-        for batch in batches:
-            seen = []
-            for _, _, h, rows in hashed_words(batch.column(0), PLAIN):
-                row, _, k = find.hits(h, rows)
-                seen.append(np.unique(row * len(find.distinct) + k) % len(find.distinct) if len(k) else k)
-            k, n = np.unique(np.concatenate(seen) if seen else np.empty(0, np.int64), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(signed(find.distinct[k.astype(np.int64)])), pa.array(n.astype(np.int64))],
-                                             names=["seed", "n"])
-
-    got = docs.select(text_of().alias("text")).mapInArrow(count, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n"))
-    return {r["seed"]: r["n"] for r in got.collect()}
 
 
-def leaks_of(docs: DataFrame, benchmark: DataFrame) -> Column:
+def leaks_of(benchmark: DataFrame) -> Column:
     """Column of a document's test items with their scores."""
     out = F.expr(f"cast(array() as {LEAKS})")
     for block in blocks(benchmark):
         if block is None:
             continue
-        out = F.concat(out, finder_udf(block.kept(frequencies(docs, block)))(text_of()))
+        out = F.concat(out, finder_udf(block)(text_of()))
     return out
 
 
@@ -228,12 +220,12 @@ def finder_udf(block: Block):
 
 def with_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` with ``leaks``: array of (item_id, score)."""
-    return drop_clashing(docs, ["leaks"]).withColumn("leaks", leaks_of(docs, benchmark))
+    return drop_clashing(docs, ["leaks"]).withColumn("leaks", leaks_of(benchmark))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no test item."""
-    return docs.where(F.size(leaks_of(docs, benchmark)) == 0)
+    return docs.where(F.size(leaks_of(benchmark)) == 0)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -217,6 +217,32 @@ def test_copies_of_items_are_found_edited_or_not(spark, docs, empty):
     assert decontaminate.decontaminate(empty, bench).count() == 0
 
 
+def test_edits_that_break_half_the_seeds_and_common_seeds_lose_no_copy(spark):
+    items = {n: [f"i{n}x{j}" for j in range(n)] for n in (40, 50, 60)}
+    near = words(40, 8)
+    lone = {n: [f"edit{j}" if j % 7 == 6 else w for j, w in enumerate(items[n])] for n in (40, 50)}
+    # a group that holds the same two thirds of an item, so that its live seeds are the common ones
+    part = [f"other{j}" if j % 12 >= 8 else w for j, w in enumerate(items[60])]
+    made = [(n, " ".join(near + w + near)) for n, w in lone.items()] + [(100 + i, f"own{i} " + " ".join(part)) for i in range(60)]
+    df = spark.createDataFrame(made, "doc_id long, text string")
+    bench = spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()], "item_id long, text string")
+    got = {r.doc_id: [x.item_id for x in r.leaks] for r in decontaminate.with_leaks(df, bench).collect()}
+    assert got == {40: [40], 50: [50], **{100 + i: [60] for i in range(60)}}
+    assert decontaminate.decontaminate(df, bench).count() == 0
+
+
+def test_leaks_do_not_depend_on_the_hits_held(monkeypatch):
+    rng = np.random.default_rng(4)
+    items = [" ".join(f"w{x}" for x in rng.integers(0, 9, 12)) for _ in range(20)]
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 9, 90)) for _ in range(30)] + items
+    find = decontaminate.Finder(decontaminate.make_block(list(range(20)), items))
+    slices = [(h, rows) for *_, h, rows in decontaminate.hashed_words(decontaminate.pa.array(texts))]
+    whole = [find.leaks(h, rows) for h, rows in slices]
+    monkeypatch.setattr(decontaminate, "HITS", 1)
+    assert [find.leaks(h, rows) for h, rows in slices] == whole
+    assert all(any(x["item_id"] == i and x["score"] == 1 for x in whole[0][30 + i]) for i in range(20))
+
+
 def test_alignment_equals_the_plain_recurrence():
     rng = np.random.default_rng(2)
     for _ in range(60):
