@@ -231,6 +231,17 @@ def test_edits_that_break_half_the_seeds_and_common_seeds_lose_no_copy(spark):
     assert decontaminate.decontaminate(df, bench).count() == 0
 
 
+def test_copies_in_other_case_are_found_in_any_alphabet(spark):
+    items = ["Über die größere Straße läuft jeden Abend ein älterer Ärztekongreß öfters früher heim",
+             "Какая река пересекает старый город прежде чем встретить северное море у двух маяков",
+             "Ποιος ποταμός διασχίζει την παλιά πόλη πριν συναντήσει τη βόρεια θάλασσα δίπλα στους φάρους"]
+    texts = [f(t) for t in items for f in (str, str.upper, str.lower, str.swapcase)]
+    df = spark.createDataFrame([(i, f"w1 w2 w3 {t} w4 w5") for i, t in enumerate(texts)], "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {r.doc_id: [(x.item_id, x.score) for x in r.leaks] for r in decontaminate.with_leaks(df, bench).collect()}
+    assert got == {i: [(i // 4, 1.0)] for i in range(12)}
+
+
 def test_leaks_do_not_depend_on_the_hits_held(monkeypatch):
     rng = np.random.default_rng(4)
     items = [" ".join(f"w{x}" for x in rng.integers(0, 9, 12)) for _ in range(20)]
