@@ -59,6 +59,7 @@ class Blocks:
     def __init__(self, page: str):
         self.out: list[tuple[str, tuple[int, ...], float]] = []
         self.path: list[tuple[str, tuple[int, ...]]] = []
+        self.places: dict[str, list[int]] = {}   # where on the path each name is open
         self.text: list[str] = []
         self.linked = 0
         in_link = 0
@@ -93,19 +94,24 @@ class Blocks:
 
     def open(self, name: str, attributes: str) -> None:
         if self.path and self.path[-1][0] == "p":
-            self.path.pop()                        # a block ends an open paragraph
+            self.pop()                             # a block ends an open paragraph
         for old in LEFT_OPEN.get(name, ()):
             if self.path and self.path[-1][0] == old:
-                self.path.pop()
-        bins = tag_bins(name, attributes if len(attributes) < 400 else attributes[:400]) if attributes else tag_bins(name, "")
+                self.pop()
+        # long attributes are read whole too, but not remembered
+        bins = tag_bins(name, attributes) if len(attributes) < 400 else tag_bins.__wrapped__(name, attributes)
         above = self.path[-1][1] if self.path else ()
+        self.places.setdefault(name, []).append(len(self.path))
         self.path.append((name, above + tuple(b for b in bins if b not in above)))
 
+    def pop(self) -> None:
+        self.places[self.path.pop()[0]].pop()
+
     def close(self, name: str) -> None:
-        for i in range(len(self.path) - 1, max(-1, len(self.path) - 65), -1):
-            if self.path[i][0] == name:
-                del self.path[i:]
-                return
+        at = self.places.get(name)
+        if at:
+            for _ in range(len(self.path) - at[-1]):
+                self.pop()
 
 
 @lru_cache(maxsize=50_000)

@@ -174,6 +174,19 @@ def test_main_text_of_table_and_odd_pages(spark):
     assert extract.main_text(df.limit(0)).count() == 0
 
 
+def test_names_behind_long_attributes_and_any_depth_are_read():
+    long = f'style="{"margin:0;" * 90}" data-x=\'{"y" * 500}\''
+    for page in ('<div {}class="user-comments" id=top role="note">text</div>', "<nav {}><p {}class=advert>text"):
+        assert extract.Blocks(page.replace("{}", long + " ")).out == extract.Blocks(page.replace("{}", "")).out
+    half = f'<div id="{"w " * 199}comments">text</div>'
+    assert set(extract.tag_bins("x", "id=comments")[1:]) <= set(extract.Blocks(half).out[0][1])
+    for depth in (10, 64, 500):
+        text, path, _ = extract.Blocks("<nav>menu" + "<section>" * depth + "in</nav>after").out[-1]
+        assert (text, path) == ("after", ())
+    nested = extract.Blocks("<main><nav><nav>a</nav>b</nav>c</nav>d</main>e").out
+    assert [len(p) for _, p, _ in nested] == [2, 2, 1, 1, 0]
+
+
 # --------------------------------------------------------------- quality rules
 def plain_statistics(t):
     t = t or ""
