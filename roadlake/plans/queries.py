@@ -253,20 +253,20 @@ def stream_county_performance(spark, d):
 
 
 def stream_dedupe_hourly(spark, d):
-    """Every reading delivered twice; the clean stream drops the repeats
-    within its watermark before the table is written, so the hourly summary
-    equals the single-delivery one."""
+    """Every reading delivered twice, each delivery in its own trigger; repeats
+    are dropped against the touched days of the clean table, so the hourly
+    summary equals the single-delivery one."""
     from roadlake import streaming
     from roadlake.sources import read_table
     lines_path = run_folder(spark, "landing-rwis-dup")
     recs = rwis_landing(spark, d)
-    write_landing(recs, lines_path + "/first", arrival_ms=RUN_MS)
-    write_landing(recs, lines_path + "/again", arrival_ms=RUN_MS)
-    rows = streaming.clean_stream(spark, "rwis", lines_path, run_ts=RUN_TS)
-    unique = streaming.dedupe(rows, schemas.RWIS_CLEAN.fieldNames(), "1 hour")
     base = run_folder(spark, "stream-dedupe")
-    q = streaming.start_clean(unique, base + "/table", base + "/_chk")
-    q.awaitTermination()
+    for delivery in ("/first", "/again"):
+        write_landing(recs, lines_path + delivery, arrival_ms=RUN_MS)
+        rows = streaming.clean_stream(spark, "rwis", lines_path, run_ts=RUN_TS)
+        q = streaming.start_dedupe(spark, rows, schemas.RWIS_CLEAN.fieldNames(), base + "/table",
+                                   schemas.RWIS_CLEAN, base + "/_chk")
+        q.awaitTermination()
     return curate.rwis_hourly_summary(read_table(spark, base + "/table", schemas.RWIS_CLEAN))
 
 

@@ -2,7 +2,7 @@
 
 from roadlake.streaming.incremental import (clean_stream, dedupe, hourly_windows,
                                             latest_state, start_clean, start_curate,
-                                            start_quarantine)
+                                            start_dedupe, start_quarantine)
 
 __all__ = ["clean_stream", "dedupe", "hourly_windows", "latest_state",
-           "start_clean", "start_curate", "start_quarantine"]
+           "start_clean", "start_curate", "start_dedupe", "start_quarantine"]

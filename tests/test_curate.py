@@ -161,6 +161,23 @@ def test_stream_windows_and_dedupe(spark, tmp_dir):
     assert [(r["event_hour"], r["obs_count"]) for r in got] == [(datetime(2025, 1, 1, 0), 6)]
 
 
+def test_late_first_readings_are_kept_and_repeats_dropped_over_triggers(spark, tmp_dir):
+    from roadlake import schemas, streaming
+    from roadlake.sinks import write_landing
+    from roadlake.sources import read_table
+    at = 1735732800000                                      # 12:00; the late reading is six hours older
+    readings = [(1, at + m * 600000, 40.0) for m in range(6)]
+    late = (1, at - 6 * 3600000, 39.0)
+    for delivered in (readings, readings[:3] + [late, late], [late]):
+        write_landing(spark.createDataFrame(delivered, "station_id int, ts long, air_temp_f double"),
+                      tmp_dir + "/landing", arrival_ms=at)
+        rows = streaming.clean_stream(spark, "rwis", tmp_dir + "/landing")
+        streaming.start_dedupe(spark, rows, ["station_id", "event_time"], tmp_dir + "/table", schemas.RWIS_CLEAN,
+                               tmp_dir + "/chk").awaitTermination()
+    got = [(r["event_time"].hour, r["air_temp_f"]) for r in read_table(spark, tmp_dir + "/table", schemas.RWIS_CLEAN).collect()]
+    assert sorted(got) == [(6, 39.0)] + [(12, 40.0)] * 6
+
+
 def test_landing_to_clean_counts_and_quarantine(spark, tmp_dir):
     from roadlake.plans import jobs
     z = jobs.Zones(tmp_dir)
