@@ -50,10 +50,10 @@ def test_day_grain_joins_are_broadcast_by_aqe(spark):
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data missing")
-def test_no_python_evaluation_in_any_registered_query(spark):
-    import __spark_entry__ as E
+def test_no_python_evaluation_in_any_feed_query(spark):
+    from roadlake.plans import queries as feed_queries
     python_nodes = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas",
                     "MapInPandas", "PythonUDF")
-    for name, fn in E.queries().items():
+    for name, fn in feed_queries.queries().items():
         plan = _plan(fn(spark, SF))
         assert not any(n in plan for n in python_nodes), name
