@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from roadlake.llm import decontaminate, extract, negatives, neardup, periodic, pii, quality_rules, ranking, repeats, sentencepiece_codec, shards, toxicity
+from roadlake.llm import decontaminate, extract, jaccard_join, negatives, neardup, periodic, pii, quality_rules, ranking, repeats, sentencepiece_codec, shards, toxicity
 
 
 def queries() -> dict:
@@ -17,6 +17,7 @@ def queries() -> dict:
         "op8_ranking": ranking.query,
         "op9_toxicity": toxicity.query,
         "op10_pii": pii.query,
+        "op11_ngram_join": jaccard_join.query,
         "op12_hard_negatives": negatives.query,
         "op13_periodic_runs": periodic.query,
     }
@@ -24,7 +25,7 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_minhash_neardup": NEARDUP_SQL, "op6_sharding": shards.oracle(),
-            "op7_repeats": repeats.SQL, "op12_hard_negatives": negatives.SQL,
+            "op7_repeats": repeats.SQL, "op11_ngram_join": jaccard_join.SQL, "op12_hard_negatives": negatives.SQL,
             "op13_periodic_runs": periodic.oracle()}
 
 
