@@ -11,10 +11,12 @@ every set thereby into segments, and the fragments are counted one by one.
    shared, so n-grams of very many documents cost a row a task. (Here hashes
    are cut to 32 bits below the fragment's number; a collision can only keep
    a node too long.)
-2. *Candidate groups.* Two linked sets share one of the first
-   n - ceil(limit * n / 100) + 1 n-grams of either in the global order. Nodes
-   that share such n-grams, directly or by others, form a group, found by one
-   link of every node to the n-gram's smallest node.
+2. *Candidate groups.* With the rarest n-grams first (ties by hash), two
+   linked sets share one of the first n - ceil(limit * n / 100) + 1 n-grams of
+   either. Nodes that share such n-grams, directly or by others, form a group,
+   found by one link of every node to the n-gram's smallest node. A node's
+   private n-grams come first and link nothing, so a passage that many
+   documents share makes no group of them.
 3. *Partial overlaps.* A group's nodes meet in pairs of blocks. There the
    order of the n-grams that at least two of the block's nodes hold is cut
    into fragments again: each gives the partial overlaps of all pairs of the
@@ -143,15 +145,14 @@ def _private(batches):
     yield from _by_key(batches, ["fragment"], counted)
 
 
-def _grams(batches, limit: int):
-    """The set of each node's text, and its first n-grams, one of which every
-    linked set has among its own first."""
+def _grams(batches):
     for batch in batches:
         sets = list(_sets(batch.column("text")))
-        first = [signed(s[:len(s) - -(-limit * len(s) // 100) + 1]).tolist() for s in sets]
+        offsets = np.cumsum([0, *map(len, sets)], dtype=np.int32)
+        flat = signed(np.concatenate([np.empty(0, U), *sets]))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("node"), batch.column("weight"), pa.array([s.tobytes() for s in sets], pa.binary()),
-             pa.array(first, pa.list_(pa.int64()))], names=["node", "weight", "grams", "first"])
+            [batch.column("node"), batch.column("weight"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
+            names=["node", "weight", "grams"])
 
 
 def overlaps(sets: list, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -201,7 +202,10 @@ def _links(batches, limit: int):
         left, right = np.flatnonzero(block == bi), np.flatnonzero(block == bj)
         if not len(left) or not len(right):
             return
-        sets = [np.frombuffer(x, U) for x in t.column("grams").to_pylist()]
+        grams = t.column("grams").combine_chunks()
+        offsets = grams.offsets.to_numpy()
+        flat = grams.values.to_numpy()
+        sets = [flat[x:y] for x, y in zip(offsets[:-1], offsets[1:])]
         size = np.array([len(s) for s in sets])
         both = overlaps(sets, left, right)
         link = 100 * both >= limit * (size[left][:, None] + size[right][None, :] - both)
@@ -254,8 +258,14 @@ def ngram_join(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
     # 2. their sets, and groups that share one of their first n-grams
     same = F.expr("t.th = w.th and t.doc_id <=> w.doc_id")
     texts = docs.alias("t").join(left.alias("w"), same).select("w.node", "w.weight", "t.text").dropDuplicates(["node"])
-    sets = materialize(texts.mapInArrow(lambda b: _grams(b, limit), "node long, weight long, grams binary, first array<long>"), "grams")
-    first = sets.select("node", F.explode("first").alias("gram"))
+    sets = materialize(texts.mapInArrow(_grams, "node long, weight long, grams array<long>"), "grams")
+    held = sets.select("node", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
+    shared = held.groupBy("gram").agg(F.count("*").alias("c")).where("c > 1")
+    ranked = (held.join(shared, "gram").groupBy("node").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("c", "gram"))).alias("by_rank")))
+    least = F.expr(f"(n * {int(limit)} + 99) div 100")                  # private n-grams have come before
+    ranked = ranked.withColumn("most", F.size("by_rank") - least + 1).where("most > 0")
+    first = materialize(ranked.select("node", F.explode(F.expr("slice(by_rank, 1, int(most))")).alias("g"))
+                        .select("node", F.col("g.gram").alias("gram")), "first")
     centers = first.groupBy("gram").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z").select("gram", "a")
     edges = first.join(centers, "gram").where("node <> a").select("a", F.col("node").alias("b")).distinct()
     group = components(edges)
@@ -275,8 +285,8 @@ def ngram_join(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
     known = materialize(nodes.join(label, "node", "left").join(count, "node", "left")
                         .select("node", "doc_id", F.coalesce("label", "node").alias("label"),
                                 (F.col("weight") - 1 + F.coalesce("links", whole(0))).alias("n_links")), "known")
-    least = known.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    known = materialize(known.join(least, "label").select("node", "component_id", "n_links"), "components")
+    smallest = known.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    known = materialize(known.join(smallest, "label").select("node", "component_id", "n_links"), "components")
     out = rows.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("node")).alias("node")).join(known, "node", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
                       F.coalesce("n_links", whole(0)).alias("n_links"))
