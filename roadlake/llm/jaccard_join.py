@@ -7,10 +7,12 @@ every set thereby into segments, and the fragments are counted one by one.
 1. *Private n-grams.* Each fragment counts, for every node, the n-grams that
    no other node holds; the counts are summed per node. A node whose other
    n-grams are less than ``limit`` per cent of its set links with nothing: it
-   leaves. Tasks send an n-gram that several of their nodes hold once, as
-   shared, so n-grams of very many documents cost a row a task. (Here hashes
-   are cut to 32 bits below the fragment's number; a collision can only keep
-   a node too long.)
+   leaves. Nodes go in deals, each a list of nodes and, a fragment, their
+   n-grams with 16-bit owners; counts return by deal, packed likewise. A deal
+   sends an n-gram that several of its nodes hold once, as shared, so n-grams
+   of very many documents cost a place a deal. (Here hashes are cut to 32 bits
+   below the fragment's number, and copies in two deals pass for two nodes;
+   both can only keep a node too long.)
 2. *Candidate groups.* With the rarest n-grams first (ties by hash), two
    linked sets share one of the first n - ceil(limit * n / 100) + 1 n-grams of
    either. Nodes that share such n-grams, directly or by others, form a group,
@@ -50,12 +52,14 @@ from roadlake.llm.neardup import _by_key, components
 
 NGRAM, LIMIT = 4, 85
 #: About so many n-grams make a fragment, and so many are dealt at a time.
-FRAGMENT, DEAL = 1 << 23, 1 << 21
+FRAGMENT, DEAL = 1 << 22, 1 << 19
 #: Nodes of a block, n-grams of a fragment of its order, and the number of
 #: nodes from which an n-gram's overlaps are counted by a matrix product.
 BLOCK, COLUMNS, FREQUENT = 1024, 2048, 24
-#: Owner of an n-gram that several nodes of a task hold.
-SEVERAL = 0
+#: Most rows (of four longs) that are broadcast.
+BROADCAST = 1 << 20
+#: Most nodes of a deal (its owners are 16-bit numbers).
+NODES = 65535
 
 
 def ngram_set(h: np.ndarray) -> np.ndarray:
@@ -64,9 +68,8 @@ def ngram_set(h: np.ndarray) -> np.ndarray:
 
 
 def node_of(grams: np.ndarray) -> int:
-    """Hash of a set, never ``SEVERAL``."""
-    h = mix(mix(grams).sum(dtype=U, keepdims=True) * U(3) + U(len(grams)))[0]
-    return int(h.view(np.int64)) or 1
+    """Hash of a set."""
+    return int(mix(mix(grams).sum(dtype=U, keepdims=True) * U(3) + U(len(grams))).view(np.int64)[0])
 
 
 def _sets(column):
@@ -84,33 +87,37 @@ def _sizes(batches):
 
 
 def _segments(sets: dict, bits: int):
-    """One row for each fragment: nodes, the lengths of their segments, and the
-    segments (32 bits of each hash below the fragment's number)."""
+    """One row for each fragment: its n-grams (32 bits of each hash below the
+    fragment's number) and their owners, as places in the deal's list of nodes
+    (the place after the last: several nodes). Owners are a list, or the n-grams
+    are sorted by owner and counted, whichever is shorter. One of the rows
+    brings the list of nodes."""
     nodes = np.fromiter(sets, np.int64, len(sets))
-    size = np.array([len(s) for s in sets.values()])
-    owner = np.repeat(np.arange(1, len(nodes) + 1), size)
-    nodes = np.concatenate([np.array([SEVERAL]), nodes])
     grams = np.concatenate(list(sets.values()))
+    owner = np.repeat(np.arange(len(nodes), dtype=np.uint16), [len(s) for s in sets.values()])
     order = np.argsort(grams, kind="stable")
     grams, owner = grams[order], owner[order]
     new = np.ones(len(grams), bool)
     new[1:] = grams[1:] != grams[:-1]
     first = np.flatnonzero(new)
     several = np.diff(np.append(first, len(grams))) > 1
-    grams, owner = grams[first], np.where(several, 0, owner[first])
+    grams, owner = grams[first], np.where(several, np.uint16(len(nodes)), owner[first])
     fragment = (grams >> U(64 - bits)).astype(np.int64) if bits else np.zeros(len(grams), np.int64)
     short = (grams << U(bits) >> U(32)).astype(np.uint32)
-    cuts = np.searchsorted(fragment, np.arange((1 << bits) + 1))
+    deal = int(mix(nodes.view(U)).sum(dtype=U).view(np.int64))
+    starts = np.flatnonzero(np.diff(fragment, prepend=-1))
+    bearer = deal % len(starts)
     out = []
-    for f in range(1 << bits):
-        x, y = cuts[f], cuts[f + 1]
-        if x < y:
-            by_owner = np.argsort(owner[x:y], kind="stable")
-            count = np.bincount(owner[x:y], minlength=len(nodes))
-            own = np.flatnonzero(count)
-            out.append((f, nodes[own].tobytes(), count[own].astype(np.int32).tobytes(), short[x:y][by_owner].tobytes()))
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.binary(), pa.binary(), pa.binary()))],
-                                      names=["fragment", "nodes", "lengths", "grams"])
+    for i, (x, y) in enumerate(zip(starts, np.append(starts[1:], len(grams)))):
+        own, lengths = owner[x:y], None
+        part = short[x:y]
+        if 2 * (len(nodes) + 1) < y - x:
+            part, own, lengths = part[np.argsort(own, kind="stable")], None, np.bincount(own, minlength=len(nodes) + 1).astype(np.uint32)
+        out.append((int(fragment[x]), deal, nodes.tobytes() if i == bearer else None, len(nodes),
+                    None if own is None else own.tobytes(), None if lengths is None else lengths.tobytes(), part.tobytes()))
+    types = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)],
+                                      names=["fragment", "deal", "nodes", "n", "owners", "lengths", "grams"])
 
 
 def _deal(batches, bits: int):
@@ -120,7 +127,7 @@ def _deal(batches, bits: int):
             if len(s) and (node := node_of(s)) not in held:
                 held[node] = s
                 n += len(s)
-                if n >= DEAL:
+                if n >= DEAL or len(held) == NODES:
                     yield _segments(held, bits)
                     held, n = {}, 0
     if held:
@@ -128,23 +135,50 @@ def _deal(batches, bits: int):
 
 
 def _private(batches):
-    """Rows arrive sorted by fragment: each node's n-grams that no other has."""
+    """Rows arrive sorted by fragment: to each, the owners of its n-grams that
+    no other deal has and no second node of its own (once for each n-gram)."""
     def counted(t):
-        nodes, lengths, grams = (np.frombuffer(b"".join(t.column(c).to_pylist()), d)
-                                 for c, d in (("nodes", np.int64), ("lengths", np.int32), ("grams", np.uint32)))
-        owner = np.repeat(nodes, lengths)
+        size = t.column("n").to_pylist()
+        owners = [np.frombuffer(x, np.uint16) if x is not None else np.repeat(np.arange(n + 1), np.frombuffer(y, np.uint32)).astype(np.uint16)
+                  for x, y, n in zip(t.column("owners").to_pylist(), t.column("lengths").to_pylist(), size)]
+        grams = np.concatenate([np.frombuffer(x, np.uint32) for x in t.column("grams").to_pylist()])
         order = np.argsort(grams, kind="stable")
-        grams, owner = grams[order], owner[order]
-        new = np.ones(len(grams), bool)
-        new[1:] = grams[1:] != grams[:-1]
-        first = np.flatnonzero(new)
-        alone = (np.minimum.reduceat(owner, first) == np.maximum.reduceat(owner, first)) & (owner[first] != SEVERAL)
-        node, n = np.unique(owner[first[alone]], return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(n.astype(np.int64))], names=["node", "private"])
+        grams = grams[order]
+        alone = np.ones(len(grams), bool)
+        alone[1:] &= grams[1:] != grams[:-1]
+        alone[:-1] &= grams[1:] != grams[:-1]
+        private = np.zeros(len(grams), bool)
+        private[order[alone]] = True
+        end = np.cumsum([len(x) for x in owners])
+        own = [x[private[e - len(x):e] & (x != n)] for x, e, n in zip(owners, end, size)]
+        yield pa.RecordBatch.from_arrays([t.column("deal").combine_chunks(), t.column("nodes").combine_chunks(), *_counted(own, size)],
+                                         names=["deal", "nodes", "counts", "owners"])
 
     yield from _by_key(batches, ["fragment"], counted)
 
 
+def _counted(own: list, n: list):
+    """Owners as a list, or as counts of all of them, whichever is shorter."""
+    full = [len(x) > k for x, k in zip(own, n)]
+    counts = [np.bincount(x, minlength=k).astype(np.uint16).tobytes() if f else None for x, k, f in zip(own, n, full)]
+    return pa.array(counts, pa.binary()), pa.array([None if f else x.tobytes() for x, f in zip(own, full)], pa.binary())
+
+
+def _summed(batches):
+    """Rows arrive sorted by deal: each of its nodes with its private n-grams."""
+    def total(t):
+        nodes = np.frombuffer(next(x for x in t.column("nodes").to_pylist() if x is not None), np.int64)
+        n = np.zeros(len(nodes), np.int64)
+        for counts, owners in zip(t.column("counts").to_pylist(), t.column("owners").to_pylist()):
+            if counts is not None:
+                n += np.frombuffer(counts, np.uint16)
+            else:
+                n += np.bincount(np.frombuffer(owners, np.uint16), minlength=len(nodes))
+        yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(n)], names=["node", "private"])
+
+    yield from _by_key(batches, ["deal"], total)
+
+
 def _grams(batches):
     for batch in batches:
         sets = list(_sets(batch.column("text")))
@@ -249,15 +283,19 @@ def ngram_join(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
     bits = min(32, max(0, int(grams // FRAGMENT).bit_length()))
 
     # 1. nodes with enough n-grams that others have
-    dealt = docs.select("text").mapInArrow(lambda b: _deal(b, bits), "fragment long, nodes binary, lengths binary, grams binary")
+    dealt = docs.select("text").mapInArrow(lambda b: _deal(b, bits), "fragment long, deal long, nodes binary, n long, owners binary, lengths binary, grams binary")
     private = (dealt.repartition(1 << bits, "fragment").sortWithinPartitions("fragment")
-               .mapInArrow(_private, "node long, private long").groupBy("node").agg(F.sum("private").alias("private")))
+               .mapInArrow(_private, "deal long, nodes binary, counts binary, owners binary")
+               .repartition("deal").sortWithinPartitions("deal").mapInArrow(_summed, "node long, private long")
+               .groupBy("node").agg(F.sum("private").alias("private")))
     left = materialize(nodes.join(private, "node", "left")
                        .where(100 * (F.col("n") - F.coalesce("private", whole(0))) >= limit * F.col("n")).drop("private"), "left")
 
     # 2. their sets, and groups that share one of their first n-grams
     same = F.expr("t.th = w.th and t.doc_id <=> w.doc_id")
-    texts = docs.alias("t").join(left.alias("w"), same).select("w.node", "w.weight", "t.text").dropDuplicates(["node"])
+    wanted = left.select("node", "weight", "doc_id", "th")
+    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST else wanted      # else the texts are shuffled once
+    texts = docs.alias("t").join(wanted.alias("w"), same).select("w.node", "w.weight", "t.text").dropDuplicates(["node"])
     sets = materialize(texts.mapInArrow(_grams, "node long, weight long, grams array<long>"), "grams")
     held = sets.select("node", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
     shared = held.groupBy("gram").agg(F.count("*").alias("c")).where("c > 1")
