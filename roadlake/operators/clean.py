@@ -65,17 +65,18 @@ def ensure_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def _valid(lines: DataFrame, schema, keep_malformed: bool,
-           observation=None, flag: bool = False) -> DataFrame:
+           observation=None, flag: bool = False, carry=()) -> DataFrame:
     p = parse_landing(lines, schema)
     if observation is not None:
         # counted in the same pass as whatever action consumes the result
         p = p.observe(observation, F.count(F.lit(1)).alias("lines"),
                       F.count_if(F.col("_malformed")).alias("malformed_lines"))
-    if flag:
+    if flag or "_malformed" in carry:
         keep_malformed = True          # flagged rows stay, marked by _malformed
     if not keep_malformed:
         p = p.where(~F.col("_malformed"))
-    p = ensure_columns(p.drop("_line", *([] if flag else ["_malformed"])), schema)
+    helpers = {"_line", "_malformed"} - set(carry) - ({"_malformed"} if flag else set())
+    p = ensure_columns(p.drop(*helpers), schema)
     return p
 
 
@@ -85,13 +86,13 @@ def quarantine(lines: DataFrame, schema: T.StructType) -> DataFrame:
         F.col("_line").alias("value"))
 
 
-def _out(df: DataFrame, cols, flag: bool) -> DataFrame:
-    return df.select(*cols, *(["_malformed"] if flag else []))
+def _out(df: DataFrame, cols, flag: bool, carry=()) -> DataFrame:
+    return df.select(*cols, *(["_malformed"] if flag else []), *carry)
 
 
 def clean_rwis(lines: DataFrame, run_ts=None, keep_malformed: bool = False,
                observation=None,
-               flag_malformed: bool = False) -> DataFrame:
+               flag_malformed: bool = False, carry=()) -> DataFrame:
     """RWIS landing lines -> ``rwis_validated`` rows.
 
     ``event_time`` = epoch ms truncated to the second, or the run time when
@@ -99,8 +100,9 @@ def clean_rwis(lines: DataFrame, run_ts=None, keep_malformed: bool = False,
     allow-lists.  ``observation`` (a ``pyspark.sql.Observation``) receives
     the line and malformed-line counts of the pass that consumes the
     result.  ``flag_malformed`` keeps malformed lines as rows marked by a
-    boolean ``_malformed`` column (for one-pass run metrics)."""
-    d = _valid(lines, RWIS_LANDING, keep_malformed, observation, flag_malformed)
+    boolean ``_malformed`` column (for one-pass run metrics); ``carry`` names
+    helper columns (``_malformed``, ``_line``) that stay at the end."""
+    d = _valid(lines, RWIS_LANDING, keep_malformed, observation, flag_malformed, carry)
     et = F.coalesce(seconds_time(F.col("ts")), now_ts(run_ts))
     return d.select(
         "station_id", et.alias("event_time"), day_key(et).alias("dt"),
@@ -108,37 +110,37 @@ def clean_rwis(lines: DataFrame, run_ts=None, keep_malformed: bool = False,
         clamp_enum(F.col("precip_type"), PRECIP_ALLOWED, PRECIP_DEFAULT).alias("precip_type"),
         "wind_mph",
         clamp_enum(F.col("surface_status"), SURFACE_ALLOWED, SURFACE_DEFAULT).alias("surface_status"),
-        *(["_malformed", "ts"] if flag_malformed else []),
+        *(["_malformed", "ts"] if flag_malformed else []), *carry,
     ).transform(lambda x: _out(x, RWIS_CLEAN.fieldNames() + (["ts"] if flag_malformed else []),
-                               flag_malformed))
+                               flag_malformed, carry))
 
 
 def clean_incidents(lines: DataFrame, keep_malformed: bool = False,
-                    observation=None) -> DataFrame:
+                    observation=None, carry=()) -> DataFrame:
     """Incident landing lines -> ``incident_validated`` rows.
 
     ``event_time`` prefers the start time, then the creation time, then the
     ingest stamp (second precision); unparseable texts are skipped."""
-    d = _valid(lines, INCIDENT_LANDING, keep_malformed, observation)
+    d = _valid(lines, INCIDENT_LANDING, keep_malformed, observation, carry=carry)
     et = F.coalesce(parse_time(F.col("start_time")), parse_time(F.col("create_time")),
                     seconds_time(F.col("ingest_ts")))
     return d.select(
         "event_id", et.alias("event_time"), day_key(et).alias("dt"), "closed",
         "county", "description", F.upper("direction").alias("direction"),
         "incident_type", "lat", "lon", "lanes_status", "traffic_alert",
-        "traffic_alert_msg").select(*INCIDENT_CLEAN.fieldNames())
+        "traffic_alert_msg", *carry).select(*INCIDENT_CLEAN.fieldNames(), *carry)
 
 
 def clean_wzdx(lines: DataFrame, run_ts=None, keep_malformed: bool = False,
-               observation=None) -> DataFrame:
+               observation=None, carry=()) -> DataFrame:
     """Work-zone landing lines -> ``wzdx_validated`` rows (``dt`` is the
     ingest day)."""
-    d = _valid(lines, WZDX_LANDING, keep_malformed, observation)
+    d = _valid(lines, WZDX_LANDING, keep_malformed, observation, carry=carry)
     it = F.coalesce(seconds_time(F.col("ingest_ts")), now_ts(run_ts))
     return d.select(
         "road_event_id", it.alias("ingest_time"), day_key(it).alias("dt"),
         parse_time(F.col("start_date")).alias("start_time"),
         parse_time(F.col("end_date")).alias("end_time"),
         "road_names", F.upper("direction").alias("direction"),
-        "begin_lat", "begin_lon", "end_lat", "end_lon",
-    ).select(*WZDX_CLEAN.fieldNames())
+        "begin_lat", "begin_lon", "end_lat", "end_lon", *carry,
+    ).select(*WZDX_CLEAN.fieldNames(), *carry)

@@ -215,7 +215,7 @@ def clean_to_curated(spark: SparkSession, feed: str, zones: Zones,
 
 def read_curated(spark: SparkSession, zones: Zones, name: str) -> DataFrame:
     """A curated table read back with its day/snapshot key kept as text."""
-    df = read_table(spark, zones.curated(name))
+    df = read_table(spark, zones.curated(name)).drop("bucket")
     part = schemas.PARTITIONS[name][0]
     return df.withColumn(part, df[part].cast("string"))
 
@@ -230,76 +230,25 @@ def run_feed(spark: SparkSession, feed: str, zones: Zones, run_ts=None,
                             database=database)
 
 
-def merge_latest(spark: SparkSession, path: str, new_rows: DataFrame, build,
-                 clean_cols, partition: str) -> None:
-    """Latest-state table := latest(previous table's rows + new clean rows).
-
-    Latest-per-key has a total order, so merging the previous latest rows
-    with only the new rows equals a rebuild over the whole history.  The
-    merged rows are committed in a folder beside the table before the table
-    is replaced: a run that stops in between leaves that copy, and the next
-    run starts from it.  Only a table that was never written counts as a
-    first run; an unreadable one is an error."""
-    beside = path.rstrip("/") + ".next"
-    old = None
-    if path_exists(spark, f"{path}/_SUCCESS"):
-        old = path
-    elif path_exists(spark, f"{beside}/_SUCCESS"):
-        old = beside
-    elif path_exists(spark, path):
-        raise RuntimeError(f"{path} holds no committed table")
-    rows = new_rows.select(*clean_cols)
-    if old is not None:
-        prev = read_table(spark, old)
-        prev = prev.withColumn("dt", F.col(partition).cast("string")).select(*clean_cols)
-        rows = prev.unionByName(rows)
-    if old == beside:
-        # restore first: the copy must not be overwritten while it is read
-        write_table(read_table(spark, beside), path, [partition], "overwrite")
-        return merge_latest(spark, path, new_rows, build, clean_cols, partition)
-    write_table(build(rows), beside, [partition], "overwrite")
-    write_table(read_table(spark, beside), path, [partition], "overwrite")
-
-
-def run_feed_incremental(spark: SparkSession, feed: str, zones: Zones, run_ts=None) -> None:
+def run_feed_incremental(spark: SparkSession, feed: str, zones: Zones, run_ts=None,
+                         drop_redelivered: bool = True, buckets: int | None = None) -> None:
     """Incremental run: only landing files not seen before are processed.
 
-    landing -> clean is an ``availableNow`` stream (exactly once through its
-    checkpoint, appended to the clean table); a second one appends the
-    malformed lines of the same files to the quarantine.  A second ``availableNow``
-    stream over the new clean files rebuilds the day-keyed summaries for the
-    days they touched and merges them into the latest-state table
-    (:func:`merge_latest`): the summaries' work follows the new data, the
-    latest-state table is rewritten whole (one row per key).  Incident daily counts follow the current table, whose
-    rows may move between days, so they are rebuilt from it (one row per
-    incident).  A zone root is run either incrementally or with
-    :func:`run_feed`, not both: the stream's commit log decides which clean
-    files a reader sees."""
-    from roadlake import streaming
-    from roadlake.streaming.incremental import DAY_SUMMARIES, SCHEMAS
-    table = CLEAN_TABLES[feed]
-    cols = SCHEMAS[feed].fieldNames()
-    chk = f"{zones.root}/_checkpoints/{feed}"
-    q = streaming.start_clean(
-        streaming.clean_stream(spark, feed, zones.landing(feed), run_ts=run_ts),
-        zones.clean(table), chk + "/clean", schemas.PARTITIONS[table])
-    q.awaitTermination()
-    streaming.start_quarantine(spark, feed, zones.landing(feed), zones.quarantine(feed),
-                               chk + "/quarantine").awaitTermination()
-    latest = {"rwis": ("rwis_latest_per_station", curate.rwis_latest_per_station),
-              "wzdx": ("wzdx_current_events", curate.wzdx_current_events),
-              "incidents": ("inc_current_events", curate.inc_current_events)}[feed]
-
-    def on_batch(batch):
-        name, build = latest
-        merge_latest(spark, zones.curated(name), batch, build, cols,
-                     schemas.PARTITIONS[name][0])
-        if feed == "incidents":
-            cur = read_table(spark, zones.curated(name)).select(*schemas.INCIDENT_CURRENT_COLS)
-            write_table(curate.inc_daily_summary(cur), zones.curated("inc_daily_summary"),
-                        schemas.PARTITIONS["inc_daily_summary"], "overwrite")
-
-    summaries = {zones.curated(n): b for n, b in DAY_SUMMARIES[feed].items()}
-    new_rows = spark.readStream.schema(SCHEMAS[feed]).parquet(zones.clean(table))
-    streaming.start_curate(spark, new_rows, zones.clean(table), SCHEMAS[feed], summaries,
-                           chk + "/curate", on_batch=on_batch).awaitTermination()
+    An ``availableNow`` stream over the landing folder hands each micro-batch
+    of new files to :func:`roadlake.plans.deliveries.apply_delivery`, which
+    parses it once and brings it to the clean table, the quarantine, the
+    touched days' summaries and the touched buckets of the latest-state table.
+    Lines that were delivered before are dropped (``drop_redelivered=False``
+    keeps them), and a batch that is replayed replaces itself. A zone root is
+    run either incrementally (or by arrival ranges) or with :func:`run_feed`,
+    not both: the layouts of their clean and latest-state tables differ."""
+    from roadlake.plans.deliveries import BUCKETS, apply_delivery
+    lines = (spark.readStream.format("text").option("recursiveFileLookup", "true")
+             .load(zones.landing(feed)).select("value"))
+
+    def run(batch, batch_id):
+        apply_delivery(spark, feed, zones, batch, f"stream-{batch_id:09d}", run_ts, drop_redelivered,
+                       buckets or BUCKETS)
+
+    (lines.writeStream.foreachBatch(run).option("checkpointLocation", f"{zones.root}/_checkpoints/{feed}/deliveries")
+     .trigger(availableNow=True).start().awaitTermination())

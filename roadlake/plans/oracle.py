@@ -266,9 +266,11 @@ FROM facts WHERE NOT (readings > 0 AND zone_rows > 0 AND current > 0)"""
     q["stream_curate_hourly"] = q["rwis_hourly_summary"]
     q["stream_dedupe_hourly"] = q["rwis_hourly_summary"]
     q["stream_county_performance"] = q["county_performance"]
-    q["stream_hourly_windows"] = _with(RWIS_CTE) + """
-SELECT * FROM rwis_hourly
-WHERE event_hour + INTERVAL 1 HOUR <= (SELECT max(event_time) FROM rwis_clean) - INTERVAL 1 HOUR"""
+    q["stream_hourly_late"] = q["rwis_hourly_summary"]
+    q["zones_redelivered_hourly"] = q["rwis_hourly_summary"]
+    q["zones_incremental_latest"] = q["rwis_latest_per_station"]
+    q["zones_arrival_range_hourly"] = _with(RWIS_CTE) + """
+SELECT * FROM rwis_hourly WHERE event_hour >= '2024-01-08 00:00:00'::TIMESTAMP AND event_hour < '2024-01-22 00:00:00'::TIMESTAMP"""
     q["stream_latest_per_station"] = q["rwis_latest_per_station"]
     q["zones_county_performance"] = q["county_performance"]
     q["zones_incremental_county_performance"] = q["county_performance"]

@@ -41,6 +41,13 @@ def landed(spark: SparkSession, records: DataFrame, feed: str) -> DataFrame:
     return read_landing_lines(spark, path)
 
 
+def landed_records(spark, records: DataFrame, schema, name: str) -> DataFrame:
+    """Landing records written once, to be delivered in several parts."""
+    path = run_folder(spark, f"records-{name}")
+    records.write.parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
 def rwis_landing(spark, d) -> DataFrame:
     docs = feeds.rwis_snapshots(table(spark, d, "events"))
     lat, lon, r = GEOFENCE
@@ -156,6 +163,50 @@ def zones_incremental_county_performance(spark, d):
     return analytics.county_performance(jobs.read_curated(spark, z, "inc_daily_summary"))
 
 
+def zones_redelivered_hourly(spark, d):
+    """RWIS through incremental zone runs: a part of the readings, then a
+    delivery of all of them (the first ones again), then the same once more.
+    Lines that were delivered before count once, so the hourly summary is the
+    one-delivery summary."""
+    from roadlake.plans import jobs
+    z = _zones(spark)
+    recs = landed_records(spark, rwis_landing(spark, d), schemas.RWIS_LANDING, "again")
+    for n, part in enumerate((F.pmod(F.xxhash64(*recs.columns), F.lit(2)) == 0, F.lit(True), F.lit(True))):
+        write_landing(recs.where(part), f"{z.landing('rwis')}/{n}", arrival_ms=RUN_MS + n * 3600000)
+        jobs.run_feed_incremental(spark, "rwis", z, run_ts=RUN_TS)
+    return jobs.read_curated(spark, z, "rwis_hourly_summary").select(*schemas.RWIS_HOURLY.fieldNames())
+
+
+def zones_incremental_latest(spark, d):
+    """Latest reading per station from two incremental runs: the second
+    rewrites only the buckets of the stations that it brings."""
+    from roadlake.plans import jobs
+    z = _zones(spark)
+    recs = landed_records(spark, rwis_landing(spark, d), schemas.RWIS_LANDING, "latest")
+    first = (F.col("station_id") % 10 != 0) | (F.pmod(F.xxhash64(*recs.columns), F.lit(2)) == 0)
+    for n, part in enumerate((first, ~first)):
+        write_landing(recs.where(part), f"{z.landing('rwis')}/{n}", arrival_ms=RUN_MS + n * 3600000)
+        jobs.run_feed_incremental(spark, "rwis", z, run_ts=RUN_TS)
+    return jobs.read_curated(spark, z, "rwis_latest_per_station").select(*schemas.RWIS_LATEST_COLS)
+
+
+#: Arrival ranges of ``zones_arrival_range_hourly`` (start, then the marks).
+ARRIVALS = ("2024-01-08 00:00:00", "2024-01-15 00:00:00", "2024-01-22 00:00:00")
+
+
+def zones_arrival_range_hourly(spark, d):
+    """RWIS readings landed by the day they were taken, processed for a range
+    of arrival days in two runs: the second starts at the stored mark."""
+    from roadlake.plans import deliveries, jobs
+    z = _zones(spark)
+    day = 86400000
+    write_landing(rwis_landing(spark, d), z.landing("rwis"), arrival_ms=F.floor(F.col("ts") / day) * day)
+    start, middle, end = ARRIVALS
+    deliveries.run_feed_arrivals(spark, "rwis", z, middle, since=start, run_ts=RUN_TS)
+    deliveries.run_feed_arrivals(spark, "rwis", z, end, run_ts=RUN_TS)
+    return jobs.read_curated(spark, z, "rwis_hourly_summary").select(*schemas.RWIS_HOURLY.fieldNames())
+
+
 def zones_daily_coverage(spark, d):
     """All three feeds through the zones, curated tables registered in the
     catalog, Q1 over the catalog tables."""
@@ -205,7 +256,7 @@ def stream_quarantine(spark, d):
     jobs.run_feed_incremental(spark, "rwis", z, run_ts=RUN_TS)
     junk_lines(spark, d).write.mode("append").option("compression", "gzip").text(z.landing("rwis") + "/junk")
     jobs.run_feed_incremental(spark, "rwis", z, run_ts=RUN_TS)
-    return spark.read.text(z.quarantine("rwis"))
+    return spark.read.text(z.quarantine("rwis")).select("value")
 
 
 def csv_export_roundtrip(spark, d):
@@ -270,17 +321,20 @@ def stream_dedupe_hourly(spark, d):
     return curate.rwis_hourly_summary(read_table(spark, base + "/table", schemas.RWIS_CLEAN))
 
 
-def stream_hourly_windows(spark, d):
-    """Tumbling one-hour event-time windows with a one-hour watermark in
-    append mode: exactly the windows the watermark has closed are emitted."""
+def stream_hourly_late(spark, d):
+    """Hourly windows of a stream in three triggers; every third reading comes
+    late, in the second or third, when its window has long closed. A final
+    drain publishes the open windows: the whole hourly summary."""
     from roadlake import streaming
-    base = run_folder(spark, "stream-windows")
-    win = streaming.hourly_windows(_rwis_stream(spark, d), "1 hour")
-    q = (win.writeStream.format("parquet").outputMode("append")
-         .option("checkpointLocation", base + "/_chk").trigger(availableNow=True)
-         .start(base + "/table"))
-    q.awaitTermination()
-    return spark.read.schema(schemas.RWIS_HOURLY).parquet(base + "/table")
+    landing, base = run_folder(spark, "landing-rwis-late"), run_folder(spark, "stream-late")
+    recs = landed_records(spark, rwis_landing(spark, d), schemas.RWIS_LANDING, "late")
+    lateness = F.pmod(F.xxhash64(*recs.columns), F.lit(9))
+    for n, part in enumerate((lateness > 2, lateness == 2, lateness < 2)):
+        write_landing(recs.where(part), f"{landing}/{n}", arrival_ms=RUN_MS + n * 3600000)
+        rows = streaming.clean_stream(spark, "rwis", landing, run_ts=RUN_TS)
+        streaming.start_hourly_state(rows, base, base + "/hourly").awaitTermination()
+    streaming.drain(spark, base, base + "/hourly")
+    return streaming.read_windows(spark, base + "/hourly")
 
 
 def stream_latest_per_station(spark, d):
@@ -358,11 +412,14 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "zones_county_performance": zones_county_performance,
     "zones_daily_coverage": zones_daily_coverage,
     "zones_incremental_county_performance": zones_incremental_county_performance,
+    "zones_redelivered_hourly": zones_redelivered_hourly,
+    "zones_incremental_latest": zones_incremental_latest,
+    "zones_arrival_range_hourly": zones_arrival_range_hourly,
     "quality_metrics": quality_metrics,
     "stream_quarantine": stream_quarantine,
     "csv_export_roundtrip": csv_export_roundtrip,
     "stream_clean_hourly": stream_clean_hourly,
-    "stream_hourly_windows": stream_hourly_windows,
+    "stream_hourly_late": stream_hourly_late,
     "stream_dedupe_hourly": stream_dedupe_hourly,
     "stream_county_performance": stream_county_performance,
     "stream_latest_per_station": stream_latest_per_station,

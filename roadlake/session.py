@@ -116,6 +116,12 @@ def path_exists(spark: SparkSession, path: str) -> bool | None:
         return None
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder that a job wrote, on its Hadoop file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def expr_cache(fn):
     """Memoise a function that builds (unresolved) Column expressions.
 

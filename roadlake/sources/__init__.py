@@ -1,7 +1,8 @@
 """Scans and raw-format decoders."""
 
 from roadlake.sources.arcgis import arcgis_explode, arcgis_item_array, arcgis_item_count
-from roadlake.sources.files import read_landing_lines, read_snapshots, read_table
+from roadlake.sources.files import (read_landing_lines, read_landing_range, read_snapshots,
+                                    read_table)
 from roadlake.sources.geojson import (FeedPayloadError, geojson_explode, geojson_features,
                                       geojson_problem, problem_kind, validate_geojson)
 from roadlake.sources.xml import (incident_count, incident_elements, read_incident_xml,
@@ -9,7 +10,7 @@ from roadlake.sources.xml import (incident_count, incident_elements, read_incide
 
 __all__ = [
     "arcgis_explode", "arcgis_item_array", "arcgis_item_count",
-    "read_landing_lines", "read_snapshots", "read_table", "geojson_explode",
+    "read_landing_lines", "read_landing_range", "read_snapshots", "read_table", "geojson_explode",
     "geojson_features", "geojson_problem", "problem_kind", "validate_geojson",
     "FeedPayloadError", "incident_count",
     "incident_elements", "read_incident_xml", "xml_escape", "xml_explode",

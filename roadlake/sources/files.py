@@ -18,6 +18,24 @@ def read_landing_lines(spark: SparkSession, path: str) -> DataFrame:
             .text(path).select("value"))
 
 
+def read_landing_range(spark: SparkSession, path: str, since=None, until=None) -> DataFrame:
+    """Landing lines that arrived in ``since`` <= hour < ``until`` (timestamps
+    or ISO text, UTC; None: open end), as :func:`read_landing_lines`.
+
+    The arrival folders ``y=/m=/d=/h=`` are partition columns here and the
+    range is a filter on them alone, so only the files of its hours are read."""
+    parts = ("y", "m", "d", "h")
+    lines = spark.read.text(path)
+    if not set(parts) <= set(lines.columns):
+        raise ValueError(f"{path} has no arrival folders {'/'.join(p + '=' for p in parts)}")
+    at = F.make_timestamp(*[F.col(p).cast("int") for p in parts], F.lit(0), F.lit(0))
+    if since is not None:
+        lines = lines.where(at >= F.lit(since).cast("timestamp"))
+    if until is not None:
+        lines = lines.where(at < F.lit(until).cast("timestamp"))
+    return lines.select("value")
+
+
 def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
     """Whole feed snapshot documents (one JSON/GeoJSON/XML document per file)
     -> ``snapshot`` (file path), ``snapshot_ms`` (file modification time,
