@@ -131,12 +131,12 @@ def normalize_rwis(docs: DataFrame, run_ts=None, center_lat: float = 0.0,
     return recs.select(*cols, *(["lat", "lon"] if keep_coords else []))
 
 
-def rwis_raw_records(docs: DataFrame, value_col: str = "value") -> DataFrame:
+def rwis_raw_records(docs: DataFrame, value_col: str = "value", observation=None) -> DataFrame:
     """Raw pass-through mode: the un-normalised items as JSON lines, without
     geofence.  FeatureSet items are their attributes plus ``_geom``
     (the feature's geometry, ``{}`` when missing); bare-array items are
     written as they are."""
-    items = arcgis_explode(docs, value_col)
+    items = _attempted(arcgis_explode(docs, value_col), observation)
     attrs = F.coalesce(F.to_json(F.col("attrs")), F.lit("{}"))
     attrs = F.when(~attrs.startswith("{"), F.lit("{}")).otherwise(attrs)
     geom = F.coalesce(F.to_json(F.col("geom")), F.lit("{}"))
@@ -209,11 +209,12 @@ def normalize_incidents(docs: DataFrame, run_ts=None, ingest_col: str | None = N
     return incident_records(rows, run_ts, ingest_col)
 
 
-def incident_records(rows: DataFrame, run_ts=None, ingest_col: str | None = None) -> DataFrame:
+def incident_records(rows: DataFrame, run_ts=None, ingest_col: str | None = None,
+                     observation=None) -> DataFrame:
     """Parsed incident elements (struct column ``x`` of child texts, from
     :func:`xml_explode` or :func:`roadlake.sources.xml.read_incident_xml`)
     -> incident landing records."""
-    out = rows
+    out = _attempted(rows, observation)
     for stage in _incident_stages(ingest_col, run_ms_of(run_ts)):
         out = out.select(*stage)
     return out

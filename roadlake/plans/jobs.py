@@ -5,7 +5,8 @@ Zone layout under one root folder (any Hadoop file system path)::
     <root>/landing/<feed>/y=/m=/d=/h=/part-*.txt.gz
     <root>/clean/<table>/dt=.../part-*.parquet
     <root>/curated/<table>/<partition>=.../part-*.parquet
-    <root>/quarantine/<feed>/...
+    <root>/quarantine/<feed>/...                 malformed landing lines
+    <root>/dead_letters/<feed>/y=/m=/d=/h=/...   damaged snapshot documents
 
 Each job is one Spark action per output: metrics ride on the write through
 ``observe`` (no extra counting passes), the non-empty guard is an
@@ -52,6 +53,9 @@ class Zones:
     def quarantine(self, feed):
         return f"{self.root}/quarantine/{feed}"
 
+    def dead_letters(self, feed):
+        return f"{self.root}/dead_letters/{feed}"
+
 
 @dataclass
 class RunReport:
@@ -63,56 +67,96 @@ class RunReport:
 
 # ------------------------------------------------------------------ ingest
 def ingest_snapshots(spark: SparkSession, feed: str, snapshots_path: str, zones: Zones,
-                     run_ts=None, report: RunReport | None = None, **options) -> None:
+                     run_ts=None, report: RunReport | None = None,
+                     fail_on_invalid: bool = False, **options) -> None:
     """Raw snapshot files (ArcGIS JSON / GeoJSON / XML) -> landing lines.
 
-    ``options`` go to the feed's normaliser (geofence centre/radius, caps,
-    ...).  ``mode="raw"`` lands RWIS items un-normalised;
-    ``xml_reader="spark"`` reads large incident files with Spark's XML
-    reader (split across tasks) instead of one document per task.  Landing
-    files are laid out by arrival (the run time), as a delivery stream does.
-    With ``report``, the decoded items ("attempted") and the landed records
-    ("sent") are counted in the same pass as the write."""
-    import time
-    from roadlake.functions.time import run_ms_of
-    arrival = run_ms_of(run_ts) or int(time.time() * 1000)
+    As :func:`ingest_documents`, one document a file; ``xml_reader="spark"``
+    reads large incident files with Spark's XML reader instead (split across
+    tasks; it skips what it cannot parse, so such files have no dead
+    letters)."""
     if feed == "incidents" and options.pop("xml_reader", "text") == "spark":
         from roadlake.sources import read_incident_xml
-        rows = read_incident_xml(spark, snapshots_path)
-        write_landing(normalize.incident_records(
-            rows, run_ts, options.pop("ingest_col", "snapshot_ms")), zones.landing(feed),
-            arrival_ms=arrival)
+        attempted = Observation("incidents_attempted") if report is not None else None
+        recs = normalize.incident_records(read_incident_xml(spark, snapshots_path), run_ts,
+                                          options.pop("ingest_col", "snapshot_ms"), attempted)
+        _land(recs, feed, zones, run_ts, report, attempted)
         return
-    docs = read_snapshots(spark, snapshots_path)
+    ingest_documents(spark, feed, read_snapshots(spark, snapshots_path), zones, run_ts, report,
+                     fail_on_invalid, **options)
+
+
+def ingest_documents(spark: SparkSession, feed: str, docs: DataFrame, zones: Zones,
+                     run_ts=None, report: RunReport | None = None,
+                     fail_on_invalid: bool = False, **options) -> None:
+    """Snapshot documents (column ``value``, others as ``read_snapshots``
+    gives them) -> landing lines and dead letters.
+
+    ``options`` go to the feed's normaliser (geofence centre/radius, caps,
+    ...).  ``mode="raw"`` lands RWIS items un-normalised.  Landing files are
+    laid out by arrival (the run time), as a delivery stream does.
+
+    Damaged documents (:mod:`roadlake.sources.damaged`) go to the feed's dead
+    letters with their kind and first 400 characters, or, with
+    ``fail_on_invalid``, the first one raises before anything is written.  The
+    pass that writes the landing counts them; only when there are some are the
+    documents read again.  With ``report``, decoded items ("attempted"),
+    landed records ("sent") and damaged documents are counted in that pass,
+    in every mode."""
+    from roadlake.sources import damaged_documents, document_problem, require_sound
+    if fail_on_invalid:
+        require_sound(docs, feed)
+    damage = Observation(f"{feed}_documents")
+    checked = docs.withColumn("_problem", document_problem(feed, F.col("value")))
+    checked = checked.observe(damage, F.count_if(F.col("_problem").isNotNull()).alias("damaged"))
+    sound = checked.where(F.col("_problem").isNull()).drop("_problem")
     attempted = Observation(f"{feed}_attempted") if report is not None else None
-    if attempted is not None:
-        options = dict(options, observation=attempted)
-    if feed == "rwis":
-        if options.pop("mode", "normalized") == "raw":
-            options.pop("observation", None)
-            lines = normalize.rwis_raw_records(docs)
-            lines.write.mode("append").option("compression", "gzip").text(zones.landing(feed))
-            return
-        recs = normalize.normalize_rwis(docs, run_ts=run_ts, **options)
-    elif feed == "wzdx":
-        recs = normalize.normalize_wzdx(docs, run_ts=run_ts,
-                                        ingest_col=options.pop("ingest_col", "snapshot_ms"),
-                                        **options)
-    elif feed == "incidents":
-        recs = normalize.normalize_incidents(docs, run_ts=run_ts,
-                                             ingest_col=options.pop("ingest_col", "snapshot_ms"),
-                                             **options)
+    if feed == "rwis" and options.pop("mode", "normalized") == "raw":
+        recs = normalize.rwis_raw_records(sound, observation=attempted)
+    elif feed == "rwis":
+        recs = normalize.normalize_rwis(sound, run_ts=run_ts, observation=attempted, **options)
+    elif feed in ("wzdx", "incidents"):
+        build = normalize.normalize_wzdx if feed == "wzdx" else normalize.normalize_incidents
+        ingest_col = options.pop("ingest_col", "snapshot_ms")
+        recs = build(sound, run_ts=run_ts, ingest_col=ingest_col, observation=attempted, **options)
     else:
         raise ValueError(f"unknown feed {feed!r}")
+    _land(recs, feed, zones, run_ts, report, attempted)
+    damaged = damage.get.get("damaged", 0)
+    if damaged:
+        write_landing(damaged_documents(docs, feed), zones.dead_letters(feed), arrival_ms=_arrival(run_ts))
+    if report is not None:
+        report.metrics[f"{feed}_ingest"]["damaged"] = damaged
+
+
+def _arrival(run_ts) -> int:
+    import time
+    from roadlake.functions.time import run_ms_of
+    return run_ms_of(run_ts) or int(time.time() * 1000)
+
+
+def _land(recs: DataFrame, feed: str, zones: Zones, run_ts, report, attempted) -> None:
+    """Write landing records (or raw lines); count them in the same pass."""
     sent = Observation(f"{feed}_sent") if report is not None else None
     if sent is not None:
         recs = recs.observe(sent, F.count(F.lit(1)).alias("sent"))
-    write_landing(recs, zones.landing(feed), arrival_ms=arrival)
+    if recs.columns == ["value"]:
+        recs.write.mode("append").option("compression", "gzip").text(zones.landing(feed))
+    else:
+        write_landing(recs, zones.landing(feed), arrival_ms=_arrival(run_ts))
     if report is not None:
         report.metrics[f"{feed}_ingest"] = {"attempted": attempted.get.get("attempted", 0),
                                             "sent": sent.get.get("sent", 0)}
 
 
+def read_dead_letters(spark: SparkSession, feed: str, zones: Zones) -> DataFrame:
+    """Dead letters of a feed: snapshot, snapshot_ms, feed, kind, snippet,
+    n_chars."""
+    return (spark.read.option("recursiveFileLookup", "true")
+            .schema("snapshot string, snapshot_ms long, feed string, kind string, snippet string, n_chars long")
+            .json(zones.dead_letters(feed)))
+
+
 # --------------------------------------------------------- landing -> clean
 def landing_to_clean(spark: SparkSession, feed: str, zones: Zones, run_ts=None,
                      require_rows: bool = True, write_mode: str = "replace_partitions",

@@ -9,7 +9,7 @@ Timestamps are naive UTC; sums are cast to BIGINT (DuckDB widens them).
 
 from __future__ import annotations
 
-from roadlake.plans.feeds import GEOFENCE
+from roadlake.plans.feeds import GEOFENCE, INCIDENT_BLOCK
 
 _LAT0 = "(38.5::DOUBLE + CAST({u} % 30 AS DOUBLE) * 0.05::DOUBLE)"
 _LON0 = "(-77.5::DOUBLE + CAST({u} % 20 AS DOUBLE) * 0.07::DOUBLE)"
@@ -235,6 +235,18 @@ SELECT ingest_ts, road_event_id, road_names, direction, start_date, end_date,
     q["wzdx_snapshot_check"] = """
 SELECT kind, CAST((SELECT count(DISTINCT o_orderkey // 16) FROM orders) AS BIGINT) AS documents
 FROM (VALUES ('ok'), ('invalid_json'), ('unexpected_shape')) AS k(kind)"""
+    # a truncated copy of each document is damaged everywhere; the other one is
+    # JSON of another shape (no items for stations), and no XML
+    q["ingest_dead_letters"] = _with(RWIS_CTE, WZ_CTE, INC_CTE) + f""",
+docs AS (
+  SELECT 'rwis' AS feed, (SELECT count(DISTINCT event_id // 256) FROM events) AS docs, (SELECT count(*) FROM rwis_norm) AS n
+  UNION ALL SELECT 'wzdx', (SELECT count(DISTINCT o_orderkey // 16) FROM orders), (SELECT count(*) FROM wz_norm)
+  UNION ALL SELECT 'incidents', (SELECT count(DISTINCT event_id // {INCIDENT_BLOCK}) FROM events), (SELECT count(*) FROM inc_norm))
+SELECT feed, 'landing' AS sink, 'record' AS kind, n::BIGINT AS n, n::BIGINT AS reported FROM docs
+UNION ALL SELECT feed, 'dead_letter', 'invalid_json', docs::BIGINT, docs::BIGINT FROM docs WHERE feed = 'rwis'
+UNION ALL SELECT feed, 'dead_letter', k, docs::BIGINT, 2 * docs::BIGINT FROM docs, (VALUES ('invalid_json'), ('unexpected_shape')) AS v(k)
+          WHERE feed = 'wzdx'
+UNION ALL SELECT feed, 'dead_letter', 'invalid_xml', 2 * docs::BIGINT, 2 * docs::BIGINT FROM docs WHERE feed = 'incidents'"""
     q["rwis_day_counts"] = _with(RWIS_CTE) + \
         'SELECT dt, count(*) AS "rows" FROM rwis_clean WHERE dt IS NOT NULL GROUP BY dt'
     q["wzdx_clean"] = _with(WZ_CTE) + "SELECT * FROM wz_clean"

@@ -111,6 +111,40 @@ def wzdx_snapshot_check(spark, d) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("documents"))
 
 
+def _with_damage(docs: DataFrame, other: str) -> DataFrame:
+    """Every document, a truncated copy of it, and ``other`` followed by its
+    length (a readable document of another shape, or one more damaged one)."""
+    v = F.col("value")
+    copies = F.array(v, F.substring(v, 1, 40), F.concat(F.lit(other), F.length(v).cast("string"), F.lit("}")))
+    return docs.withColumn("value", F.explode(copies))
+
+
+def ingest_dead_letters(spark, d) -> DataFrame:
+    """All three feeds ingested with damaged documents among the sound ones:
+    landed records by feed, dead letters by feed and kind, and the counts that
+    the ingest reported."""
+    from roadlake.plans import jobs
+    z = _zones(spark)
+    lat, lon, r = GEOFENCE
+    docs = {"rwis": feeds.rwis_snapshots(table(spark, d, "events")),
+            "wzdx": feeds.wzdx_snapshots(table(spark, d, "orders")),
+            "incidents": feeds.incident_snapshots(table(spark, d, "events"), table(spark, d, "nation"))}
+    options = {"rwis": {"center_lat": lat, "center_lon": lon, "radius_km": r}, "wzdx": {}, "incidents": {"ingest_col": None}}
+    out = []
+    for feed, own in docs.items():
+        report = jobs.RunReport()
+        jobs.ingest_documents(spark, feed, _with_damage(own, '{"other": '), z, RUN_TS, report, **options[feed])
+        counts = report.metrics[f"{feed}_ingest"]
+        lines = read_landing_lines(spark, z.landing(feed))
+        out.append(lines.agg(F.lit(feed).alias("feed"), F.lit("landing").alias("sink"), F.lit("record").alias("kind"),
+                             F.count(F.lit(1)).alias("n"), F.lit(counts["sent"]).cast("long").alias("reported")))
+        dead = jobs.read_dead_letters(spark, feed, z).where(F.length("snippet") == F.least(F.col("n_chars"), F.lit(400)))
+        out.append(dead.groupBy("feed", F.lit("dead_letter").alias("sink"), "kind")
+                   .agg(F.count(F.lit(1)).alias("n")).withColumn("reported", F.lit(counts["damaged"]).cast("long")))
+    from functools import reduce
+    return reduce(DataFrame.unionByName, out)
+
+
 def wzdx_clean(spark, d) -> DataFrame:
     return clean.clean_wzdx(landed(spark, wzdx_landing(spark, d), "wzdx"), run_ts=RUN_TS)
 
@@ -392,6 +426,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "inc_daily_summary": inc_daily,
     "wzdx_decode": wzdx_landing,
     "wzdx_snapshot_check": wzdx_snapshot_check,
+    "ingest_dead_letters": ingest_dead_letters,
     "rwis_day_counts": lambda s, d: quality.day_counts(rwis_clean(s, d)),
     "wzdx_clean": wzdx_clean,
     "wzdx_current_events": lambda s, d: curate.wzdx_current_events(wzdx_clean(s, d)),

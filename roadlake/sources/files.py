@@ -39,7 +39,8 @@ def read_landing_range(spark: SparkSession, path: str, since=None, until=None) -
 def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
     """Whole feed snapshot documents (one JSON/GeoJSON/XML document per file)
     -> ``snapshot`` (file path), ``snapshot_ms`` (file modification time,
-    epoch ms), ``value`` (document text).  One task reads one document."""
+    epoch ms), ``value`` (document text).  One task reads one document; a file
+    of no bytes gives none."""
     df = (spark.read.option("recursiveFileLookup", "true")
           .option("wholetext", "true").text(path))
     return df.select(

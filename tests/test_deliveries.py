@@ -166,3 +166,50 @@ def test_late_readings_reach_closed_windows_and_the_drain_publishes_open_ones(sp
     from roadlake.streaming import windows
     state = windows._state(spark, base)
     assert state.agg(F.sum("obs_count")).first()[0] == 6
+
+
+# ------------------------------------------------------------------ ingest
+def _snapshots(tmp_dir, texts):
+    raw = tmp_dir + "/raw"
+    os.makedirs(raw)
+    for i, t in enumerate(texts):
+        with open(f"{raw}/s{i}", "w") as f:
+            f.write(t)
+    return raw
+
+
+WZ = '{"features": [{"id": "z%d", "properties": {"core_details": {"direction": "northbound"}}}]}'
+XML = "<Incidents><Incident><id>%d</id></Incident></Incidents>"
+ARC = '{"features": [{"attributes": {"StationID": %d, "ReportTime": 1735689600000}, "geometry": {}}]}'
+
+
+@pytest.mark.parametrize("feed, good, damaged", [
+    ("wzdx", [WZ % 1, WZ % 2, '{"features": []}'],
+      {'{"features": [': "invalid_json", " ": "invalid_json", '{"features": {"a": 1}}': "unexpected_shape", "[]": "unexpected_shape"}),
+    ("incidents", [XML % 1, "<a/>", "﻿" + XML % 2], {"<Incidents><Incident><id>1</id>": "invalid_xml", "x" * 900: "invalid_xml"}),
+    ("rwis", [ARC % 1, ARC % 2, '{"other": 1}', "[]"], {"<html>": "invalid_json"}),
+])
+def test_damaged_documents_become_dead_letters(spark, tmp_dir, feed, good, damaged):
+    raw, z, report = _snapshots(tmp_dir, good + list(damaged)), jobs.Zones(tmp_dir + "/zones"), jobs.RunReport()
+    jobs.ingest_snapshots(spark, feed, raw, z, report=report)
+    assert report.metrics[f"{feed}_ingest"] == {"attempted": 2, "sent": 2, "damaged": len(damaged)}
+    letters = jobs.read_dead_letters(spark, feed, z).collect()
+    assert sorted((r["snippet"], r["kind"], r["n_chars"]) for r in letters) == sorted((t[:400], k, len(t)) for t, k in damaged.items())
+    assert all(r["feed"] == feed and "/raw/s" in r["snapshot"] and r["snapshot_ms"] > 0 for r in letters)
+
+
+def test_fail_on_invalid_raises_before_anything_is_written(spark, tmp_dir):
+    from roadlake.sources import FeedPayloadError
+    raw, z = _snapshots(tmp_dir, [WZ % 1, "{broken"]), jobs.Zones(tmp_dir + "/zones")
+    with pytest.raises(FeedPayloadError, match="invalid_json; first 400 chars: {broken"):
+        jobs.ingest_snapshots(spark, "wzdx", raw, z, fail_on_invalid=True)
+    assert not os.path.exists(z.landing("wzdx"))
+
+
+def test_counts_of_raw_mode_and_of_the_xml_reader(spark, tmp_dir):
+    z, report = jobs.Zones(tmp_dir + "/zones"), jobs.RunReport()
+    jobs.ingest_snapshots(spark, "rwis", _snapshots(tmp_dir + "/a", [ARC % 1, ARC % 2, "oops"]), z, report=report, mode="raw")
+    assert report.metrics["rwis_ingest"] == {"attempted": 2, "sent": 2, "damaged": 1}
+    jobs.ingest_snapshots(spark, "incidents", _snapshots(tmp_dir + "/b", [XML % 1, XML % 2, XML % 3]), z, report=report, xml_reader="spark")
+    assert report.metrics["incidents_ingest"] == {"attempted": 3, "sent": 3}
+    assert len(spark.read.text(z.landing("rwis")).collect()) == 2
