@@ -72,10 +72,16 @@ def _events(value: Column) -> Column:
     plain = F.regexp_replace(_without_cdata(value), _SILENT, "")
 
     def event(texts, tag, i):
-        leaf = ~tag.startswith("</") & tag.contains("</")
-        step = F.when(tag.startswith("</"), -1).when(leaf | tag.endswith("/>"), 0).otherwise(1)
-        text = F.when(leaf, F.regexp_extract(tag, _LEAF, 2)).when(tag.endswith("/>"), F.lit("")).otherwise(F.get(texts, i + 1))
-        return F.struct(F.regexp_extract(tag, _NAME, 1).alias("name"), step.alias("step"), text.alias("text"))
+        # most tags have no attributes: their name ends at the first ">"
+        head, close = F.substring_index(tag, ">", 1), tag.startswith("</")
+        bare = ~head.rlike(r"""[\s"']""")
+        leaf, alone = ~close & tag.contains("</"), tag.endswith("/>")
+        name = F.when(bare & close, F.substr(head, F.lit(3))) \
+            .when(bare & ~alone, F.substr(head, F.lit(2))).otherwise(F.regexp_extract(tag, _NAME, 1))
+        body = F.when(bare, F.substring_index(F.substr(tag, F.length(head) + 2), "</", 1)) \
+            .otherwise(F.regexp_extract(tag, _LEAF, 2))
+        return F.struct(name.alias("name"), F.when(close, -1).when(leaf | alone, 0).otherwise(1).alias("step"),
+                        F.when(leaf, body).when(alone, F.lit("")).otherwise(F.get(texts, i + 1)).alias("text"))
 
     return let(plain, lambda p: let(F.split(p, _EVENT, -1), lambda texts: F.transform(
         F.regexp_extract_all(p, F.lit(_EVENT), F.lit(0)), lambda tag, i: event(texts, tag, i))))
