@@ -3,23 +3,26 @@
 A window is 35 consecutive words; a word is removed if it lies in a window
 whose words also start anywhere else in the corpus.
 
-1. Of every window the ten-word phrase with the smallest hash is its anchor
+1. Rows equal in id and text become one row with their number: they share all
+   results. Rows are dealt to shards of bounded bytes by a hash of both.
+2. Of every window the eight-word phrase with the smallest hash is its anchor
    (equal windows have equal anchors). Phrases that are anchors at two or more
-   places recur.
-2. Documents lie in shards of bounded bytes. Each shard gets the recurring
-   phrases it holds, compiles them into an Aho-Corasick automaton over word
-   numbers and streams its documents: windows whose anchor is located are
-   candidates, and their hashes are counted over all shards.
-3. Candidates that occur once in the corpus go back to their shard (they are
-   few); there all other candidates are confirmed repeats, and their words go.
-
-Counts are summed before they are shuffled, so a passage of any frequency
-costs each shard a row. The texts are shuffled once: both passes over the
-shards read the same exchange.
+   places recur; they travel to the shards that hold them as words.
+3. Each shard compiles its recurring phrases into an Aho-Corasick automaton and
+   streams its documents through it: windows whose anchor the automaton locates
+   are candidates. They are counted over all shards by 128 bits of hashes.
+4. Candidates that occur once in the corpus go back to their shard (they are
+   few); there all other windows that the automaton locates are repeats, and
+   their words go.
+
+The automaton alone decides which windows are looked at: no shard knows the
+hashes of recurring phrases. Counts are summed before they are shuffled, so a
+passage of any frequency costs each shard a row. The texts are shuffled once:
+all passes over the shards read the same exchange.
 
 Defined cases: null, empty and short texts have no windows and lose nothing;
-kept words are joined by one space; equal rows are repeats of each other;
-other columns are not returned.
+kept words are joined by one space; equal rows are repeats of each other and
+each gets its row; other columns are not returned.
 """
 
 from __future__ import annotations
@@ -30,13 +33,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadlake.llm.common import U, hashed_words, ngram_hashes, read, signed, text_of, utf8
+from roadlake.llm.common import U, mix, ngram_hashes, read, signed, slices, text_of, utf8, word_hashes, word_spans
 
 WINDOW = 35
-PHRASE = 10
+PHRASE = 8
 SPAN = WINDOW - PHRASE + 1
 SHARD_BYTES = 1 << 20
 POSITION_BITS = 28
+#: Bytes of different rows among which a task merges equal ones.
+HELD_BYTES = 1 << 23
+#: Changes the word hashes for the second half of a window's 128 bits (arbitrary).
+SECOND = U(0xA24BAED4963EE407)
+#: Equal rows are put back in two steps of at most this many.
+STEP = 1 << 16
 
 
 def rolling_least(x: np.ndarray) -> np.ndarray:
@@ -67,80 +76,139 @@ def windows(h: np.ndarray, rows: np.ndarray):
     return start, at[start], phrase
 
 
-def _anchors(batches):
+def _merged(batches):
+    """Rows with ``n``, the equal ones among HELD_BYTES of different rows as one."""
+    held, size = {}, 0
+
+    def flush():
+        return pa.RecordBatch.from_arrays(
+            [pa.array([k[0] for k in held], pa.int64()), pa.array([k[1] for k in held], pa.binary()).cast(pa.string()),
+             pa.array(held.values(), pa.int64())], names=["doc_id", "text", "n"])
+
     for batch in batches:
-        shard = batch.column("shard").to_numpy()
-        for a, _, h, rows in hashed_words(batch.column("text")):
-            _, at, phrase = windows(h, rows)
-            if not len(at):
-                continue
-            at = at[np.append(True, at[1:] != at[:-1])]
-            row = np.searchsorted(rows, at, "right") - 1
-            keys = np.stack([signed(phrase[at]), shard[a + row]])
-            keys, n = np.unique(keys, axis=1, return_counts=True) if len(at) < 1000 else _counted(keys)
-            yield pa.RecordBatch.from_arrays([pa.array(keys[0]), pa.array(keys[1].astype(np.int64)), pa.array(n.astype(np.int64))],
-                                             names=["h", "shard", "n"])
-
-
-def _counted(keys: np.ndarray):
-    """Distinct columns of a two-row array and their counts."""
-    order = np.lexsort((keys[1], keys[0]))
-    k = keys[:, order]
-    new = np.append(True, (k[:, 1:] != k[:, :-1]).any(axis=0))
-    first = np.flatnonzero(new)
-    return k[:, first], np.diff(np.append(first, k.shape[1]))
-
-
-def located(h: np.ndarray, start: np.ndarray, at: np.ndarray, phrase: np.ndarray, recurring: np.ndarray) -> np.ndarray:
-    """Which windows' anchors the automaton of the recurring phrases finds."""
-    known = np.isin(signed(phrase), recurring)
-    if not known.any():
-        return np.zeros(len(start), bool)
-    _, number = np.unique(h, return_inverse=True)
-    number = number.tolist()
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-    _, first = np.unique(phrase[known], return_index=True)
-    for p in np.flatnonzero(known)[first].tolist():
-        automaton.add_word(tuple(number[p:p + PHRASE]), 1)
-    automaton.make_automaton()
-    found = np.zeros(len(h), bool)
-    ends = [end for end, _ in automaton.iter(tuple(number))]
-    found[np.array(ends, np.int64) - (PHRASE - 1)] = True
-    return found[at]
+        texts = batch.column("text").cast(pa.binary())
+        for i, k in enumerate(batch.column("doc_id").to_pylist()):
+            key = k, texts[i].as_py()
+            n = held.get(key, 0)
+            held[key] = n + 1
+            if n == 0:
+                size += len(key[1]) + 64
+                if size >= HELD_BYTES:
+                    yield flush()
+                    held, size = {}, 0
+    if held:
+        yield flush()
+
+
+def anchors(batch: pa.RecordBatch):
+    """Of every slice of rows, its distinct (phrase hash, shard): hashes,
+    shards, occurrences, and the phrases' bytes as (bytes, starts, ends)."""
+    shard, n = batch.column("shard").to_numpy(), batch.column("n").to_numpy()
+    data, offsets = utf8(batch.column("text"))
+    for a, b in slices(offsets):
+        part = data[offsets[a]:offsets[b]]
+        starts, ends, rows = word_spans(part, offsets[a:b + 1] - offsets[a])
+        _, at, phrase = windows(word_hashes(part, starts, ends), rows)
+        if not len(at):
+            continue
+        at = at[np.append(True, at[1:] != at[:-1])]
+        row = a + np.searchsorted(rows, at, "right") - 1
+        h, of = signed(phrase[at]), shard[row]
+        order = np.lexsort((of, h))
+        h, of, at = h[order], of[order], at[order]
+        first = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (of[1:] != of[:-1])))
+        yield (h[first], of[first], np.add.reduceat(n[row][order], first),
+               (part, starts[at[first]], ends[at[first] + PHRASE - 1]))
+
+
+def _counts(batches):
+    for batch in batches:
+        for h, _, n, _ in anchors(batch):
+            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(n)], names=["h", "n"])
+
+
+def _phrases(batches):
+    for batch in batches:
+        for h, shard, _, (data, a, b) in anchors(batch):
+            ends = np.cumsum(b - a)
+            body = data[np.repeat(a - (ends - (b - a)), b - a) + np.arange(ends[-1])]
+            offsets = np.append(0, ends).astype(np.int32)
+            words = pa.Array.from_buffers(pa.binary(), len(h), [None, pa.py_buffer(offsets), pa.py_buffer(body)])
+            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(shard), words], names=["h", "shard", "phrase"])
 
 
 def shard_words(text: pa.Array):
     """Word hashes and row borders of a whole shard."""
+    data, offsets = utf8(text)
     parts, borders, n = [], [np.zeros(1, np.int64)], 0
-    for _, _, h, rows in hashed_words(text):
-        parts.append(h)
+    for a, b in slices(offsets):
+        part = data[offsets[a]:offsets[b]]
+        starts, ends, rows = word_spans(part, offsets[a:b + 1] - offsets[a])
+        parts.append(word_hashes(part, starts, ends))
         borders.append(rows[1:] + n)
-        n += len(h)
+        n += len(starts)
     return (np.concatenate(parts) if parts else np.empty(0, U)), np.concatenate(borders)
 
 
+def located(text: pa.Array, rows: np.ndarray, phrases: list[bytes]) -> np.ndarray:
+    """The words of a shard at which one of ``phrases`` begins, by streaming
+    its texts through the phrases' automaton."""
+    found = np.zeros(int(rows[-1]), bool)
+    number: dict[bytes, int] = {}
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+    for phrase in phrases:
+        # numbers from 1; 0 is every word that no phrase has
+        automaton.add_word(tuple([number.setdefault(w, len(number) + 1) for w in phrase.split()]), 1)
+    if not len(automaton):
+        return found
+    automaton.make_automaton()
+    data, offsets = utf8(text)
+    for i in np.flatnonzero(np.diff(rows) >= WINDOW).tolist():
+        words = data[offsets[i]:offsets[i + 1]].tobytes().split()
+        ends = [end for end, _ in automaton.iter(tuple([number.get(w, 0) for w in words]))]
+        found[np.array(ends, np.int64) + (rows[i] - PHRASE + 1)] = True
+    return found
+
+
+def candidates(docs: pa.Table, phrases: list[bytes]):
+    """Of a shard: its row borders, the starts of the windows whose anchor is
+    located, and the two hashes of each."""
+    h, rows = shard_words(docs.column("text"))
+    start, at, _ = windows(h, rows)
+    start = start[located(docs.column("text"), rows, phrases)[at]] if len(start) else start
+    if not len(start):
+        none = np.empty(0, np.int64)
+        return rows, start, none, none
+    return rows, start, signed(ngram_hashes(h, WINDOW)[start]), signed(ngram_hashes(mix(h ^ SECOND), WINDOW)[start])
+
+
 def _candidates(docs: pa.Table, phrases: pa.Table) -> pa.Table:
     shard = docs.column("shard")[0].as_py() if len(docs) else 0
-    h, rows = shard_words(docs.column("text"))
-    start, at, phrase = windows(h, rows)
-    start = start[located(h, start, at, phrase, phrases.column("h").to_numpy())] if len(phrases) else start[:0]
-    k, n = np.unique(signed(ngram_hashes(h, WINDOW)[start]) if len(start) else np.empty(0, np.int64), return_counts=True)
-    return pa.table({"h": k, "shard": np.full(len(k), shard, np.int64), "n": n.astype(np.int64)})
+    rows, start, h, g = candidates(docs, phrases.column("phrase").to_pylist())
+    order = np.lexsort((g, h))
+    h, g = h[order], g[order]
+    first = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (g[1:] != g[:-1]))) if len(h) else order
+    n = docs.column("n").to_numpy()[np.searchsorted(rows, start, "right") - 1][order] if len(h) else h
+    return pa.table({"h": h[first], "g": g[first], "shard": np.full(len(first), shard, np.int64),
+                     "n": np.add.reduceat(n, first) if len(first) else n})
 
 
 def _removed(docs: pa.Table, known: pa.Table) -> pa.Table:
-    ids, removed, words, kept = docs.column("doc_id"), [], [], []
-    h, rows = shard_words(docs.column("text"))
-    start, at, phrase = windows(h, rows)
-    kind, value = known.column("kind").to_numpy(), known.column("h").to_numpy()
-    start = start[located(h, start, at, phrase, value[kind == 0])] if len(value) else start[:0]
-    if len(start):
-        start = start[~np.isin(signed(ngram_hashes(h, WINDOW)[start]), value[kind == 1])]
-    cover = np.zeros(len(h) + 1, np.int64)
+    once = known.column("phrase").is_null().to_numpy()
+    rows, start, h, g = candidates(docs, known.column("phrase").drop_null().to_pylist())
+    if len(start) and once.any():
+        alone_h, alone_g = known.column("h").to_numpy()[once], known.column("g").to_numpy()[once]
+        order = np.argsort(alone_h)
+        alone_h, alone_g = alone_h[order], alone_g[order]
+        k = np.minimum(np.searchsorted(alone_h, h), len(alone_h) - 1)
+        start = start[(alone_h[k] != h) | (alone_g[k] != g)]
+    total = int(rows[-1])
+    cover = np.zeros(total + 1, np.int64)
     cover[start] += 1
     np.add.at(cover, start + WINDOW, -1)
-    stays = np.cumsum(cover)[:len(h)] == 0
+    stays = np.cumsum(cover)[:total] == 0
     data, offsets = utf8(docs.column("text"))
+    words, removed, kept = [], [], []
     for i in range(len(docs)):
         own = data[offsets[i]:offsets[i + 1]].tobytes().split()
         stay = stays[rows[i]:rows[i + 1]]
@@ -148,8 +216,8 @@ def _removed(docs: pa.Table, known: pa.Table) -> pa.Table:
         words.append(len(own))
         removed.append(len(own) - len(left))
         kept.append(b" ".join(left).decode())
-    return pa.table({"doc_id": ids, "n_words": pa.array(words, pa.int64()), "n_removed": pa.array(removed, pa.int64()),
-                     "text": pa.array(kept, pa.string())})
+    return pa.table({"doc_id": docs.column("doc_id"), "n_words": pa.array(words, pa.int64()),
+                     "n_removed": pa.array(removed, pa.int64()), "text": pa.array(kept, pa.string()), "n": docs.column("n")})
 
 
 def without_repeats(docs: DataFrame, shards: int | None = None) -> DataFrame:
@@ -158,16 +226,22 @@ def without_repeats(docs: DataFrame, shards: int | None = None) -> DataFrame:
     if shards is None:
         size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         shards = size // SHARD_BYTES + 1
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards).cast("long")))
-    anchors = rows.select("shard", "text").mapInArrow(_anchors, "h long, shard long, n long")
-    recurring = anchors.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h")
-    phrases = anchors.select("h", "shard").join(recurring, "h", "left_semi").distinct()
-    counted = (rows.groupBy("shard").cogroup(phrases.select("shard", "h").groupBy("shard"))
-               .applyInArrow(_candidates, "h long, shard long, n long"))
-    once = counted.groupBy("h").agg(F.sum("n").alias("n"), F.min("shard").alias("shard")).where("n = 1")
-    known = phrases.select("shard", "h", F.lit(0).alias("kind")).unionAll(once.select("shard", "h", F.lit(1).alias("kind")))
-    return (rows.groupBy("shard").cogroup(known.groupBy("shard"))
-            .applyInArrow(_removed, "doc_id long, n_words long, n_removed long, text string"))
+    rows = (rows.mapInArrow(_merged, "doc_id long, text string, n long")
+            .withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards).cast("long")))
+            .repartition("shard").groupBy("shard", "doc_id", "text").agg(F.sum("n").alias("n")))
+    recurring = rows.mapInArrow(_counts, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h")
+    phrases = rows.mapInArrow(_phrases, "h long, shard long, phrase binary").join(recurring, "h", "left_semi").select("shard", "phrase")
+    counted = (rows.groupBy("shard").cogroup(phrases.groupBy("shard"))
+               .applyInArrow(_candidates, "h long, g long, shard long, n long"))
+    once = counted.groupBy("h", "g").agg(F.sum("n").alias("n"), F.min("shard").alias("shard")).where("n = 1")
+    known = phrases.select("shard", "phrase", F.lit(None).cast("long").alias("h"), F.lit(None).cast("long").alias("g")).unionAll(
+        once.select("shard", F.lit(None).cast("binary").alias("phrase"), "h", "g"))
+    found = (rows.groupBy("shard").cogroup(known.groupBy("shard"))
+             .applyInArrow(_removed, "doc_id long, n_words long, n_removed long, text string, n long"))
+    # as many rows again as were equal
+    steps = F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / STEP).cast("long")))
+    again = F.explode(F.sequence(F.lit(1), F.least(F.lit(STEP), F.col("n") - F.col("step") * STEP).cast("int")))
+    return found.withColumn("step", steps).withColumn("again", again).select("doc_id", "n_words", "n_removed", "text")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
