@@ -10,7 +10,7 @@ whose words also start anywhere else in the corpus.
    places recur; they travel to the shards that hold them as words.
 3. Each shard compiles its recurring phrases into an Aho-Corasick automaton and
    streams its documents through it: windows whose anchor the automaton locates
-   are candidates. They are counted over all shards by 128 bits of hashes.
+   are candidates. They are counted over all shards by 96 bits of hashes.
 4. Candidates that occur once in the corpus go back to their shard (they are
    few); there all other windows that the automaton locates are repeats, and
    their words go.
@@ -42,7 +42,7 @@ SHARD_BYTES = 1 << 20
 POSITION_BITS = 28
 #: Bytes of different rows among which a task merges equal ones.
 HELD_BYTES = 1 << 23
-#: Changes the word hashes for the second half of a window's 128 bits (arbitrary).
+#: Changes the word hashes for the last third of a window's 96 bits (arbitrary).
 SECOND = U(0xA24BAED4963EE407)
 #: Equal rows are put back in two steps of at most this many.
 STEP = 1 << 16
@@ -178,8 +178,8 @@ def candidates(docs: pa.Table, phrases: list[bytes]):
     start = start[located(docs.column("text"), rows, phrases)[at]] if len(start) else start
     if not len(start):
         none = np.empty(0, np.int64)
-        return rows, start, none, none
-    return rows, start, signed(ngram_hashes(h, WINDOW)[start]), signed(ngram_hashes(mix(h ^ SECOND), WINDOW)[start])
+        return rows, start, none, none.astype(np.int32)
+    return rows, start, signed(ngram_hashes(h, WINDOW)[start]), ngram_hashes(mix(h ^ SECOND), WINDOW)[start].astype(np.uint32).view(np.int32)
 
 
 def _candidates(docs: pa.Table, phrases: pa.Table) -> pa.Table:
@@ -232,9 +232,9 @@ def without_repeats(docs: DataFrame, shards: int | None = None) -> DataFrame:
     recurring = rows.mapInArrow(_counts, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h")
     phrases = rows.mapInArrow(_phrases, "h long, shard long, phrase binary").join(recurring, "h", "left_semi").select("shard", "phrase")
     counted = (rows.groupBy("shard").cogroup(phrases.groupBy("shard"))
-               .applyInArrow(_candidates, "h long, g long, shard long, n long"))
+               .applyInArrow(_candidates, "h long, g int, shard long, n long"))
     once = counted.groupBy("h", "g").agg(F.sum("n").alias("n"), F.min("shard").alias("shard")).where("n = 1")
-    known = phrases.select("shard", "phrase", F.lit(None).cast("long").alias("h"), F.lit(None).cast("long").alias("g")).unionAll(
+    known = phrases.select("shard", "phrase", F.lit(None).cast("long").alias("h"), F.lit(None).cast("int").alias("g")).unionAll(
         once.select("shard", F.lit(None).cast("binary").alias("phrase"), "h", "g"))
     found = (rows.groupBy("shard").cogroup(known.groupBy("shard"))
              .applyInArrow(_removed, "doc_id long, n_words long, n_removed long, text string, n long"))
