@@ -13,8 +13,9 @@ the weights depend on no input table.
 
 Defined cases: null or empty html gives an empty text; unclosed, misnested and
 unknown tags are read as far as they go; scripts, styles, comments, form
-controls and the head's title never are text; character references are
-decoded; equal pages give equal texts; other columns pass through, clashing
+controls and the head's title never are text; one that is not closed hides
+nothing behind it (an unclosed script ends at the next tag, an unclosed list of
+options or drawing where its parent ends); character references are decoded; equal pages give equal texts; other columns pass through, clashing
 result columns are replaced.
 """
 
@@ -34,13 +35,22 @@ from pyspark.sql import functions as F
 from roadlake.llm.common import drop_clashing, read
 
 PATH_BINS, WORD_BINS, WIDTH, HIDDEN, MEASURES = 2048, 1024, 12, 16, 4
-PAGES, EPOCHS, BATCH = 480, 14, 32
-GROUP = 64
+PAGES, EPOCHS, BATCH = 900, 14, 32
+#: Blocks (with padding) that are scored at a time, one page's at least.
+CELLS = 1 << 14
 
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|select|svg|iframe|title)\b"
-    r"(?:[^'\">]|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^'\">]|\"[^\"]*\"|'[^']*')*+)>|<[!?][^>]*>|([^<]+|<)", re.S | re.I)
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))"
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^'\">]|\"[^\"]*\"|'[^']*')*+)>|<[!?][^>]*>|([^<]+|<)", re.S)
+#: Elements whose content is no markup, and no text of a page.
+RAW = frozenset("script style textarea title iframe".split())
+CODE = frozenset("script style".split())
+#: Elements with markup inside that is no text of a page.
+UNSEEN = frozenset("noscript template select svg".split())
+RAW_END = re.compile(r"</(script|style|textarea|title|iframe|noscript|template|select|svg)\b[^>]*>", re.I)
+#: Opening tags that end an open drawing or list of options.
+BREAKS = frozenset("address article aside blockquote body center details div dl dt dd fieldset figure footer form "
+                   "h1 h2 h3 h4 h5 h6 header li main nav ol p pre section table tbody td th thead tr ul".split())
 NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 PART = re.compile(r"[a-z]+")
 #: Elements that do not end a block (HTML's phrasing elements).
@@ -63,27 +73,79 @@ class Blocks:
         self.text: list[str] = []
         self.linked = 0
         in_link = 0
-        for m in TOKEN.finditer(page):
-            name = m[3]
-            if m[5] is not None:
-                t = m[5] if "&" not in m[5] else html.unescape(m[5])
+        hidden, inner = "", {}                   # the open hidden element, tags open inside it
+        # end tags by name, the last one first
+        ends: dict[str, list[tuple[int, int]]] = {}
+        for m in RAW_END.finditer(page):
+            ends.setdefault(m[1].lower(), []).append(m.span())
+        for found in ends.values():
+            found.reverse()
+
+        def next_end(name: str, after: int) -> int:
+            """Where the next end tag of ``name`` ends; 0: there is none."""
+            found = ends.get(name, ())
+            while found and found[-1][0] < after:
+                found.pop()
+            return found[-1][1] if found else 0
+
+        at, size = 0, len(page)
+        while at < size:
+            m = TOKEN.match(page, at)
+            at = m.end()
+            name = m[2]
+            if m[4] is not None:
+                if hidden:
+                    continue
+                t = m[4] if "&" not in m[4] else html.unescape(m[4])
                 self.text.append(t)
                 if in_link:
                     self.linked += len(t)
-            elif name is not None:
-                name = name.lower()
-                if name == "a":
-                    in_link = 0 if m[2] else 1
-                if name in INLINE:
-                    if name == "br":
-                        self.text.append(" ")
+                continue
+            if name is None:
+                continue
+            name, opens = name.lower(), not m[1]
+            if name in RAW:
+                if opens:
+                    end = next_end(name, at)
+                    if not end and name in CODE:
+                        end = page.find("<", at)
+                        end = size if end < 0 else end
+                    at = end or at
+                continue
+            if hidden:
+                if opens:
+                    if name in BREAKS and hidden in ("svg", "select"):
+                        hidden = ""
+                    else:
+                        if name not in VOID and not m[3].endswith("/"):
+                            inner[name] = inner.get(name, 0) + 1
+                        continue
+                elif inner.get(name):
+                    inner[name] -= 1
+                    continue
+                elif name == hidden:
+                    hidden = ""
+                    continue
+                elif self.places.get(name):
+                    hidden = ""                     # the parent ends
+                else:
                     continue
-                self.end_block()
-                if m[2]:
-                    self.close(name)
-                    in_link = 0
-                elif name not in VOID:
-                    self.open(name, m[4])
+            if name in UNSEEN:
+                if opens and not (name == "svg" and m[3].endswith("/")) and next_end(name, at):
+                    hidden, inner = name, {}
+                continue
+            if name == "a":
+                in_link = 1 if opens else 0
+            if name in INLINE:
+                if name == "br":
+                    self.text.append(" ")
+                continue
+            self.end_block()
+            if not opens:
+                self.close(name)
+                in_link = 0
+            elif name not in VOID:
+                self.open(name, m[3])
         self.end_block()
 
     def end_block(self) -> None:
@@ -181,8 +243,8 @@ class Labeller:
         return np.concatenate([e.reshape(t, b, -1), x], axis=2)
 
     @staticmethod
-    def run(v, mask, w, bias, back: bool):
-        """Hidden states, and what the backward pass needs."""
+    def run(v, mask, w, bias, back: bool, learn: bool):
+        """Hidden states, and (to learn) what the backward pass needs."""
         t, b, _ = v.shape
         h, c = np.zeros((b, HIDDEN)), np.zeros((b, HIDDEN))
         hs, kept = np.zeros((t, b, HIDDEN)), []
@@ -194,7 +256,8 @@ class Labeller:
             ig, fg, og = s[:, :HIDDEN], s[:, HIDDEN:2 * HIDDEN], s[:, 2 * HIDDEN:]
             new = fg * c + ig * g
             m = mask[i][:, None]
-            kept.append((i, z, ig, fg, og, g, c, np.tanh(new), m))
+            if learn:
+                kept.append((i, z, ig, fg, og, g, c, np.tanh(new), m))
             h, c = np.where(m, og * np.tanh(new), h), np.where(m, new, c)
             hs[i] = h
         return hs, kept
@@ -218,16 +281,16 @@ class Labeller:
             dc = np.where(m, dcn * fg, dc)
         return dv, dw, db
 
-    def logits(self, batch):
+    def logits(self, batch, learn: bool = False):
         v = self.inputs(batch)
-        f, kf = self.run(v, batch[1], self.p["wf"], self.p["bf"], False)
-        r, kr = self.run(v, batch[1], self.p["wb"], self.p["bb"], True)
+        f, kf = self.run(v, batch[1], self.p["wf"], self.p["bf"], False, learn)
+        r, kr = self.run(v, batch[1], self.p["wb"], self.p["bb"], True, learn)
         h = np.concatenate([f, r], axis=2)
         return h @ self.p["out"] + self.p["bias"], h, kf, kr
 
     def gradients(self, batch, y):
         x, mask, path, path_at, word, word_at, count = batch
-        logit, h, kf, kr = self.logits(batch)
+        logit, h, kf, kr = self.logits(batch, True)
         d = np.where(mask, 1 / (1 + np.exp(-np.clip(logit, -30, 30))) - y, 0) / mask.sum()
         g = {"out": np.tensordot(d, h, 2), "bias": np.array([d.sum()])}
         dh = d[..., None] * self.p["out"]
@@ -262,8 +325,12 @@ class Labeller:
         out = [""] * len(pages)
         found = [(len(b), i, b) for i, p in enumerate(pages) if p and (b := Blocks(p).out)]
         found.sort(key=lambda x: x[:2])                      # pages of like length together
-        for a in range(0, len(found), GROUP):
-            part = found[a:a + GROUP]
+        a = 0
+        while a < len(found):
+            b = a + 1
+            while b < len(found) and (b + 1 - a) * found[b][0] <= CELLS:
+                b += 1
+            part, a = found[a:b], b
             yes = self.logits(self.batch([b for _, _, b in part]))[0] > 0
             for j, (n, i, blocks) in enumerate(part):
                 out[i] = "\n\n".join(b[0] for b, y in zip(blocks, yes[:n, j]) if y)
@@ -272,14 +339,17 @@ class Labeller:
 
 # --- pages to learn from ---------------------------------------------------
 
+#: An element whose name says nothing.
+PLAIN = ("div", "?")
+NEUTRAL = ["", "row", "col", "grid", "inner", "wrap", "box", "block", "section", "layout", "cell", "left", "center", "panel", "x"]
 #: Naming habits by part: (tag, class or id words).
 KINDS = {
     "article": [("article", ""), ("main", ""), ("div", "content"), ("div", "article body"), ("div", "post content"), ("section", "entry"),
-                ("div", "story"), ("article", "post")],
-    "nav": [("nav", ""), ("div", "nav"), ("div", "menu"), ("ul", "navbar"), ("div", "breadcrumbs"), ("nav", "navigation"), ("div", "toc")],
+                ("div", "story"), ("article", "post"), *[PLAIN] * 6],
+    "nav": [("nav", ""), ("div", "nav"), ("div", "menu"), ("ul", "navbar"), ("div", "breadcrumbs"), ("nav", "navigation"), ("div", "toc"), PLAIN],
     "header": [("header", ""), ("div", "header"), ("div", "masthead"), ("div", "topbar"), ("div", "banner logo")],
     "footer": [("footer", ""), ("div", "footer"), ("div", "copyright"), ("div", "legal"), ("footer", "site")],
-    "aside": [("aside", ""), ("div", "sidebar"), ("div", "related"), ("div", "widget"), ("aside", "recommended"), ("div", "share social")],
+    "aside": [("aside", ""), ("div", "sidebar"), ("div", "related"), ("div", "widget"), ("div", "widget area"), ("aside", "recommended"), ("div", "share social")],
     "notice": [("div", "cookie notice"), ("div", "consent"), ("div", "popup modal"), ("div", "alert"), ("div", "notice"), ("div", "newsletter subscribe"),
                ("div", "paywall")],
     "advert": [("div", "ad"), ("div", "ads"), ("div", "advert"), ("div", "advertisement"), ("div", "sponsored"), ("div", "promo"), ("aside", "ad")],
@@ -309,6 +379,9 @@ def training_page(rng: random.Random) -> tuple[str, list[int]]:
         tag, name = rng.choice(KINDS[kind])
         if not name:
             return tag, ""
+        if name == "?":
+            name = rng.choice(NEUTRAL)
+            return rng.choice(["div", "div", "section", "td"]) if name else "div", name and f' class="{name}-{rng.randint(1, 12)}"'
         joined = rng.choice(["-", "_", " "]).join(name.split())
         if rng.random() < 0.3:
             joined += rng.choice([" wrap", " box", "-1", " clearfix", " main", " col"])
@@ -349,17 +422,18 @@ def training_page(rng: random.Random) -> tuple[str, list[int]]:
             side(rng.choice(kinds))
 
     wrapped = rng.random() < 0.3
+    nested = rng.random() < 0.3
     parts.append("<html><head><title>x</title></head><body>" + ("<div id=\"page\"><div class=\"container\">" if wrapped else ""))
     sides(["nav", "header", "notice", "advert", "form"], 4)
     tag, attributes = named("article")
-    parts.append(f"<{tag}{attributes}>")
+    parts.append(f"<{tag}{attributes}>" + (f'<div class="{rng.choice(NEUTRAL)}-{rng.randint(1, 12)}">' if nested else ""))
     if rng.random() < 0.8:
         block(rng.choice(["h1", "h1", "h2"]), sentence(1, 12), True)
     for _ in range(rng.choice([1, 1, 2, 4, 8, 12])):
         r = rng.random()
         if r < 0.72:
             start = rng.choice(["", "", "<b>", "<i>"])
-            block("p", start + sentence(1, rng.choice([4, 15, 90])) + rng.choice(["", "", "<br>"]), True)
+            block(rng.choice(["p"] * 7 + ["div"]), start + sentence(1, rng.choice([4, 15, 90])) + rng.choice(["", "", "<br>"]), True)
         elif r < 0.80:
             block(rng.choice(["h2", "h3"]), words(1, 6), True)
         elif r < 0.86:
@@ -369,13 +443,36 @@ def training_page(rng: random.Random) -> tuple[str, list[int]]:
             parts.append("</ul>")
         elif r < 0.9:
             block("blockquote", sentence(4, 30), True)
-        elif r < 0.93:
+        elif r < 0.92:
             block("pre", sentence(4, 30), True)
+        elif r < 0.94:
+            parts.append("<table>")
+            for _ in range(rng.randint(1, 5)):
+                parts.append("<tr>")
+                for _ in range(rng.randint(1, 4)):
+                    block(rng.choice(["td", "td", "th"]), words(1, 6), True)
+                parts.append("</tr>")
+            parts.append("</table>")
+        elif r < 0.95:
+            parts.append("<figure><img src=x>")
+            block("figcaption", sentence(2, 14), True)
+            parts.append("</figure>")
+        elif r < 0.96:
+            parts.append("<dl>")
+            for _ in range(rng.randint(1, 4)):
+                block("dt", words(1, 4), True)
+                block("dd", sentence(2, 20), True)
+            parts.append("</dl>")
+        elif r < 0.97:
+            parts.append(f'<div class="{rng.choice(NEUTRAL)}">')
+            for _ in range(rng.randint(1, 3)):
+                block("p", sentence(8, 60), True)
+            parts.append("</div>")
         else:
             side(rng.choice(["advert", "aside", "notice", "form"]))
     if rng.random() < 0.15:
         side("comments")
-    parts.append(f"</{tag}>")
+    parts.append(("</div>" if nested else "") + f"</{tag}>")
     sides(["aside", "comments", "nav", "advert", "form", "notice"], 4)
     if rng.random() < 0.85:
         side("footer")
