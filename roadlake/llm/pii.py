@@ -13,10 +13,9 @@ span; among themselves the leftmost, then longest, wins.
 
 Labelled proposals with the same label and features are one, with their count
 as its weight in the trees and in the precision, so copies of a text take one
-place. The fit reads at most ``SAMPLE`` such of each label (those with the
-smallest hashes over the whole table); every fourth of a label is held out.
-Everything else covers all rows. Work in a text grows with its length and with
-its matches times the logarithm of their number.
+place. The fit reads all of them, in tasks of about ``SAMPLE``; every fourth of
+a label, in the order of a hash, is held out. Work in a text grows with its
+length and with its matches times the logarithm of their number.
 
 Defined cases: a null text is empty and has no spans; offsets are code
 points, end exclusive; without labelled proposals of both labels nothing is
@@ -26,6 +25,8 @@ through, clashing result columns are replaced.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
@@ -36,7 +37,10 @@ from roadlake.llm.common import drop_clashing, materialize, read, text_of
 
 KINDS = ("email", "ip", "card", "phone")
 ADDED = ("number", "secret", "contact")
-SAMPLE = 4000
+#: Distinct labelled proposals in a task of the fit, which reads all of them.
+SAMPLE = 100_000
+#: Spark draws the trees' cut points from max(bins squared, EXAMPLES) rows when there are more.
+BINS, EXAMPLES = 32, 10_000
 PRECISION = 0.95
 TREES, DEPTH = 15, 3
 
@@ -171,6 +175,17 @@ def tree_expression(node, c) -> Column:
         .otherwise(tree_expression(node.rightChild(), c))
 
 
+def ranked(labelled: DataFrame) -> DataFrame:
+    """``labelled`` with nth, each row's place (from 1) in its label by (h,
+    FEATURES): places in ranges of h, after the rows of the ranges before."""
+    bucket = F.shiftright("h", 56)
+    sizes = labelled.groupBy("label", bucket.alias("bucket")).agg(F.count("*").alias("size"))
+    before = sizes.select("label", "bucket", (F.sum("size").over(Window.partitionBy("label").orderBy("bucket")) - F.col("size")).alias("before"))
+    nth = F.row_number().over(Window.partitionBy("label", "bucket").orderBy("h", *FEATURES)) + F.col("before")
+    return labelled.withColumn("bucket", bucket).join(F.broadcast(before), ["label", "bucket"]) \
+        .withColumn("nth", nth).drop("bucket", "before")
+
+
 def fit(docs: DataFrame):
     """A function of c(feature) that says whether a proposal is selected (None
     when either label is absent)."""
@@ -180,17 +195,17 @@ def fit(docs: DataFrame):
                 .where("label is not null").groupBy("label", *FEATURES).agg(F.count("*").cast("double").alias("weight"))
                 .withColumn("h", F.xxhash64(*FEATURES)))
     labelled = materialize(labelled, "labelled")
-    one, zero = (labelled.where(f"label = {y}").orderBy("h", *FEATURES).limit(SAMPLE) for y in (1, 0))
-    # one sample in one place: its rows' order, and so the trees, do not vary
-    nth = F.row_number().over(Window.partitionBy("label").orderBy("h", *FEATURES))
-    sample = materialize(one.union(zero).coalesce(1).withColumn("nth", nth), "proposals")
+    n = labelled.count()
+    sample = materialize(ranked(labelled).repartition(1 + n // SAMPLE, "h").sortWithinPartitions("label", "h", *FEATURES), "proposals")
     # by rank, so that the first of each label is always learned from
     half = F.col("nth") % 4 > 0
     train = sample.where(half)
     if train.select("label").distinct().count() < 2:
         return None
     rows = VectorAssembler(inputCols=list(FEATURES), outputCol="x").transform(train.withColumn("y", F.col("label").cast("double")))
-    model = GBTClassifier(featuresCol="x", labelCol="y", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7).fit(rows)
+    # as many bins as keep every row among those that cut points are drawn from
+    bins = BINS if n <= EXAMPLES else max(BINS, math.isqrt(n - 1) + 1)
+    model = GBTClassifier(featuresCol="x", labelCol="y", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, maxBins=bins, stepSize=0.3, seed=7).fit(rows)
     trees = [t._call_java("rootNode") for t in model.trees]
     weights = model.treeWeights
 
