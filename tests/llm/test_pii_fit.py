@@ -18,7 +18,7 @@ def made(spark):
     return tokens.select(text.alias("text"))
 
 
-def learned(spark, monkeypatch, docs):
+def learned(spark, monkeypatch, docs, run=pii.fit):
     """Rows handed to the trees, and the trees' parameters."""
     got = {}
 
@@ -34,7 +34,7 @@ def learned(spark, monkeypatch, docs):
     monkeypatch.setattr(pii, "GBTClassifier", Trees)
     monkeypatch.setattr(pii, "materialize", lambda df, name="part": tables.setdefault(name, df.cache()))
     with pytest.raises(Seen):
-        pii.fit(docs)
+        run(docs)
     return got, tables["proposals"].collect()
 
 
@@ -55,3 +55,10 @@ def test_cut_points_are_drawn_from_all_rows(spark, monkeypatch):
     got, proposals = learned(spark, monkeypatch, made(spark))
     assert got["maxBins"] ** 2 >= len(got["rows"])
     assert len(proposals) > 18 ** 3
+
+
+def test_the_pipelines_stage_learns_from_all(spark, monkeypatch):
+    import corpus_pipeline
+    docs = made(spark).select(F.monotonically_increasing_id().alias("doc_id"), "text")
+    got, proposals = learned(spark, monkeypatch, docs, lambda d: corpus_pipeline.personal_data(spark, d, ""))
+    assert sum(r.label == 1 for r in proposals) == 18 ** 3 and len(got["rows"]) > 4000
