@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from roadlake.functions.arrays import let
 from roadlake.schemas import EARTH_RADIUS_KM
 
 
@@ -52,33 +53,31 @@ def line_endpoints(geom_type: Column, coords_variant: Column,
     and empty coordinates give nulls.  ``accept_altitude`` lets 3-D
     positions through (their first two numbers are used).
     """
-    a2 = F.try_variant_get(coords_variant, "$", "array<array<double>>")
-    a3 = F.try_variant_get(coords_variant, "$", "array<array<array<double>>>")
-
-    # LineString
-    l_first = F.get(a2, 0)
-    l_last = F.try_element_at(a2, F.lit(-1))
-    l_has = F.coalesce(F.size(a2) > 0, F.lit(False))
-    l_begin_ok = l_has & F.coalesce(_pos_ok(l_first, accept_altitude), F.lit(False))
-    l_end_ok = l_begin_ok & F.coalesce(_pos_ok(l_last, accept_altitude), F.lit(False))
-
-    # MultiLineString
-    first_line = F.get(a3, 0)
-    last_line = F.try_element_at(a3, F.lit(-1))
-    m_has = F.coalesce(F.size(a3) > 0, F.lit(False))
-    fl_has = F.coalesce(F.size(first_line) > 0, F.lit(False))
-    ll_has = F.coalesce(F.size(last_line) > 0, F.lit(False))
-    m_first = F.get(first_line, 0)
-    m_last = F.try_element_at(last_line, F.lit(-1))
-    m_begin_ok = m_has & fl_has & F.coalesce(_pos_ok(m_first, accept_altitude), F.lit(False))
-    m_failed = m_has & fl_has & ~m_begin_ok
-    m_end_ok = m_has & ~m_failed & ll_has & \
-        F.coalesce(_pos_ok(m_last, accept_altitude), F.lit(False))
-
     is_line = geom_type == "LineString"
     is_multi = geom_type == "MultiLineString"
-    begin = F.when(is_line & l_begin_ok, l_first).when(is_multi & m_begin_ok, m_first)
-    end = F.when(is_line & l_end_ok, l_last).when(is_multi & m_end_ok, m_last)
-    return F.struct(
-        F.get(begin, 1).alias("begin_lat"), F.get(begin, 0).alias("begin_lon"),
-        F.get(end, 1).alias("end_lat"), F.get(end, 0).alias("end_lon"))
+
+    def parts(v):                           # positions are typed once chosen, a cast of all of them is slow
+        return F.try_variant_get(v, "$", "array<variant>")
+
+    def filled(arr):
+        return F.coalesce(F.size(arr) > 0, F.lit(False))
+
+    def ends(items):
+        # the first of the first line and the last of the last one; a LineString is its only line
+        lines = F.struct(F.when(is_line, items).when(is_multi, parts(F.get(items, 0))).alias("first"),
+                         F.when(is_line, items).when(is_multi, parts(F.try_element_at(items, F.lit(-1)))).alias("last"))
+        return let(lines, lambda x: F.struct(
+            filled(items).alias("has"), filled(x["first"]).alias("first_has"), filled(x["last"]).alias("last_has"),
+            F.try_variant_get(F.get(x["first"], 0), "$", "array<double>").alias("begin"),
+            F.try_variant_get(F.try_element_at(x["last"], F.lit(-1)), "$", "array<double>").alias("end")))
+
+    def checked(e):
+        begin_ok = e["has"] & e["first_has"] & F.coalesce(_pos_ok(e["begin"], accept_altitude), F.lit(False))
+        failed = e["has"] & e["first_has"] & ~begin_ok
+        end_ok = e["has"] & ~failed & e["last_has"] & F.coalesce(_pos_ok(e["end"], accept_altitude), F.lit(False))
+        return F.struct(F.when(begin_ok, e["begin"]).alias("begin"), F.when(end_ok, e["end"]).alias("end"))
+
+    found = F.when(is_line | is_multi, let(parts(coords_variant), lambda items: let(ends(items), checked)))
+    return let(found, lambda x: F.struct(
+        F.get(x["begin"], 1).alias("begin_lat"), F.get(x["begin"], 0).alias("begin_lon"),
+        F.get(x["end"], 1).alias("end_lat"), F.get(x["end"], 0).alias("end_lon")))

@@ -18,7 +18,7 @@ from roadlake import schemas
 from roadlake.operators import clean, curate, normalize, quality
 from roadlake.plans import analytics, feeds
 from roadlake.plans.feeds import GEOFENCE, RUN_MS, RUN_TS, table
-from roadlake.session import ensure_utc
+from roadlake.session import ensure_compiled, ensure_utc
 from roadlake.sinks import run_folder, write_landing
 from roadlake.sources import read_landing_lines
 
@@ -190,7 +190,7 @@ def zones_incremental_county_performance(spark, d):
     one-delivery answer."""
     from roadlake.plans import jobs
     z = _zones(spark)
-    recs = incident_landing(spark, d)
+    recs = landed_records(spark, incident_landing(spark, d), schemas.INCIDENT_LANDING, "polled")
     for attempt in range(2):
         write_landing(recs, z.landing("incidents"), arrival_ms=RUN_MS + attempt * 3600000)
         jobs.run_feed_incremental(spark, "incidents", z, run_ts=RUN_TS)
@@ -465,6 +465,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 def _wrap(fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ensure_utc(spark)
+        ensure_compiled(spark)
         return naive(fn(spark, sf_dir))
     run.__name__ = getattr(fn, "__name__", "query")
     run.__doc__ = fn.__doc__

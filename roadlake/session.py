@@ -16,6 +16,7 @@ PIPELINE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -66,6 +67,14 @@ def ensure_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def ensure_compiled(spark: SparkSession) -> None:
+    """Keep generated methods to a size that the JVM compiles: a larger one
+    (the feeds' wide projections) would run interpreted."""
+    key, limit = "spark.sql.codegen.hugeMethodLimit", PIPELINE_CONF["spark.sql.codegen.hugeMethodLimit"]
+    if spark.conf.get(key, None) != limit:
+        spark.conf.set(key, limit)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder shared by all executors: the session's checkpoint directory.
 

@@ -12,7 +12,8 @@ document times the logarithm of its number of tags, however incidents nest.
 
 Child tags match exactly (case, prefix) and only as direct children; of a
 repeated child the first counts; a field's text ends where markup inside it
-begins.  Comments and processing instructions are dropped, CDATA sections are
+begins.  The usual document, incidents one after another whose children hold
+text alone, is told by what is left without them and needs no scan.  Comments and processing instructions are dropped, CDATA sections are
 read as escaped text before anything else looks at the markup.
 """
 
@@ -32,6 +33,12 @@ _ATTRIBUTES = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
 _LEAF = rf"<({_TAG}){_ATTRIBUTES}(?<!/)>([^<]*+)</\1\s*+>"
 _EVENT = rf"{_LEAF}|</?{_TAG}{_ATTRIBUTES}>"
 _NAME = rf"^</?({_TAG})"
+# An incident without attributes, of plain children; an opened or empty child.
+_PLAIN = (r"<([A-Za-z]{0,32}?(?i:incident))>((?:\s*+<([A-Za-z_]\w*+)(?:/>|>[^<]*+</\3>)){1,64}+\s*+)</\1>")
+_CHILD = r"<([^\s/>]++)(?:/>|>([^<]*+))"
+# What plain incidents, each read as a line's end, leave of a plain document.
+_REST = (r"^(?:<\?xml [^<>?\n]*+\?>)?\s*+<((?!\w*?(?i:incident)>)[A-Za-z_]\w*+)>"
+         r"(?:\s*+<[A-Za-z_]\w*+/>){0,64}+\s*+</\1>\s*+$")
 _SILENT = r"(?s)<!--.*?-->|<\?.*?\?>"
 _CDATA = "<![CDATA["
 
@@ -130,11 +137,21 @@ def incident_elements(value: Column) -> Column:
     return let(_events(value), lambda ev: F.when(F.exists(ev, lambda e: e["step"] != 0), bounds(ev)))
 
 
+def _plain_elements(value: Column) -> Column:
+    """As :func:`incident_elements`, without pos, for a plain document."""
+    return F.transform(F.regexp_extract_all(value, F.lit(_PLAIN), F.lit(2)), lambda body: F.struct(
+        F.regexp_extract_all(body, F.lit(_CHILD), F.lit(1)).alias("names"),
+        F.regexp_extract_all(body, F.lit(_CHILD), F.lit(2)).alias("texts")))
+
+
 def xml_explode(docs: DataFrame, value_col: str = "value") -> DataFrame:
     """One row per incident element: ``pos`` and ``x`` (struct of the child
     texts named by their tags; absent children are null, empty ones '')."""
     keep = [c for c in docs.columns if c != value_col]
-    rows = docs.select(*keep, F.posexplode(incident_elements(F.col(value_col))).alias("pos", "e"))
+    value = F.col(value_col)
+    scanned = F.transform(incident_elements(value), lambda e: F.struct(e["names"].alias("names"), e["texts"].alias("texts")))
+    plain = F.regexp_replace(value, _PLAIN, "\n").rlike(_REST)
+    rows = docs.select(*keep, F.posexplode(F.when(plain, _plain_elements(value)).otherwise(scanned)).alias("pos", "e"))
 
     def field(tag):
         at = F.array_position("e.names", tag).cast("int")
