@@ -17,9 +17,14 @@ and not all its pairs:
    member outside the block's commonest component against its best-estimated
    member of another; repeated while links are found;
 4. in buckets that are still mixed, members of different components against
-   each other (pairs of blocks). A pair is tested in the first bucket it
-   shares, inside the block's task: members with a candidate bring their texts
-   there once, and only links that join components leave it.
+   each other. In a bucket of more than one block, the members outside its
+   commonest component meet each other and that component's blocks (pairs of
+   blocks), whose own members never meet. A pair is tested in the first bucket
+   it shares, inside the block's task: members with a candidate bring their
+   texts there once, and only links that join components leave it.
+
+Rounds 3 and 4 read one table of the members of mixed buckets with their
+signatures, written once.
 
 A pair at similarity 0.75 misses all 48 bands with probability 2e-6; it falls
 under the estimate's cut, or looks shared earlier by 32 equal bits of other
@@ -214,16 +219,17 @@ def joined(label: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def _open_pairs(t: pa.Table, which: np.ndarray):
-    """(i, members j) of one pair of blocks: ``which`` (label) differs, the
-    estimate passes, and this bucket is the first that i and j share. The
+    """(i, members j) of one pair of blocks: ``which`` (label) differs, sizes
+    and estimate pass, and this bucket is the first that i and j share. The
     caller may change ``which`` on the way."""
-    side = t.column("block").to_numpy()
+    side, size = (t.column(c).to_numpy() for c in ("block", "n_shingles"))
     bi, bj, here = (t.column(c)[0].as_py() for c in ("bi", "bj", "band"))
     sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint8).reshape(len(t), -1)
     keys = t.column("keys").combine_chunks().flatten().to_numpy().reshape(len(t), -1)
     right = np.flatnonzero(side == bj)
     for i in np.flatnonzero(side == bi):
         j = right[(which[right] != which[i]) & ((right > i) if bi == bj else True)]
+        j = j[100 * np.minimum(size[i], size[j]) >= 75 * np.maximum(size[i], size[j])]
         j = j[estimate(sig[i][None, :], sig[j]) >= ESTIMATE_CUT]
         if len(j):
             j = j[keys[i][(keys[j] == keys[i]).argmax(axis=1)] == here >> 32]
@@ -258,9 +264,6 @@ def _joining(batches):
         seen = np.zeros(sum(size), bool)
         out_a, out_b = [], []
         for i, j in _open_pairs(t, which):
-            j = j[100 * np.minimum(size[i], size[j]) >= 75 * np.maximum(size[i], size[j])]
-            if not len(j):
-                continue
             seen[ids[i]] = True
             starts = np.cumsum(size[j]) - size[j]
             both = np.add.reduceat(seen[np.concatenate([ids[k] for k in j])], starts, dtype=np.int64)
@@ -315,6 +318,26 @@ def _by_key(batches, names, work):
         yield from work(pa.Table.from_batches(held))
 
 
+def dealt(members: DataFrame) -> DataFrame:
+    """``members`` (band, node, label and their bucket's size, shingles and top:
+    its commonest label with count and shingles) with block, bi and bj: a row
+    for each pair of blocks that a member takes part in. A bucket of one block
+    is one. In others the commonest label's blocks come last and meet those of
+    the other members alone."""
+    def parts(size: Column, shingles: Column) -> Column:
+        return F.ceil(F.greatest(size / TEXT_BLOCK, shingles / TEXT_SHINGLES)).cast("long")
+
+    size, shingles, top = F.col("size"), F.col("shingles"), F.col("top")
+    one = parts(size, shingles) == 1
+    others = F.when(one, 1).otherwise(parts(size - top["c"], shingles - top["s"]))
+    apart = ~one & (F.col("label") == top["label"])
+    own = F.pmod(F.xxhash64("node", "band"), F.when(apart, parts(top["c"], top["s"])).otherwise(F.col("others")))
+    last = F.col("others") + F.when(one | apart, 0).otherwise(parts(top["c"], top["s"])) - 1
+    return (members.withColumn("others", others).withColumn("block", F.when(apart, F.col("others")).otherwise(0) + own)
+            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+            .withColumn("bi", F.least("block", "other")).withColumn("bj", F.greatest("block", "other")))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest doc_id
     of its group), kept (doc_id = component_id), and th, first (it is the
@@ -325,10 +348,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                              F.first("sig").alias("sig"), F.first("bands").alias("bands"), F.first("n_shingles").alias("n_shingles"))
                         .select("node", "row.doc_id", "row.th", "sig", "bands", "n_shingles"), "nodes")
 
-    members = nodes.select("node", "n_shingles", F.explode("bands").alias("band"))
-    buckets = members.groupBy("band").agg(F.min("node").alias("center"), F.count("*").alias("size"),
-                                          F.sum("n_shingles").alias("shingles")).where("size > 1")
-    members = members.drop("n_shingles")
+    members = nodes.select("node", F.explode("bands").alias("band"))
+    buckets = members.groupBy("band").agg(F.min("node").alias("center"), F.count("*").alias("size")).where("size > 1")
     members = materialize(members.join(buckets, "band"), "members")      # shared buckets only
 
     sig = nodes.select("node", "sig")
@@ -362,13 +383,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     tested = tested.union(star)
     label = joined(label, materialize(links(star, texts), "links"))
 
-    # 3. members outside their block's commonest label, against the nearest other
-    def blocks(label: DataFrame, n: Column, signature: DataFrame) -> DataFrame:
-        return (mixed(label).where("size > 2").join(signature, "node").withColumn("n", F.ceil(n).cast("long"))
-                .withColumn("block", F.pmod(F.xxhash64("node", "band"), F.col("n"))))
+    # of the buckets that stay mixed, the members and all that is compared
+    # (a key's upper half is enough to tell the first bucket that two share)
+    keys = nodes.select("node", "n_shingles", "sig", F.transform("bands", lambda k: F.shiftright(k, 32).cast("int")).alias("keys"))
+    unsettled = materialize(mixed(label).where("size > 2").select("band", "node").join(keys, "node"), "unsettled")
+
+    def spanning(label: DataFrame) -> DataFrame:
+        """``unsettled`` with labels, of the buckets that span several."""
+        own = unsettled.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        spans = own.groupBy("band", "label").agg(F.count("*").alias("c"), F.sum("n_shingles").alias("s")) \
+            .groupBy("band").agg(F.sum("c").alias("size"), F.sum("s").alias("shingles"),
+                                 F.max(F.struct("c", "s", "label")).alias("top"), F.count("*").alias("labels"))
+        return own.join(spans.where("labels > 1").drop("labels"), "band")
 
+    # 3. members outside their block's commonest label, against the nearest other
     while True:
-        near = (blocks(label, F.col("size") / BLOCK, sig).select("band", "block", "node", "label", "sig")
+        near = (spanning(label).withColumn("block", F.pmod(F.xxhash64("node", "band"), F.ceil(F.col("size") / BLOCK).cast("long")))
+                .select("band", "block", "node", "label", "sig")
                 .repartition("band", "block").sortWithinPartitions("band", "block")
                 .mapInArrow(_nearest, "node long, other long, estimate double")
                 .groupBy("node").agg(F.max_by("other", F.struct("estimate", "other")).alias("other")))
@@ -381,16 +412,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         label = joined(label, found)
 
     # 4. in buckets that still span several, their other pairs
-    # (a key's upper half is enough to tell the first bucket that two share)
-    n = F.greatest(F.col("size") / TEXT_BLOCK, F.col("shingles") / TEXT_SHINGLES)
-    keys = nodes.select("node", "sig", F.transform("bands", lambda k: F.shiftright(k, 32).cast("int")).alias("keys"))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1))
-    shape = "band long, bi long, bj long, block long, node long, label long, sig binary, keys array<int>"
+    shape = "band long, bi long, bj long, block long, node long, label long, n_shingles long, sig binary, keys array<int>"
     names = [x.split()[0] for x in shape.split(", ")]
-    member = (blocks(label, n, keys).withColumn("other", other)
-              .withColumn("bi", F.least("block", "other")).withColumn("bj", F.greatest("block", "other"))
-              .select(*names).repartition("band", "bi", "bj").sortWithinPartitions("band", "bi", "bj")
-              .mapInArrow(_involved, shape))
+    member = (dealt(spanning(label)).select(*names)
+              .repartition("band", "bi", "bj").sortWithinPartitions("band", "bi", "bj").mapInArrow(_involved, shape))
     rest = (materialize(member, "involved").join(texts, "node").select(*names, "text")
             .repartition("band", "bi", "bj").sortWithinPartitions("band", "bi", "bj")
             .mapInArrow(_joining, "a long, b long").distinct())
