@@ -7,15 +7,18 @@ format and context features score them; the trees are fitted on proposals
 that carry a weak label (base spans and keyword-introduced tokens are
 positive, short plain numbers, dates, versions and tokens inside links are
 negative) and are turned into a column expression, so scoring needs no
-shuffle. The threshold is the lowest score whose precision on held-out
-labelled proposals reaches 0.95. Selected proposals never displace a base
-span; among themselves the leftmost, then longest, wins.
+shuffle. The threshold is the lowest score whose precision on all labelled
+proposals reaches 0.95, each scored by trees that have not seen it. Selected
+proposals never displace a base span; among themselves the leftmost, then
+longest, wins.
 
 Labelled proposals with the same label and features are one, with their count
 as its weight in the trees and in the precision, so copies of a text take one
-place. The fit reads all of them, in tasks of about ``SAMPLE``; every fourth of
-a label, in the order of a hash, is held out. Work in a text grows with its
-length and with its matches times the logarithm of their number.
+place. The fit reads all of them, in tasks of about ``SAMPLE``. Every fourth of
+a label, in the order of a hash, is a fold: for the threshold each fold in turn
+is held out, and the trees that score texts learn from all rows. Work in a
+text grows with its length and with its matches times the logarithm of their
+number.
 
 Defined cases: a null text is empty and has no spans; offsets are code
 points, end exclusive; without labelled proposals of both labels nothing is
@@ -42,6 +45,7 @@ SAMPLE = 100_000
 #: Spark draws the trees' cut points from max(bins squared, EXAMPLES) rows when there are more.
 BINS, EXAMPLES = 32, 10_000
 PRECISION = 0.95
+FOLDS = 4
 TREES, DEPTH = 15, 3
 
 #: Possessive forms of the base patterns: the same matches, without retries
@@ -196,16 +200,29 @@ def fit(docs: DataFrame):
                 .withColumn("h", F.xxhash64(*FEATURES)))
     labelled = materialize(labelled, "labelled")
     n = labelled.count()
-    sample = materialize(ranked(labelled).repartition(1 + n // SAMPLE, "h").sortWithinPartitions("label", "h", *FEATURES), "proposals")
-    # by rank, so that the first of each label is always learned from
-    half = F.col("nth") % 4 > 0
-    train = sample.where(half)
-    if train.select("label").distinct().count() < 2:
+    rows = materialize(ranked(labelled).repartition(1 + n // SAMPLE, "h").sortWithinPartitions("label", "h", *FEATURES), "proposals")
+    sizes = [r["count"] for r in rows.groupBy("label").count().collect()]
+    if len(sizes) < 2:
         return None
-    rows = VectorAssembler(inputCols=list(FEATURES), outputCol="x").transform(train.withColumn("y", F.col("label").cast("double")))
     # as many bins as keep every row among those that cut points are drawn from
     bins = BINS if n <= EXAMPLES else max(BINS, math.isqrt(n - 1) + 1)
-    model = GBTClassifier(featuresCol="x", labelCol="y", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, maxBins=bins, stepSize=0.3, seed=7).fit(rows)
+    fold = F.col("nth") % FOLDS
+    found = []
+    for k in range(FOLDS):
+        if k == 1 and min(sizes) == 1:      # a label's only row: nothing to learn it from
+            continue
+        score = learned(rows.where(fold != k), bins)
+        found += (rows.where(fold == k).groupBy(F.floor(score(F.col) * 100).alias("bin"))
+                  .agg(F.sum(F.col("label") * F.col("weight")).alias("pos"), F.sum("weight").alias("n")).collect())
+    at = least_score(found)
+    score = learned(rows, bins)
+    return lambda c: score(c) >= at
+
+
+def learned(rows: DataFrame, bins: int):
+    """The score, a function of c(feature), of trees fitted to all of ``rows``."""
+    x = VectorAssembler(inputCols=list(FEATURES), outputCol="x").transform(rows.withColumn("y", F.col("label").cast("double")))
+    model = GBTClassifier(featuresCol="x", labelCol="y", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, maxBins=bins, stepSize=0.3, seed=7).fit(x)
     trees = [t._call_java("rootNode") for t in model.trees]
     weights = model.treeWeights
 
@@ -215,16 +232,23 @@ def fit(docs: DataFrame):
             margin = margin + w * tree_expression(t, c)
         return 1 / (1 + F.exp(-2 * margin))
 
-    # the lowest of 100 thresholds whose precision holds on the held-out part
-    bins = (sample.where(~half).groupBy(F.floor(score(F.col) * 100).alias("bin"))
-            .agg(F.sum(F.col("label") * F.col("weight")).alias("pos"), F.sum("weight").alias("n")).collect())
+    return score
+
+
+def least_score(found) -> float:
+    """The lowest of 100 thresholds whose precision holds on ``found``, rows of
+    (bin of the score, pos, n); a bin may come more than once."""
+    sums: dict[int, tuple[float, float]] = {}
+    for r in found:
+        pos, n = sums.get(r["bin"], (0, 0))
+        sums[r["bin"]] = pos + r["pos"], n + r["n"]
     threshold, pos, n = 0.5, 0, 0
-    for row in sorted(bins, key=lambda r: -r["bin"]):
-        pos, n = pos + row["pos"], n + row["n"]
+    for b in sorted(sums, reverse=True):
+        pos, n = pos + sums[b][0], n + sums[b][1]
         if pos < PRECISION * n:
             break
-        threshold = min(threshold, row["bin"] / 100)
-    return lambda c: score(c) >= max(threshold, 0.05)
+        threshold = min(threshold, b / 100)
+    return max(threshold, 0.05)
 
 
 def free_of_base(proposed: Column, chosen) -> Column:

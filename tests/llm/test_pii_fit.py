@@ -62,3 +62,48 @@ def test_the_pipelines_stage_learns_from_all(spark, monkeypatch):
     docs = made(spark).select(F.monotonically_increasing_id().alias("doc_id"), "text")
     got, proposals = learned(spark, monkeypatch, docs, lambda d: corpus_pipeline.personal_data(spark, d, ""))
     assert sum(r.label == 1 for r in proposals) == 18 ** 3 and len(got["rows"]) > 4000
+
+
+def fits(monkeypatch, run):
+    """Rows of every fit of the trees, and the proposals that were scored."""
+    seen, real = [], pii.GBTClassifier
+
+    class Trees:
+        def __init__(self, **options):
+            self.trees = real(**options)
+
+        def fit(self, rows):
+            seen.append({r.h for r in rows.select("h").collect()})
+            return self.trees.fit(rows)
+
+    counted, least = [], pii.least_score
+    monkeypatch.setattr(pii, "GBTClassifier", Trees)
+    monkeypatch.setattr(pii, "least_score", lambda found: counted.append(sum(r["n"] for r in found)) or least(found))
+    return run(), seen, counted
+
+
+def numbers(spark):
+    return spark.createDataFrame([(f"on {a}-34{'5' * i} end",) for i in range(2, 5) for a in ("12", "1-2")], "text string")
+
+
+def test_trees_and_threshold_come_from_all_rows(spark, monkeypatch):
+    """Every proposal is held out once for the threshold; the last trees learn from all."""
+    docs = made(spark).orderBy("text").limit(40).union(numbers(spark))
+    chosen, seen, counted = fits(monkeypatch, lambda: pii.fit(docs))
+    assert chosen is not None and len(seen) == 5
+    every = seen[-1]
+    assert set.union(*seen[:-1]) == every and len(every) > 40
+    assert sum(len(every - s) for s in seen[:-1]) == len(every)
+    assert set.union(*[every - s for s in seen[:-1]]) == every
+    assert counted == [40 * 2 + 6]            # a token and a number, or a number
+
+
+def test_a_labels_only_row_is_learned_from(spark, monkeypatch):
+    docs = spark.createDataFrame([('token: "11111111xxxxxxxxxYYY" end',)], "text string").union(numbers(spark))
+    chosen, seen, _ = fits(monkeypatch, lambda: pii.fit(docs))
+    assert chosen is not None and len(seen) == 4 and len(seen[-1]) == 7
+
+
+def test_least_score_adds_the_folds():
+    rows = [{"bin": 90, "pos": 10, "n": 10}, {"bin": 30, "pos": 9, "n": 9}, {"bin": 30, "pos": 0, "n": 1}, {"bin": 10, "pos": 0, "n": 5}]
+    assert pii.least_score(rows) == 0.3 and pii.least_score(rows[:1]) == 0.5 and pii.least_score([]) == 0.5
