@@ -50,6 +50,9 @@ BANDS, ROWS, BITS = 48, 5, 2
 HASHES = BANDS * ROWS
 ESTIMATE_CUT = 0.55
 BLOCK = 4096
+#: Labels in a file, at least while there are fewer files than partitions. Each
+#: file that a task writes may start a process (Hadoop's local chmod).
+LABELS = 50_000
 #: Members and shingles of a block whose texts are compared.
 TEXT_BLOCK, TEXT_SHINGLES = 1024, 1 << 20
 
@@ -162,6 +165,11 @@ def links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(ta, "a").join(tb, "b").select("a", "b", "text_a", "text_b").mapInArrow(_confirm, "a long, b long")
 
 
+def written(labels: DataFrame, rows: int) -> DataFrame:
+    """``labels``, of about ``rows`` rows, as a table of no more files than they need."""
+    return materialize(labels.coalesce(1 + rows // LABELS), "labels")
+
+
 def roots(parents: DataFrame) -> DataFrame:
     """node, label (root of its tree) for every node of a forest.
 
@@ -169,12 +177,12 @@ def roots(parents: DataFrame) -> DataFrame:
     tree's smallest node. Every label becomes its label's label until none
     changes: rounds grow with the logarithm of the depth, and a round costs
     one join."""
-    lab = parents.select(F.col("b").alias("node"), F.col("a").alias("label"))
+    lab, n = parents.select(F.col("b").alias("node"), F.col("a").alias("label")), parents.count()
     while True:
         jump = lab.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        step = materialize(lab.join(jump, "label", "left")
-                           .select("node", F.coalesce("further", "label").alias("label"),
-                                   F.col("further").isNotNull().alias("moved")), "labels")
+        step = written(lab.join(jump, "label", "left")
+                       .select("node", F.coalesce("further", "label").alias("label"),
+                               F.col("further").isNotNull().alias("moved")), n)
         lab = step.select("node", "label")
         if step.where("moved").isEmpty():
             return lab.union(lab.select(F.col("label").alias("node"), "label").distinct())
@@ -186,15 +194,16 @@ def components(edges: DataFrame) -> DataFrame:
     Labels pass along edges and then jump to their label's label, until none
     changes; each round is written in the shared folder."""
     both = materialize(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
-    lab = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("label")), "labels")
+    n = both.count()
+    lab = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("label")), n)
     while True:
         near = (both.join(lab, both.b == lab.node).groupBy(F.col("a").alias("node"))
                 .agg(F.min("label").alias("near")))
         step = (lab.join(near, "node")
                 .select("node", F.col("label").alias("old"), F.least("label", "near").alias("label")))
         jump = lab.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        step = materialize(step.join(jump, "label", "left")
-                           .select("node", "old", F.least("label", F.coalesce("further", "label")).alias("label")), "labels")
+        step = written(step.join(jump, "label", "left")
+                       .select("node", "old", F.least("label", F.coalesce("further", "label")).alias("label")), n)
         if step.where("old <> label").isEmpty():
             return step.select("node", "label")
         lab = step.select("node", "label")
@@ -214,8 +223,8 @@ def joined(label: DataFrame, found: DataFrame) -> DataFrame:
     new = components(ends).toDF("old", "new")
     every = label.union(found.select("a").union(found.select("b")).distinct().toDF("node")
                         .join(label, "node", "left_anti").select("node", F.col("node").alias("label")))
-    return materialize(every.join(new, every.label == new.old, "left")
-                       .select("node", F.coalesce("new", "label").alias("label")), "labels")
+    return written(every.join(new, every.label == new.old, "left")
+                   .select("node", F.coalesce("new", "label").alias("label")), label.count() + found.count())
 
 
 def _open_pairs(t: pa.Table, which: np.ndarray):

@@ -51,3 +51,35 @@ def test_pairs_of_blocks_miss_no_pair_of_different_labels(spark, monkeypatch):
             assert all(r.block in key for r in task) and len({(r.node, r.block) for r in task}) == len(task)
             met |= {frozenset((a.node, b.node)) for a in task if a.block == key[0] for b in task if b.block == key[1]}
         assert met >= {frozenset((a, b)) for a in range(n) for b in range(n) if labels[a] != labels[b]}
+
+
+def test_a_small_graphs_labels_take_one_file(spark, monkeypatch):
+    """Also where no partitions are merged: each file a task writes costs a process."""
+    settings = {"spark.sql.shuffle.partitions": "20", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    files, write = [], neardup.materialize
+
+    def counted(df, name="part"):
+        out = write(df, name)
+        if name == "labels":
+            files.append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(neardup, "materialize", counted)
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        edges = spark.range(200).selectExpr("id as a", "id + 200 * (1 + id % 3) as b")
+        label = neardup.components(edges)
+        assert {(r.node, r.label) for r in label.collect()} == {(i, i) for i in range(200)} | {(i + 200 * (1 + i % 3), i) for i in range(200)}
+        trees = neardup.roots(edges)
+        assert {(r.node, r.label) for r in trees.collect()} == {(r.node, r.label) for r in label.collect()}
+        joined = neardup.joined(label, spark.createDataFrame([(0, 1), (2, 203)], "a long, b long"))
+        assert {r.label for r in joined.where("node in (0, 1, 200, 401)").collect()} == {0}
+        assert files and set(files) == {1}
+        monkeypatch.setattr(neardup, "LABELS", 40)
+        neardup.components(edges)
+        assert files[-1] > 5
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
